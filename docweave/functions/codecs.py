@@ -35,7 +35,7 @@ def vector_to_text(vector: Column | str) -> Column:
 def text_to_vector(text: Column | str) -> Column:
     """`[1,2.5]` as a float array; elements that are no numbers are dropped."""
     col = F.col(text) if isinstance(text, str) else text
-    parts = F.transform(F.split(F.btrim(col, F.lit("[]")), ","), F.trim)
+    parts = F.transform(F.split(F.btrim(col, F.lit("[]")), ","), lambda p: F.trim(p))
     return F.transform(F.filter(parts, lambda p: p.rlike(_FLOAT)), lambda p: p.cast("float"))
 
 

@@ -95,10 +95,9 @@ class BatchEmbedding:
             for batch in batches:
                 known = batch[batch.notna()]
                 vectors = _checked(function(known.tolist()), len(known), dimension) if len(known) else []
-                out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-                for at, vector in zip(known.index, vectors):
-                    out.at[at] = np.asarray(vector, dtype=np.float32)
-                yield out
+                made = iter(vectors)
+                yield pd.Series([[float(x) for x in next(made)] if here else None
+                                 for here in batch.notna()], dtype=object)
 
         return run(text)
 

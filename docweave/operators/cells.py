@@ -66,7 +66,7 @@ def _nearest_cells(model: KMeansModel, n: int, metric: str, unit: bool) -> Colum
     @F.pandas_udf("array<int>")
     def pick(vectors: pd.Series) -> pd.Series:
         known = vectors.notna().to_numpy()
-        out = pd.Series([None] * len(vectors), dtype=object)
+        out = [None] * len(vectors)
         if known.any():
             x = np.stack(vectors[known].to_list()).astype(np.float64)
             if unit:
@@ -81,8 +81,8 @@ def _nearest_cells(model: KMeansModel, n: int, metric: str, unit: bool) -> Colum
                 keys = (points * points).sum(axis=1)[None, :] - 2.0 * dot
             best = np.argsort(keys, axis=1, kind="stable")[:, :n].astype(np.int32)
             for at, cells in zip(np.flatnonzero(known), best):
-                out.iat[at] = cells
-        return out
+                out[at] = cells.tolist()
+        return pd.Series(out, dtype=object)
 
     return pick(F.col(EMBEDDING))
 
