@@ -71,6 +71,7 @@ class BestHits:
         self.queries, self.k, self.metric = queries, k, metric
         self.hits = HITS.empty_table()
         self.worst = np.full(len(queries), np.inf)  # sort key of the k-th hit so far
+        self._pending: list[pa.Table] = []
 
     def add(self, ids: pa.Array, vectors: np.ndarray, among: np.ndarray | None = None):
         """Offer rows to all queries, or to the query positions `among`."""
@@ -92,9 +93,20 @@ class BestHits:
             r, q = rows[start:start + _PAIRS], among[columns[start:start + _PAIRS]]
             exact = pair_distances(x[r], self.queries[q], self.metric)
             real = ~np.isnan(exact)
-            found = pa.table([pa.array(q[real].astype(np.int32)), pa.array(exact[real]),
-                              ids.take(pa.array(r[real])).cast(pa.string())], schema=HITS)
-            self.hits = keep_best(pa.concat_tables([self.hits, found]), self.k)
+            self._pending.append(pa.table(
+                [pa.array(q[real].astype(np.int32)), pa.array(exact[real]),
+                 ids.take(pa.array(r[real])).cast(pa.string())], schema=HITS))
+            if sum(map(len, self._pending)) > max(_PAIRS, len(self.hits)):
+                self._merge()
+
+    def _merge(self):
+        self.hits = keep_best(pa.concat_tables([self.hits, *self._pending]), self.k)
+        self._pending = []
         q, d = self.hits["q"].to_numpy(), self.hits["distance"].to_numpy()
         full = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == self.k - 1)
         self.worst[q[full]] = d[full] ** 2 if self.metric == "l2" else d[full]
+
+    def result(self) -> pa.Table:
+        """Hits `(q, distance, _id)`, best first within each query position `q`."""
+        self._merge()
+        return self.hits

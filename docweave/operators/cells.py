@@ -15,10 +15,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.functions.text import DocFilter
-from docweave.operators.nearest import filtered, metric_name, search, with_columns
+from docweave.operators.nearest import (
+    check_queries, filtered, metric_name, search, with_columns)
 from docweave.schema import EMBEDDING, ID
 
 TRAINING_ROWS = 1_000_000
+WRITERS_PER_CELL = 32
 
 
 def train_cells(collection: DataFrame, cells: int, distance: str = "cosine",
@@ -91,8 +93,16 @@ def nearest_in_cells(indexed: DataFrame, model: KMeansModel, queries: DataFrame,
                      probes: int, distance: str = "cosine", where: Column | None = None,
                      where_document: DocFilter | Column | None = None, include=None) -> DataFrame:
     """`nearest`, looking only into the `probes` best cells of each query."""
-    rows = filtered(indexed, where, where_document).select(ID, EMBEDDING, "cell")
     dimension = centres(model).shape[1]
-    hits = search(rows, probe_cells(queries, model, probes, distance), k,
-                  metric_name(distance), dimension)
-    return with_columns(hits, indexed, include)
+    probing = probe_cells(queries, model, probes, distance)
+    checked = check_queries(probing, dimension, k)
+    rows = filtered(indexed, where, where_document).select(ID, EMBEDDING, "cell")
+    hits = search(rows, checked, k, metric_name(distance))
+    return with_columns(hits, indexed, include, checked.count * k)
+
+
+def write_cells(indexed: DataFrame, location: str) -> None:
+    """Store an indexed collection partitioned by `cell`, so that a search reads only the
+    directories it probes. A crowded cell is written by several tasks."""
+    share = F.pmod(F.xxhash64(ID), F.lit(WRITERS_PER_CELL))
+    indexed.repartition("cell", share).write.partitionBy("cell").parquet(location)

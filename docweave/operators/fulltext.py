@@ -24,28 +24,32 @@ SCALE = 10**12
 
 
 def term_index(collection: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
-    """The collection with `doc_len` and `terms`, an array of (token, tf) per row."""
-    words = collection.withColumn("_words", F.sort_array(tokenizer(F.col(DOCUMENT))))
-    words = words.withColumn("doc_len", F.size("_words").cast("bigint"))
-    # Runs of equal words in the sorted array: where each one starts.
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size("_words") - 1, F.lit(1)),
-        lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1)))
-    starts = F.when(F.size("_words") > 0, starts).when(
-        F.size("_words") == 0, F.array().cast("array<int>"))
-    runs = words.withColumn("_starts", starts)
-
-    def term(start, j):
-        end = F.coalesce(F.get("_starts", j + 1), F.size("_words"))
-        return F.struct(F.get("_words", start).alias("token"),
-                        (end - start).cast("bigint").alias("tf"))
-
-    return runs.withColumn("terms", F.transform("_starts", term)).drop("_words", "_starts")
+    """The collection with `doc_len` and `terms`, an array of (token, tf) per row.
+
+    Can be written once and given to every search; columns a search filters by must
+    be in it. Lambdas here use only their own arguments: one that looked at another
+    column would compute that column anew for each element, should Catalyst inline it."""
+    words, size = F.col("_words"), F.size("_words")
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(words, 1, F.greatest(size - 1, F.lit(0))))
+    first = F.zip_with(words, before, lambda w, b: w.isNotNull() & ~w.eqNullSafe(b))
+    starts = F.filter(F.transform(first, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
+    ends = F.concat(F.slice("_starts", 2, F.size("_starts")), F.array(size))
+    counts = F.zip_with("_starts", ends, lambda s, e: (e - s).cast("bigint"))
+    terms = F.zip_with(F.array_distinct("_words"), counts,
+                       lambda w, n: F.struct(w.alias("token"), n.alias("tf")))
+    return (collection.withColumn("_words", F.sort_array(tokenizer(F.col(DOCUMENT))))
+            .withColumn("doc_len", size.cast("bigint"))
+            .withColumn("_starts", starts)
+            .withColumn("terms", F.filter(terms, lambda t: t["token"].isNotNull()))
+            .drop("_words", "_starts"))
 
 
 def postings(index: DataFrame) -> DataFrame:
     """`(token, _id, tf, doc_len)`, one row per word and row of the collection."""
-    return index.select(ID, "doc_len", F.inline_outer("terms")).select("token", ID, "tf", "doc_len")
+    # inline_outer, here and below: `inline` would first filter on the array, which
+    # computes it twice when the index is not stored.
+    rows = index.select(ID, "doc_len", F.inline_outer("terms")).where(F.col("token").isNotNull())
+    return rows.select("token", ID, "tf", "doc_len")
 
 
 def bm25(index: DataFrame, queries: DataFrame, k: int, where: Column | None = None,
@@ -55,24 +59,66 @@ def bm25(index: DataFrame, queries: DataFrame, k: int, where: Column | None = No
     Any word of the query matches; a repeated query word counts once. `where` limits
     the hits, while word statistics stay those of the whole collection. Returns
     `(query_id, rank, _id, score)`; ties go to the smaller id."""
-    if k < 1:
-        raise InvalidInputError(f"k must be at least 1, got {k}")
-    words = queries.select(
-        "query_id", F.explode(F.array_distinct(tokenizer(F.col("text")))).alias("token"))
+    _check_k(k)
+    words = _query_words(queries, tokenizer)
     small = sizing.fits(words)
     weights = _weights(index, words, small)
-
-    rows = index if where is None else index.where(where)
-    rows = rows.select(ID, "doc_len", F.inline_outer("terms"))
     vocabulary = words.select("token").distinct()
     if small:
         weights, vocabulary = F.broadcast(weights), F.broadcast(vocabulary)
+    rows = index if where is None else index.where(where)
+    rows = rows.select(ID, "doc_len", F.inline_outer("terms"))
     rows = rows.join(vocabulary, "token", "left_semi").repartition(ID)
-    length = F.lit(1 - B) + F.lit(B) * F.col("doc_len") / F.col("mean_len")
-    part = F.col("idf") * (F.col("tf") * F.lit(K1 + 1)) / (F.col("tf") + F.lit(K1) * length)
-    scored = (rows.join(weights, "token")
-              .select("query_id", ID, F.round(part * F.lit(float(SCALE))).cast("bigint").alias("part"))
-              .groupBy("query_id", ID).agg(F.sum("part").alias("part")))
+    parts = rows.join(weights, "token").select(
+        "query_id", ID, _part(F.col("idf"), F.col("tf"), F.col("mean_len")).alias("part"))
+    scored = parts.groupBy("query_id", ID).agg(F.sum("part").alias("part"))
+    return _ranked(scored, k)
+
+
+def bm25_one(index: DataFrame, text: str, k: int, where: Column | None = None,
+             tokenizer: Tokenizer = tokens) -> DataFrame:
+    """`bm25` for one text, with query_id 0.
+
+    The words of one text fit into one map value, so each row is scored where it is
+    read and nothing but the best k per task is shuffled."""
+    _check_k(k)
+    query = index.sparkSession.range(1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
+    weights = _weights(index, _query_words(query, tokenizer), small=True)
+    entry = F.struct("token", F.struct("idf", "mean_len"))
+    weights = weights.agg(F.map_from_entries(F.array_agg(entry))).scalar()
+
+    rows = index if where is None else index.where(where)
+    rows = rows.select(ID, "doc_len", "terms", weights.alias("_weights"))
+
+    def add(total, term):
+        weight = F.try_element_at(F.col("_weights"), term["token"])
+        part = _part(weight["idf"], term["tf"], weight["mean_len"])
+        return total + F.coalesce(part, F.lit(0).cast("bigint"))
+
+    scored = rows.select(F.lit(0).alias("query_id"), ID,
+                         F.aggregate("terms", F.lit(0).cast("bigint"), add).alias("part"))
+    # Rows without a match rank last; dropping them earlier would score every row twice.
+    return _ranked(scored, k).where(F.col("score") > 0)
+
+
+def _check_k(k: int) -> None:
+    if k < 1:
+        raise InvalidInputError(f"k must be at least 1, got {k}")
+
+
+def _query_words(queries: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+    return queries.select(
+        "query_id", F.explode(F.array_distinct(tokenizer(F.col("text")))).alias("token"))
+
+
+def _part(idf: Column, tf: Column, mean_len: Column) -> Column:
+    """Share of one word in a score, as a whole number of 1/SCALE."""
+    length = F.lit(1 - B) + F.lit(B) * F.col("doc_len") / mean_len
+    share = idf * (tf * F.lit(K1 + 1)) / (tf + F.lit(K1) * length)
+    return F.round(share * F.lit(float(SCALE))).cast("bigint")
+
+
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
     ranked = top_k(scored, "query_id", [F.col("part").desc(), F.col(ID)], k)
     return ranked.select("query_id", "rank", ID, (F.col("part") / F.lit(float(SCALE))).alias("score"))
 
@@ -80,12 +126,12 @@ def bm25(index: DataFrame, queries: DataFrame, k: int, where: Column | None = No
 def _weights(index: DataFrame, words: DataFrame, small: bool) -> DataFrame:
     """`(query_id, token, idf, mean_len)` for the words that occur in the collection."""
     vocabulary = words.select("token").distinct()
-    occurrences = index.select(F.inline_outer("terms")).select("token").join(
+    seen = index.select(F.inline_outer("terms")).select("token").join(
         F.broadcast(vocabulary) if small else vocabulary, "token", "left_semi")
-    found = occurrences.groupBy("token").agg(F.count("*").alias("df"))
-    corpus = index.agg(F.count(DOCUMENT).alias("n"), F.avg("doc_len").alias("mean_len"))
-    corpus = corpus.select(F.struct("n", "mean_len")).scalar()
-    weighted = words.join(found, "token").withColumn("_corpus", corpus)
+    found = seen.groupBy("token").agg(F.count("*").alias("df"))
+    corpus = index.agg(F.count("doc_len").alias("n"), F.avg("doc_len").alias("mean_len"))
+    weighted = words.join(found, "token").withColumn(
+        "_corpus", corpus.select(F.struct("n", "mean_len")).scalar())
     rarity = F.col("_corpus.n") - F.col("df") + 0.5
     return weighted.select("query_id", "token", F.log1p(rarity / (F.col("df") + 0.5)).alias("idf"),
                            F.col("_corpus.mean_len").alias("mean_len"))

@@ -14,8 +14,9 @@ from docweave.errors import InvalidInputError
 from docweave.functions.filters import conjunction
 from docweave.functions.text import (
     AnyOf, Contains, DocFilter, document_predicate, scored_text, unscored_predicate)
-from docweave.operators.fulltext import bm25, term_index
-from docweave.operators.nearest import embed_queries, filtered, metric_name, search, with_columns
+from docweave.operators.fulltext import bm25_one, term_index
+from docweave.operators.nearest import (
+    check_queries, embed_queries, filtered, metric_name, search, with_columns)
 from docweave.operators.reads import page
 from docweave.plans.ranking import top_k
 from docweave.schema import EMBEDDING, ID
@@ -67,17 +68,15 @@ def text_branch(collection: DataFrame, branch: TextBranch, k: int) -> DataFrame:
 
     doc = branch.where_document
     index = term_index(collection) if branch.index is None else branch.index
-    # One constant query, held as a literal; it is not a table that could grow.
-    query = collection.sparkSession.range(1).select(
-        F.lit(0).alias("query_id"), F.lit(scored_text(doc)).alias("text"))
+    words = scored_text(doc)
     others = unscored_predicate(doc)
     if others is None or not isinstance(doc, AnyOf):
-        return bm25(index, query, k, where=conjunction(branch.where, others))
+        return bm25_one(index, words, k, where=conjunction(branch.where, others))
     # AnyOf with Regex or nested parts: rows that hold the filter without any of the words
     # follow with score 0.
     keep = conjunction(branch.where, doc.column())
-    hits = bm25(index, query, k, where=keep).select("query_id", ID, "score")
-    silent = ~F.coalesce(Contains(scored_text(doc)).column(), F.lit(False))
+    hits = bm25_one(index, words, k, where=keep).select("query_id", ID, "score")
+    silent = ~F.coalesce(Contains(words).column(), F.lit(False))
     rest = filtered(collection, conjunction(keep, silent), None).select(
         F.lit(0).alias("query_id"), ID, F.lit(0.0).alias("score"))
     both = hits.unionByName(top_k(rest, "query_id", [F.col(ID)], k).drop("rank"))
@@ -86,11 +85,12 @@ def text_branch(collection: DataFrame, branch: TextBranch, k: int) -> DataFrame:
 
 
 def knn_branch(collection: DataFrame, branch: KnnBranch, distance: str, k: int | None = None,
-               embedder=None, dimension: int | None = None) -> DataFrame:
-    """Hits `(query_id, rank, _id, distance)` of a vector branch."""
+               embedder=None, dimension: int | None = None) -> tuple[DataFrame, int]:
+    """Hits `(query_id, rank, _id, distance)` of a vector branch, and its query count."""
     k = k or branch.n_results or DEFAULT_KNN_RESULTS
+    checked = check_queries(_vectors(branch, embedder), dimension, k)
     rows = filtered(collection, branch.where, None).select(ID, EMBEDDING)
-    return search(rows, _vectors(branch, embedder), k, metric_name(distance), dimension)
+    return search(rows, checked, k, metric_name(distance)), checked.count
 
 
 def _vectors(branch: KnnBranch, embedder) -> DataFrame:
@@ -137,31 +137,29 @@ def hybrid_search_advanced(collection: DataFrame, text: TextBranch | None = None
     if text is None and knn is None:
         raise InvalidInputError("hybrid search needs a text branch or a knn branch")
     if text is None and rank is None:
-        hits = knn_branch(collection, knn, distance, n_results, embedder, dimension)
-        return with_columns(hits, collection, include)
+        hits, count = knn_branch(collection, knn, distance, n_results, embedder, dimension)
+        return with_columns(hits, collection, include, count * n_results)
     knn_results = (knn.n_results if knn else None) or DEFAULT_KNN_RESULTS
     rank = rank or Rrf()
     window = rank.window or max(knn_results, n_results)
     constant = DEFAULT_RANK_CONSTANT if rank.constant is None else rank.constant
     if knn is None:
-        hits = text_branch(collection, text, n_results)
-    elif text is None:
-        hits = knn_branch(collection, knn, distance, None, embedder, dimension).where(
-            F.col("rank") <= min(window, n_results))
+        hits, count = text_branch(collection, text, n_results), 1
     else:
-        hits = _fused(collection, text, knn, n_results, window, constant, distance, embedder,
-                      dimension)
-    return with_columns(hits, collection, include)
+        hits, count = knn_branch(collection, knn, distance, None, embedder, dimension)
+        if text is None:
+            hits = hits.where(F.col("rank") <= min(window, n_results))
+        else:
+            words = text_branch(collection, text, window)
+            hits = fuse(_for_each_query(words, knn), hits, n_results, window, constant)
+    return with_columns(hits, collection, include, count * n_results)
 
 
-def _fused(collection, text, knn, n_results, window, constant, distance, embedder, dimension):
-    vectors = knn_branch(collection, knn, distance, None, embedder, dimension)
-    words = text_branch(collection, text, window)
+def _for_each_query(words: DataFrame, knn: KnnBranch) -> DataFrame:
     # The text list is at most `window` entries; as one array value it reaches every
     # query by a projection, without a join.
     listed = words.agg(F.array_agg(F.struct("rank", ID, "score"))).scalar()
-    per_query = knn.queries.select("query_id").select("query_id", F.inline(listed))
-    return fuse(per_query, vectors, n_results, window, constant)
+    return knn.queries.select("query_id", F.inline(listed))
 
 
 def hybrid_search(collection: DataFrame, queries: DataFrame | None = None,
@@ -197,12 +195,13 @@ def hybrid_filtered(collection: DataFrame, text: TextBranch | None = None,
     doc = document_predicate(text.where_document) if text else None
     if knn is not None:
         both = replace(knn, where=conjunction(where, knn.where, doc))
-        hits = knn_branch(collection, both, distance, n_results, embedder, dimension)
-        return with_columns(hits, collection, include)
+        hits, count = knn_branch(collection, both, distance, n_results, embedder, dimension)
+        return with_columns(hits, collection, include, count * n_results)
     rows = page(filtered(collection, where, doc), n_results, 0).select(
         F.lit(0).alias("query_id"), ID, F.lit(0.0).alias("distance"))
     hits = top_k(rows, "query_id", [F.col(ID)], n_results)
-    return with_columns(hits.select("query_id", "rank", ID, "distance"), collection, include)
+    return with_columns(hits.select("query_id", "rank", ID, "distance"), collection, include,
+                        n_results)
 
 
 def with_distances(hits: DataFrame) -> DataFrame:

@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docweave.errors import EmbeddingError, InvalidInputError
@@ -38,22 +40,48 @@ def metric_name(distance: str) -> str:
     return distance if distance == "negative_inner_product" else distance_name(distance)
 
 
-def check_queries(queries: DataFrame, dimension: int | None) -> tuple[int, int]:
-    """Row count and dimension of a query table; raises when empty or ragged."""
-    size = F.size(EMBEDDING)
-    row = queries.agg(F.count("*").alias("n"), F.min(size).alias("low"), F.max(size).alias("high"),
-                      F.count_if(F.col(EMBEDDING).isNull() | F.col("query_id").isNull())
-                      .alias("nulls")).first()
-    if row["n"] == 0:
+@dataclass(frozen=True)
+class Queries:
+    """Checked query vectors: a local Arrow table when they fit into every task."""
+
+    frame: DataFrame
+    count: int
+    dimension: int
+    local: pa.Table | None
+
+
+def check_queries(queries: DataFrame, dimension: int | None, k: int) -> Queries:
+    """Check `queries(query_id, embedding[, cells])`: not empty, no NULL, one dimension.
+
+    Reads at most as many rows as may be local; only a larger table is then counted."""
+    if k < 1:
+        raise InvalidInputError(f"k must be at least 1, got {k}")
+    if dimension is None:
+        first = queries.select(F.size(EMBEDDING)).first()
+        dimension = first[0] if first and first[0] else 1
+    keep = [c for c in ("query_id", EMBEDDING, "cells") if c in queries.columns]
+    limit = min(sizing.MAX_BROADCAST_BYTES // (dimension * 8), sizing.MAX_TASK_HITS // k)
+    local = queries.select(keep).limit(limit + 1).toArrow()
+    if len(local) <= limit:
+        sizes = pc.list_value_length(local[EMBEDDING])
+        count = len(local)
+        nulls = sizes.null_count + local["query_id"].null_count
+        wrong = sorted(set(sizes.drop_null().to_pylist()) - {dimension})
+    else:
+        size, local = F.size(EMBEDDING), None
+        row = queries.agg(
+            F.count("*").alias("n"), F.min(size).alias("low"), F.max(size).alias("high"),
+            F.count_if(F.col(EMBEDDING).isNull() | F.col("query_id").isNull()).alias("nulls")).first()
+        count, nulls = row["n"], row["nulls"]
+        wrong = sorted({row["low"], row["high"]} - {dimension})
+    if count == 0:
         raise InvalidInputError("queries must not be empty")
-    if row["nulls"]:
-        raise InvalidInputError(f"{row['nulls']} query rows lack an id or a vector")
-    want = dimension or row["high"]
-    if row["low"] != want or row["high"] != want:
-        bad = row["low"] if row["low"] != want else row["high"]
+    if nulls:
+        raise InvalidInputError(f"{nulls} query rows lack an id or a vector")
+    if wrong:
         raise InvalidInputError(
-            f"embedding dimension {bad} does not match collection dimension {want}")
-    return row["n"], want
+            f"embedding dimension {wrong[0]} does not match collection dimension {dimension}")
+    return Queries(queries.select(keep), count, dimension, local)
 
 
 def include_columns(include) -> list[str]:
@@ -74,9 +102,10 @@ def nearest(collection: DataFrame, queries: DataFrame, k: int, distance: str = "
     Filters apply before the cut to k. Rows without a vector are never hits. Returns
     `(query_id, rank, _id, [included columns], distance)`, one row per hit; ties go to
     the smaller id."""
+    checked = check_queries(queries, dimension, k)
     rows = filtered(collection, where, where_document).select(ID, EMBEDDING)
-    hits = search(rows, queries, k, metric_name(distance), dimension)
-    return with_columns(hits, collection, include)
+    hits = search(rows, checked, k, metric_name(distance))
+    return with_columns(hits, collection, include, checked.count * k)
 
 
 def nearest_texts(collection: DataFrame, queries: DataFrame, k: int, embedder,
@@ -97,13 +126,17 @@ def filtered(collection: DataFrame, where: Column | None,
     return collection if predicate is None else collection.where(predicate)
 
 
-def with_columns(hits: DataFrame, collection: DataFrame, include) -> DataFrame:
-    """Join the included columns to finished hits. Hits are few, so AQE turns this
-    into a broadcast of the hits when their measured size allows it."""
+def with_columns(hits: DataFrame, collection: DataFrame, include, at_most: int) -> DataFrame:
+    """Join the included columns to finished hits, of which there are `at_most` so many.
+
+    Few hits are broadcast, so the collection is only scanned; the shuffled join
+    beyond that keeps every hit too."""
     extra = include_columns(include)
     scores = [c for c in hits.columns if c not in ("query_id", "rank", ID)]
     if extra:
-        hits = hits.join(collection.select(ID, *extra), ID)
+        if at_most <= sizing.MAX_BROADCAST_ROWS:
+            hits = F.broadcast(hits)
+        hits = collection.select(ID, *extra).join(hits, ID)
     return hits.select("query_id", "rank", ID, *extra, *scores)
 
 
@@ -117,20 +150,14 @@ def nested(hits: DataFrame, queries: DataFrame) -> DataFrame:
             .groupBy("query_id").agg(F.sort_array(F.collect_list("hit")).alias("hits")))
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int, metric: str,
-           dimension: int | None = None) -> DataFrame:
+def search(rows: DataFrame, queries: Queries, k: int, metric: str) -> DataFrame:
     """Hits `(query_id, rank, _id, distance)` of rows `(_id, embedding[, cell])`.
 
-    With a `cell` column in `rows`, `queries` carries `cells`, the array of cells each
+    With a `cell` column in `rows`, the queries carry `cells`, the array of cells each
     query looks into; other rows are not compared with it."""
-    if k < 1:
-        raise InvalidInputError(f"k must be at least 1, got {k}")
-    count, dimension = check_queries(queries, dimension)
-    rows = rows.where(F.size(EMBEDDING) == dimension)
-    if count * dimension * 8 <= sizing.MAX_BROADCAST_BYTES:
-        best = _with_query_matrix(rows, queries, k, metric)
-    else:
-        best = _with_blocks(rows, queries, k, metric, count, dimension)
+    rows = rows.where(F.size(EMBEDDING) == queries.dimension)
+    compare = _with_query_matrix if queries.local is not None else _with_blocks
+    best = compare(rows, queries, k, metric)
     ranked = top_k(best, "query_id", [F.col("distance"), F.col(ID)], k)
     return ranked.select("query_id", "rank", ID, "distance")
 
@@ -144,8 +171,9 @@ def _hit_schema(queries: DataFrame) -> T.StructType:
 
 
 def _as_hits(best: BestHits, query_ids: pa.Array) -> pa.Table:
-    return pa.table({"query_id": query_ids.take(best.hits["q"].combine_chunks()),
-                     ID: best.hits["_id"], "distance": best.hits["distance"]})
+    hits = best.result()
+    return pa.table({"query_id": query_ids.take(hits["q"].combine_chunks()),
+                     ID: hits["_id"], "distance": hits["distance"]})
 
 
 def _positions_by_cell(probes: list[list[int]]) -> dict[int, np.ndarray]:
@@ -157,10 +185,10 @@ def _positions_by_cell(probes: list[list[int]]) -> dict[int, np.ndarray]:
     return {cell: np.array(positions) for cell, positions in table.items()}
 
 
-def _with_query_matrix(rows: DataFrame, queries: DataFrame, k: int, metric: str) -> DataFrame:
+def _with_query_matrix(rows: DataFrame, queries: Queries, k: int, metric: str) -> DataFrame:
     """Queries as one matrix in every task; rows are scanned in place, no shuffle."""
     by_cell = "cell" in rows.columns
-    table = queries.select("query_id", EMBEDDING, *(["cells"] if by_cell else [])).toArrow()
+    table = queries.local
     query_ids = table["query_id"].combine_chunks()
     matrix = to_matrix(table[EMBEDDING])
     lookup = _positions_by_cell(table["cells"].to_pylist()) if by_cell else None
@@ -180,17 +208,18 @@ def _with_query_matrix(rows: DataFrame, queries: DataFrame, k: int, metric: str)
                 best.add(ids.take(pa.array(at)), vectors[at], lookup[cell])
         yield from _as_hits(best, query_ids).to_batches()
 
-    return rows.mapInArrow(scan, _hit_schema(queries))
+    return rows.mapInArrow(scan, _hit_schema(queries.frame))
 
 
-def _with_blocks(rows: DataFrame, queries: DataFrame, k: int, metric: str,
-                 count: int, dimension: int) -> DataFrame:
+def _with_blocks(rows: DataFrame, checked: Queries, k: int, metric: str) -> DataFrame:
     """Both sides cut into hash blocks of bounded size, one cogroup per pair of blocks.
 
     Rows are copied once per query block, the (smaller) query side once per row block. With cells, a
     cell that holds many rows or attracts many queries is cut into as many blocks as
     its own counts ask for."""
-    per_block = max(1, sizing.BLOCK_BYTES // (dimension * 8))
+    queries = checked.frame
+    per_block = min(sizing.BLOCK_BYTES // (checked.dimension * 8), sizing.MAX_TASK_HITS // k)
+    per_block = max(1, per_block)
 
     def blocks(n: Column) -> Column:
         return F.ceil(n / F.lit(per_block)).cast("int")
@@ -204,7 +233,7 @@ def _with_blocks(rows: DataFrame, queries: DataFrame, k: int, metric: str,
         rows, queries = rows.join(cuts, "cell"), queries.join(cuts, "cell")
     else:
         row_cut = math.ceil(max(1, rows.count()) / per_block)
-        query_cut = math.ceil(count / per_block)
+        query_cut = math.ceil(checked.count / per_block)
         cuts = {"cell": F.lit(0), "_rows": F.lit(row_cut), "_queries": F.lit(query_cut)}
         rows, queries = rows.withColumns(cuts), queries.withColumns(cuts)
 

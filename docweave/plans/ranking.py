@@ -6,22 +6,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docweave.plans.sizing import GROUP_LIMIT_THRESHOLD
 
-SALTS = 64
 
-
-def top_k(df: DataFrame, group: str, order: list[Column], k: int,
-          tie: str = "_id", rank: str = "rank") -> DataFrame:
+def top_k(df: DataFrame, group: str, order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     """First `k` rows of each group with their 1-based rank.
 
     `row_number() <= k` lets Spark keep only k rows per group and input partition
-    before the shuffle. For k past Spark's threshold for that, a salted first pass
-    does the same cut over slices of the group, so no task sorts a whole group.
+    before the shuffle. For k past Spark's threshold for that, a first pass does the
+    same cut over the group's share of each input partition, so no task sorts a whole
+    group.
     """
     if k > GROUP_LIMIT_THRESHOLD:
-        salt = F.pmod(F.xxhash64(tie), F.lit(SALTS))
-        slices = Window.partitionBy(group, "_salt").orderBy(*order)
-        df = (df.withColumn("_salt", salt)
-              .withColumn("_n", F.row_number().over(slices))
-              .where(F.col("_n") <= k).drop("_salt", "_n"))
+        shares = Window.partitionBy(group, "_share").orderBy(*order)
+        df = (df.withColumn("_share", F.spark_partition_id())
+              .withColumn("_n", F.row_number().over(shares))
+              .where(F.col("_n") <= k).drop("_share", "_n"))
     ranked = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return df.withColumn(rank, ranked.cast("bigint")).where(F.col(rank) <= k)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 MAX_BROADCAST_ROWS = 100_000           # narrow rows: ids, tokens
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024  # wide rows, and the query matrix in each task
 BLOCK_BYTES = 32 * 1024 * 1024          # vectors of one block when both sides are large
+MAX_TASK_HITS = 1_000_000               # queries x k kept by one task
 GROUP_LIMIT_THRESHOLD = 1000            # beyond it Spark no longer cuts top-k before the shuffle
 
 
