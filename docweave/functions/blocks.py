@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _CELLS = 4_000_000   # entries of one rows x queries product
 _PAIRS = 100_000     # pairs recomputed at a time
@@ -24,6 +25,11 @@ def to_matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(vectors), -1) if len(vectors) else flat.reshape(0, 0)
 
 
+def with_dimension(rows: pa.RecordBatch | pa.Table, column: str, dimension: int):
+    """The rows whose vector has that many elements; NULL vectors are dropped."""
+    return rows.filter(pc.equal(pc.list_value_length(rows[column]), dimension))
+
+
 def pair_distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     """Distance of each row of `a` to the same row of `b`."""
     if metric == "l2":

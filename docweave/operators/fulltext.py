@@ -79,24 +79,23 @@ def bm25_one(index: DataFrame, text: str, k: int, where: Column | None = None,
              tokenizer: Tokenizer = tokens) -> DataFrame:
     """`bm25` for one text, with query_id 0.
 
-    The words of one text fit into one map value, so each row is scored where it is
+    The words of one text fit into one array value, so each row is scored where it is
     read and nothing but the best k per task is shuffled."""
     _check_k(k)
     query = index.sparkSession.range(1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
     weights = _weights(index, _query_words(query, tokenizer), small=True)
-    entry = F.struct("token", F.struct("idf", "mean_len"))
-    weights = weights.agg(F.map_from_entries(F.array_agg(entry))).scalar()
+    weights = weights.agg(F.array_agg(F.struct("token", "idf", "mean_len"))).scalar()
 
     rows = index if where is None else index.where(where)
     rows = rows.select(ID, "doc_len", "terms", weights.alias("_weights"))
 
-    def add(total, term):
-        weight = F.try_element_at(F.col("_weights"), term["token"])
-        part = _part(weight["idf"], term["tf"], weight["mean_len"])
+    def add(total, word):
+        place = F.array_position(F.col("terms.token"), word["token"]).cast("int")
+        part = _part(word["idf"], F.get(F.col("terms.tf"), place - 1), word["mean_len"])
         return total + F.coalesce(part, F.lit(0).cast("bigint"))
 
     scored = rows.select(F.lit(0).alias("query_id"), ID,
-                         F.aggregate("terms", F.lit(0).cast("bigint"), add).alias("part"))
+                         F.aggregate("_weights", F.lit(0).cast("bigint"), add).alias("part"))
     # Rows without a match rank last; dropping them earlier would score every row twice.
     return _ranked(scored, k).where(F.col("score") > 0)
 

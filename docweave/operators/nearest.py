@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docweave.errors import EmbeddingError, InvalidInputError
-from docweave.functions.blocks import BestHits, to_matrix
+from docweave.functions.blocks import BestHits, to_matrix, with_dimension
 from docweave.functions.filters import conjunction
 from docweave.functions.text import DocFilter, document_predicate
 from docweave.plans import sizing
@@ -155,7 +155,8 @@ def search(rows: DataFrame, queries: Queries, k: int, metric: str) -> DataFrame:
 
     With a `cell` column in `rows`, the queries carry `cells`, the array of cells each
     query looks into; other rows are not compared with it."""
-    rows = rows.where(F.size(EMBEDDING) == queries.dimension)
+    # Rows without a fitting vector are dropped in the kernel: a filter on a vector that an
+    # embedding function makes on the fly would make it twice.
     compare = _with_query_matrix if queries.local is not None else _with_blocks
     best = compare(rows, queries, k, metric)
     ranked = top_k(best, "query_id", [F.col("distance"), F.col(ID)], k)
@@ -188,7 +189,7 @@ def _positions_by_cell(probes: list[list[int]]) -> dict[int, np.ndarray]:
 def _with_query_matrix(rows: DataFrame, queries: Queries, k: int, metric: str) -> DataFrame:
     """Queries as one matrix in every task; rows are scanned in place, no shuffle."""
     by_cell = "cell" in rows.columns
-    table = queries.local
+    table, dimension = queries.local, queries.dimension
     query_ids = table["query_id"].combine_chunks()
     matrix = to_matrix(table[EMBEDDING])
     lookup = _positions_by_cell(table["cells"].to_pylist()) if by_cell else None
@@ -198,6 +199,7 @@ def _with_query_matrix(rows: DataFrame, queries: Queries, k: int, metric: str) -
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestHits(matrix, k, metric)
         for batch in batches:
+            batch = with_dimension(batch, EMBEDDING, dimension)
             ids, vectors = batch.column(ID), to_matrix(batch.column(EMBEDDING))
             if lookup is None:
                 best.add(ids, vectors)
@@ -249,14 +251,15 @@ def _with_blocks(rows: DataFrame, checked: Queries, k: int, metric: str) -> Data
                            every("_rows").alias("_r"))
     keys = ["cell", "_r", "_q"]
     schema = _hit_schema(queries)
-    compare = _block_kernel(k, metric, [f.name for f in schema])
+    compare = _block_kernel(k, metric, checked.dimension, [f.name for f in schema])
     return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(compare, schema)
 
 
-def _block_kernel(k: int, metric: str,
+def _block_kernel(k: int, metric: str, dimension: int,
                   names: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def compare(rows: pa.Table, queries: pa.Table) -> pa.Table:
         query_ids = queries["query_id"].combine_chunks()
+        rows = with_dimension(rows, EMBEDDING, dimension)
         best = BestHits(to_matrix(queries[EMBEDDING]), k, metric)
         if len(rows) and len(query_ids):
             best.add(rows[ID].combine_chunks(), to_matrix(rows[EMBEDDING]))

@@ -18,7 +18,7 @@ from docweave.functions.embedding import HashEmbedding, mean_pool
 from docweave.functions.text import AllOf, AnyOf, Contains, Regex
 from docweave.operators import cells, fulltext, hybrid, nearest, reads, writes
 from docweave.schema import conform
-from docweave.sources.collection import create_collection, open_collection
+from docweave.sources.collection import create_collection, open_collection, stored
 
 DIMENSION = 64
 EMBEDDER = HashEmbedding(DIMENSION)
@@ -36,6 +36,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give every core a share of a table that is one file with one row group, which
+    Spark would read in one task. Tables of many files stay as they are."""
+    if len(rows.inputFiles()) > 1:
+        return rows
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def json_of(*columns) -> Column:
     """VARIANT object of some columns; a NULL becomes a missing key."""
     return F.parse_json(F.to_json(F.struct(*columns)))
@@ -46,7 +54,7 @@ def text_id(column, factor: int = 1) -> Column:
 
 
 def collection(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
+    documents = spread(table(spark, folder, "documents"))
     vectors = table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("doc_id"), "embedding")
     labels = table(spark, folder, "labels")
@@ -61,6 +69,12 @@ def hashed_collection(spark: SparkSession, folder: str) -> DataFrame:
     return collection(spark, folder).withColumn("embedding", EMBEDDER.embed(F.col("document")))
 
 
+def stored_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Term index of the collection as a table in the shared folder; scoring reads it twice."""
+    rows = collection(spark, folder).drop("embedding")
+    return stored(fulltext.term_index(rows), "term_index")
+
+
 def vector_queries(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
 
@@ -263,13 +277,13 @@ def postings(spark, folder):
 
 @query
 def bm25_topk(spark, folder):
-    index = fulltext.term_index(collection(spark, folder))
+    index = stored_index(spark, folder)
     return ranked(fulltext.bm25(index, text_queries(spark, folder), 10))
 
 
 @query
 def bm25_filtered(spark, folder):
-    index = fulltext.term_index(collection(spark, folder))
+    index = stored_index(spark, folder)
     return ranked(fulltext.bm25(index, text_queries(spark, folder), 10, where=where.eq("lang", "en")))
 
 
@@ -286,7 +300,7 @@ def add_rows(spark, folder):
 @query
 def add_embedded(spark, folder):
     """Vectors made from the documents on the way in."""
-    new = table(spark, folder, "conversations").select(
+    new = spread(table(spark, folder, "conversations")).select(
         F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("_id"), F.col("text").alias("document"))
     return flat(writes.add(collection(spark, folder), new, DIMENSION, EMBEDDER))
 
@@ -358,7 +372,7 @@ def collection_lifecycle(spark, folder):
     name = f"lifecycle_{uuid.uuid4().hex[:12]}"
     create_collection(spark, name, DIMENSION, "cosine", collection(spark, folder))
     stored = open_collection(spark, name, EMBEDDER)
-    stored.add(table(spark, folder, "conversations").select(
+    stored.add(spread(table(spark, folder, "conversations")).select(
         F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("_id"), F.col("text").alias("document")))
     stored.upsert(table(spark, folder, "labels").select(
         text_id("doc_id", 3), json_of("quality").alias("metadata")))
@@ -453,7 +467,7 @@ def approx_probe(spark, folder):
 def hybrid_simple(spark, folder):
     return ranked(hybrid.hybrid_search(
         hashed_collection(spark, folder), text_queries(spark, folder), where.eq("lang", "en"),
-        Contains(WORDS), 10, [], embedder=EMBEDDER))
+        Contains(WORDS), 10, [], embedder=EMBEDDER, index=stored_index(spark, folder)))
 
 
 @query
@@ -464,7 +478,8 @@ def hybrid_simple_texts(spark, folder):
 
 @query
 def hybrid_text_branch(spark, folder):
-    text = hybrid.TextBranch(where.gte("n_chars", 500), AllOf(Contains("license"), Contains(WORDS)))
+    text = hybrid.TextBranch(where.gte("n_chars", 500), AllOf(Contains("license"), Contains(WORDS)),
+                             stored_index(spark, folder))
     return ranked(hybrid.hybrid_search_advanced(collection(spark, folder), text, n_results=50, include=[]))
 
 
@@ -491,7 +506,7 @@ def hybrid_knn_only(spark, folder):
 @query
 def hybrid_rrf(spark, folder):
     """Text and vector branch with filters of their own, fused over a window."""
-    text = hybrid.TextBranch(where.eq("lang", "en"), Contains(WORDS))
+    text = hybrid.TextBranch(where.eq("lang", "en"), Contains(WORDS), stored_index(spark, folder))
     knn = hybrid.KnnBranch(vector_queries(spark, folder), where.gte("n_chars", 500), n_results=20)
     return ranked(hybrid.hybrid_search_advanced(
         collection(spark, folder), text, knn, hybrid.Rrf(30, 20), 10, [], "cosine"))
@@ -544,7 +559,7 @@ def count(spark, folder):
 
 @query
 def embed_hash(spark, folder):
-    vectors = table(spark, folder, "documents").select(
+    vectors = spread(table(spark, folder, "documents")).select(
         "doc_id", F.posexplode(EMBEDDER.embed(F.col("text"))).alias("pos", "value"))
     return vectors.where("value <> 0").select(
         "doc_id", F.col("pos").cast("bigint"), F.round(F.col("value").cast("double"), 6).alias("value"))
