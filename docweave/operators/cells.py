@@ -18,6 +18,7 @@ from docweave.functions.text import DocFilter
 from docweave.operators.nearest import (
     check_queries, filtered, metric_name, search, with_columns)
 from docweave.schema import EMBEDDING, ID
+from docweave.sources.storage import stored
 
 TRAINING_ROWS = 1_000_000
 WRITERS_PER_CELL = 32
@@ -31,8 +32,8 @@ def train_cells(collection: DataFrame, cells: int, distance: str = "cosine",
     if metric_name(distance) == "cosine":
         vectors = vectors.where(_has_length(EMBEDDING))
     count = vectors.count()
-    if count > training_rows:
-        vectors = vectors.sample(training_rows / count, seed=seed)
+    if count > training_rows:  # stored, since k-means goes over it many times
+        vectors = stored(vectors.select(EMBEDDING).sample(training_rows / count, seed=seed), "training")
     features = vectors.select(array_to_vector(F.col(EMBEDDING).cast("array<double>")).alias("features"))
     measure = "cosine" if metric_name(distance) == "cosine" else "euclidean"
     return KMeans(k=cells, seed=seed, distanceMeasure=measure).fit(features)

@@ -9,6 +9,9 @@ stage: a common word lengthens a task's stream, but its matches are not shuffled
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.errors import InvalidInputError
@@ -16,6 +19,7 @@ from docweave.functions.text import Tokenizer, tokens
 from docweave.plans import sizing
 from docweave.plans.ranking import top_k
 from docweave.schema import DOCUMENT, ID
+from docweave.sources.storage import stored
 
 # The usual BM25 parameters, and the scale at which scores are summed.
 # Sums of whole numbers do not depend on their order, so equal texts get equal scores.
@@ -58,21 +62,27 @@ def bm25(index: DataFrame, queries: DataFrame, k: int, where: Column | None = No
 
     Any word of the query matches; a repeated query word counts once. `where` limits
     the hits, while word statistics stay those of the whole collection. Returns
-    `(query_id, rank, _id, score)`; ties go to the smaller id."""
+    `(query_id, rank, _id, score)`; ties go to the smaller id.
+
+    A query table too large for one broadcast is cut into blocks of queries, each of
+    them broadcast to its own pass over the index."""
     _check_k(k)
-    words = _query_words(queries, tokenizer)
-    small = sizing.fits(words)
-    weights = _weights(index, words, small)
-    vocabulary = words.select("token").distinct()
-    if small:
-        weights, vocabulary = F.broadcast(weights), F.broadcast(vocabulary)
-    rows = index if where is None else index.where(where)
-    rows = rows.select(ID, "doc_len", F.inline_outer("terms"))
-    rows = rows.join(vocabulary, "token", "left_semi").repartition(ID)
-    parts = rows.join(weights, "token").select(
-        "query_id", ID, _part(F.col("idf"), F.col("tf"), F.col("mean_len")).alias("part"))
-    scored = parts.groupBy("query_id", ID).agg(F.sum("part").alias("part"))
-    return _ranked(scored, k)
+    words = queries.select(
+        "query_id", F.explode(F.array_distinct(tokenizer(F.col("text")))).alias("token"))
+    parts = index if where is None else index.where(where)
+    parts = parts.select(ID, "doc_len", F.inline_outer("terms"))
+    if sizing.fits(words, sizing.MAX_BROADCAST_ROWS):
+        weights = F.broadcast(word_weights(index, words, small=True))
+        return _best(_parts(parts, weights), words, k)
+
+    # Twice as many blocks as needed on average, for room around it.
+    blocks = 2 * math.ceil(words.count() / sizing.MAX_BROADCAST_ROWS)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
+    words = stored(words.withColumn("block", block), "query_words", "block")
+    weights = word_weights(index, words, small=False)
+    parts = stored(_parts(parts, weights), "word_parts")
+    hits = [_best(parts, words.where(F.col("block") == b).drop("block"), k) for b in range(blocks)]
+    return reduce(DataFrame.unionByName, hits)
 
 
 def bm25_one(index: DataFrame, text: str, k: int, where: Column | None = None,
@@ -82,8 +92,9 @@ def bm25_one(index: DataFrame, text: str, k: int, where: Column | None = None,
     The words of one text fit into one array value, so each row is scored where it is
     read and nothing but the best k per task is shuffled."""
     _check_k(k)
-    query = index.sparkSession.range(1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
-    weights = _weights(index, _query_words(query, tokenizer), small=True)
+    words = index.sparkSession.range(1).select(
+        F.explode(F.array_distinct(tokenizer(F.lit(text)))).alias("token"))
+    weights = word_weights(index, words, small=True)
     weights = weights.agg(F.array_agg(F.struct("token", "idf", "mean_len"))).scalar()
 
     rows = index if where is None else index.where(where)
@@ -100,37 +111,53 @@ def bm25_one(index: DataFrame, text: str, k: int, where: Column | None = None,
     return _ranked(scored, k).where(F.col("score") > 0)
 
 
+def word_weights(index: DataFrame, words: DataFrame, small: bool) -> DataFrame:
+    """`(token, idf, mean_len)` for those of the words that occur in the collection.
+
+    Rows are counted per word before the shuffle, so a common word costs one row per
+    task. With few words the others are dropped even before that."""
+    vocabulary = words.select("token").distinct()
+    seen = index.select(F.inline_outer("terms")).select("token")
+    if small:
+        seen = seen.join(F.broadcast(vocabulary), "token", "left_semi")
+    found = seen.where(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("df"))
+    if not small:
+        found = found.join(vocabulary, "token", "left_semi")
+    corpus = index.agg(F.count("doc_len").alias("n"), F.avg("doc_len").alias("mean_len"))
+    found = found.withColumn("_corpus", corpus.select(F.struct("n", "mean_len")).scalar())
+    rarity = (F.col("_corpus.n") - F.col("df") + 0.5) / (F.col("df") + 0.5)
+    return found.select("token", F.log1p(rarity).alias("idf"), F.col("_corpus.mean_len").alias("mean_len"))
+
+
+def _parts(rows: DataFrame, weights: DataFrame) -> DataFrame:
+    """`(token, _id, part)`: what each asked word adds to the score of each row.
+
+    The same for all queries with that word, so it is worked out before rows and queries
+    meet."""
+    return rows.join(weights, "token").select(
+        "token", ID, _part(F.col("idf"), F.col("tf"), F.col("mean_len")).alias("part"))
+
+
+def _best(parts: DataFrame, words: DataFrame, k: int) -> DataFrame:
+    """Top k per query of few query words. Partitioned by row, parts are summed per
+    (query, row) and cut to k per query in the same stage."""
+    scored = (parts.repartition(ID).join(F.broadcast(words), "token")
+              .groupBy("query_id", ID).agg(F.sum("part").alias("part")))
+    return _ranked(scored, k)
+
+
 def _check_k(k: int) -> None:
     if k < 1:
         raise InvalidInputError(f"k must be at least 1, got {k}")
 
 
-def _query_words(queries: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    return queries.select(
-        "query_id", F.explode(F.array_distinct(tokenizer(F.col("text")))).alias("token"))
-
-
 def _part(idf: Column, tf: Column, mean_len: Column) -> Column:
     """Share of one word in a score, as a whole number of 1/SCALE."""
     length = F.lit(1 - B) + F.lit(B) * F.col("doc_len") / mean_len
     share = idf * (tf * F.lit(K1 + 1)) / (tf + F.lit(K1) * length)
-    return F.round(share * F.lit(float(SCALE))).cast("bigint")
+    return F.floor(share * F.lit(float(SCALE)) + 0.5).cast("bigint")
 
 
 def _ranked(scored: DataFrame, k: int) -> DataFrame:
     ranked = top_k(scored, "query_id", [F.col("part").desc(), F.col(ID)], k)
     return ranked.select("query_id", "rank", ID, (F.col("part") / F.lit(float(SCALE))).alias("score"))
-
-
-def _weights(index: DataFrame, words: DataFrame, small: bool) -> DataFrame:
-    """`(query_id, token, idf, mean_len)` for the words that occur in the collection."""
-    vocabulary = words.select("token").distinct()
-    seen = index.select(F.inline_outer("terms")).select("token").join(
-        F.broadcast(vocabulary) if small else vocabulary, "token", "left_semi")
-    found = seen.groupBy("token").agg(F.count("*").alias("df"))
-    corpus = index.agg(F.count("doc_len").alias("n"), F.avg("doc_len").alias("mean_len"))
-    weighted = words.join(found, "token").withColumn(
-        "_corpus", corpus.select(F.struct("n", "mean_len")).scalar())
-    rarity = F.col("_corpus.n") - F.col("df") + 0.5
-    return weighted.select("query_id", "token", F.log1p(rarity / (F.col("df") + 0.5)).alias("idf"),
-                           F.col("_corpus.mean_len").alias("mean_len"))

@@ -97,8 +97,8 @@ def bm25(k: int, words: str, predicate: str = "TRUE") -> str:
     rarity AS (SELECT token, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
                FROM term_counts CROSS JOIN corpus GROUP BY token),
     parts AS (
-      SELECT query_id, t._id, CAST(round(
-        idf * (tf * {K1 + 1}) / (tf + {K1} * ({1 - B} + {B} * doc_len / mean_len)) * {SCALE}.0
+      SELECT query_id, t._id, CAST(floor(
+        idf * (tf * {K1 + 1}) / (tf + {K1} * ({1 - B} + {B} * doc_len / mean_len)) * {SCALE}.0 + 0.5
       ) AS BIGINT) AS part
       FROM words JOIN rarity USING (token) JOIN term_counts t USING (token) CROSS JOIN corpus
       JOIN coll c ON c._id = t._id WHERE {predicate}),

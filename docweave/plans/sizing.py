@@ -15,10 +15,10 @@ MAX_TASK_HITS = 1_000_000               # queries x k kept by one task
 GROUP_LIMIT_THRESHOLD = 1000            # beyond it Spark no longer cuts top-k before the shuffle
 
 
-def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether a frame of narrow rows is small; counts at most `max_rows + 1` rows."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits(df, max_rows) else df
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits(df, MAX_BROADCAST_ROWS) else df

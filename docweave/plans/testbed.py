@@ -18,7 +18,8 @@ from docweave.functions.embedding import HashEmbedding, mean_pool
 from docweave.functions.text import AllOf, AnyOf, Contains, Regex
 from docweave.operators import cells, fulltext, hybrid, nearest, reads, writes
 from docweave.schema import conform
-from docweave.sources.collection import create_collection, open_collection, stored
+from docweave.sources.collection import create_collection, open_collection
+from docweave.sources.storage import stored
 
 DIMENSION = 64
 EMBEDDER = HashEmbedding(DIMENSION)

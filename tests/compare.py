@@ -24,7 +24,7 @@ def oracle(folder: str, sql: str) -> pa.Table:
     con = duckdb.connect()
     for name in TABLES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
-    return con.execute(sql).to_arrow_table()
+    return con.sql(sql).to_arrow_table()
 
 
 def difference(spark_rows: pa.Table, sql_rows: pa.Table) -> str | None:

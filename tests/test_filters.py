@@ -24,7 +24,7 @@ def typed(spark):
     frame = spark.createDataFrame(data, "_id string, j string").select(
         "_id", F.parse_json("j").alias("metadata"))
     # Through Parquet, so that the predicates are pushed into the scan.
-    from docweave.sources.collection import stored
+    from docweave.sources.storage import stored
     return stored(frame, "typed")
 
 

@@ -16,7 +16,7 @@ from docweave.functions.embedding import BatchEmbedding
 from docweave.functions.text import Contains, Regex
 from docweave.operators import cells, nearest
 from docweave.plans import ranking, sizing
-from docweave.sources.collection import stored
+from docweave.sources.storage import stored
 
 
 @pytest.fixture

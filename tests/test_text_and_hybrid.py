@@ -12,7 +12,7 @@ from docweave.functions.embedding import BatchEmbedding
 from docweave.functions.text import AllOf, AnyOf, Contains, Regex
 from docweave.operators import fulltext, hybrid, reads
 from docweave.plans import sizing
-from docweave.sources.collection import stored
+from docweave.sources.storage import stored
 
 TEXTS = {
     "hf1": "machine learning with rust", "hf2": "python data science", "hf3": "machine learning basics",
@@ -59,7 +59,7 @@ def test_term_index(base):
 @pytest.mark.parametrize("saved", [True, False])
 def test_bm25(base, spark, small, saved, monkeypatch):
     if not small:
-        monkeypatch.setattr(sizing, "fits", lambda *a: False)
+        monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 3)
     index = fulltext.term_index(base)
     index = stored(index, "index") if saved else index
     texts = ["machine rust", "RUST, rust", "nothing here", "data science of machines"]
