@@ -41,7 +41,7 @@ class Contains:
         words = F.array_distinct(tokens(F.lit(self.text)))
         pattern = F.concat(F.lit(f"(?<!{WORD})(?:"), F.array_join(words, "|"),
                            F.lit(f")(?!{WORD})"))
-        return (F.size(words) > 0) & F.rlike(F.lower(doc), pattern)
+        return (F.array_size(words) > 0) & F.rlike(F.lower(doc), pattern)
 
 
 @dataclass(frozen=True)

@@ -33,11 +33,11 @@ def term_index(collection: DataFrame, tokenizer: Tokenizer = tokens) -> DataFram
     Can be written once and given to every search; columns a search filters by must
     be in it. Lambdas here use only their own arguments: one that looked at another
     column would compute that column anew for each element, should Catalyst inline it."""
-    words, size = F.col("_words"), F.size("_words")
+    words, size = F.col("_words"), F.array_size("_words")
     before = F.concat(F.array(F.lit(None).cast("string")), F.slice(words, 1, F.greatest(size - 1, F.lit(0))))
     first = F.zip_with(words, before, lambda w, b: w.isNotNull() & ~w.eqNullSafe(b))
     starts = F.filter(F.transform(first, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
-    ends = F.concat(F.slice("_starts", 2, F.size("_starts")), F.array(size))
+    ends = F.concat(F.slice("_starts", 2, F.array_size("_starts")), F.array(size))
     counts = F.zip_with("_starts", ends, lambda s, e: (e - s).cast("bigint"))
     terms = F.zip_with(F.array_distinct("_words"), counts,
                        lambda w, n: F.struct(w.alias("token"), n.alias("tf")))

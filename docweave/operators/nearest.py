@@ -57,8 +57,8 @@ def check_queries(queries: DataFrame, dimension: int | None, k: int) -> Queries:
     if k < 1:
         raise InvalidInputError(f"k must be at least 1, got {k}")
     if dimension is None:
-        first = queries.select(F.size(EMBEDDING)).first()
-        dimension = first[0] if first and first[0] else 1
+        first = queries.select(F.array_size(EMBEDDING)).first()
+        dimension = (first and first[0]) or 1
     keep = [c for c in ("query_id", EMBEDDING, "cells") if c in queries.columns]
     limit = min(sizing.MAX_BROADCAST_BYTES // (dimension * 8), sizing.MAX_TASK_HITS // k)
     local = queries.select(keep).limit(limit + 1).toArrow()
@@ -68,7 +68,7 @@ def check_queries(queries: DataFrame, dimension: int | None, k: int) -> Queries:
         nulls = sizes.null_count + local["query_id"].null_count
         wrong = sorted(set(sizes.drop_null().to_pylist()) - {dimension})
     else:
-        size, local = F.size(EMBEDDING), None
+        size, local = F.array_size(EMBEDDING), None
         row = queries.agg(
             F.count("*").alias("n"), F.min(size).alias("low"), F.max(size).alias("high"),
             F.count_if(F.col(EMBEDDING).isNull() | F.col("query_id").isNull()).alias("nulls")).first()

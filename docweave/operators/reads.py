@@ -92,7 +92,7 @@ def nth_id(ids: DataFrame, n: int) -> str | None:
     interval that holds the answer."""
     while n >= DIRECT_PAGE:
         splits = [r[0] for r in ids.orderBy(F.xxhash64(ID), ID).limit(SPLITS).orderBy(ID).collect()]
-        interval = F.size(F.filter(F.array(*map(F.lit, splits)), lambda s: s <= F.col(ID)))
+        interval = F.array_size(F.filter(F.array(*map(F.lit, splits)), lambda s: s <= F.col(ID)))
         counts = dict(ids.groupBy(interval.alias("at")).count().collect())  # at most 1,000 rows
         at = 0
         while at <= len(splits) and n >= counts.get(at, 0):

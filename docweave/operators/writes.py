@@ -38,7 +38,7 @@ class BatchReport:
 def batch_report(dimension: int | None):
     """The aggregates of `measure`, as named columns; `wrong_vectors` counts vectors whose
     length is not `dimension`."""
-    size = F.size(EMBEDDING)
+    size = F.array_size(EMBEDDING)
     wrong = F.lit(False) if dimension is None else size != dimension
     return [
         F.count("*").alias("rows"),
@@ -52,7 +52,7 @@ def measure(changes: DataFrame, dimension: int | None) -> BatchReport:
     """Size of a batch and the number of rows that break the rules, in one pass."""
     width = (F.coalesce(F.octet_length(ID), F.lit(0))
              + F.coalesce(F.octet_length(DOCUMENT), F.lit(0))
-             + F.coalesce(F.when(F.col(EMBEDDING).isNotNull(), 4 * F.size(EMBEDDING)), F.lit(0))
+             + F.coalesce(F.when(F.col(EMBEDDING).isNotNull(), 4 * F.array_size(EMBEDDING)), F.lit(0))
              + F.coalesce(F.octet_length(F.to_json(METADATA)), F.lit(0)))
     row = conform(changes).agg(*batch_report(dimension),
                                F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
@@ -65,8 +65,8 @@ def check(changes: DataFrame, dimension: int | None, need_vectors: bool = False)
     if found.null_ids:
         raise InvalidInputError(f"{found.null_ids} rows have no id")
     if found.wrong_vectors:
-        bad = F.col(EMBEDDING).isNotNull() & (F.size(EMBEDDING) != dimension)
-        sample = changes.where(bad).select(ID, F.size(EMBEDDING).alias("n")).limit(5).collect()
+        bad = F.col(EMBEDDING).isNotNull() & (F.array_size(EMBEDDING) != dimension)
+        sample = changes.where(bad).select(ID, F.array_size(EMBEDDING).alias("n")).limit(5).collect()
         raise InvalidInputError(
             f"embedding dimension {sample[0]['n']} does not match collection dimension {dimension} "
             f"in {found.wrong_vectors} rows, among them {[r[ID] for r in sample]}")
@@ -93,16 +93,21 @@ def fold(changes: DataFrame) -> DataFrame:
     """One change per id: per field, the value with the greatest `seq`.
 
     An aggregate rather than a window: it combines before the shuffle, so an id with very
-    many changes is no burden. Without `seq` the ids must be unique."""
+    many changes is no burden. Without `seq` the ids must be unique, and with it the pairs
+    of id and `seq`."""
     given = _given(changes)
     values = changes
     if METADATA in given:
         values = values.withColumn(METADATA, as_metadata(changes))
-    if "seq" not in changes.columns:
-        twice = changes.groupBy(ID).count().where("count > 1").limit(5).collect()
-        if twice:
-            raise InvalidInputError(
-                f"ids occur twice and the batch has no seq column: {[r[ID] for r in twice]}")
+    order = [c for c in (ID, "seq") if c in changes.columns]
+    unclear = F.col("count") > 1
+    if "seq" in order:
+        unclear = unclear | F.col("seq").isNull()
+    bad = changes.groupBy(order).count().where(unclear).limit(5).collect()
+    if bad:
+        raise InvalidInputError(
+            f"the order of changes is unclear, give each a seq of its own: {[r[ID] for r in bad]}")
+    if "seq" not in order:
         return values.select(ID, *given)
     return values.groupBy(ID).agg(*[
         F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in given])

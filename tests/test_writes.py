@@ -113,8 +113,10 @@ def test_last_change_wins(base, spark, small, monkeypatch):
     after = state(writes.upsert(base, new, 3))
     assert after["id1"] == ("third", [1, 2, 3], '{"a":2}')
     assert after["n"] == ("y", None, "null")
-    with pytest.raises(InvalidInputError):
-        writes.upsert(base, new.drop("seq"), 3)
+    for unclear in (new.drop("seq"), new.withColumn("seq", F.lit(1)),
+                    new.withColumn("seq", F.lit(None).cast("int"))):
+        with pytest.raises(InvalidInputError):
+            writes.upsert(base, unclear, 3)
 
 
 def test_upsert_refuses(base, spark):
