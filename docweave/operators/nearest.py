@@ -29,6 +29,7 @@ from docweave.functions.text import DocFilter, document_predicate
 from docweave.plans import sizing
 from docweave.plans.ranking import top_k
 from docweave.schema import EMBEDDING, ID, distance_name
+from docweave.sources.storage import stored
 
 METRICS = ("l2", "cosine", "inner_product", "negative_inner_product")
 DEFAULT_INCLUDE = ("document", "metadata")
@@ -53,35 +54,35 @@ class Queries:
 def check_queries(queries: DataFrame, dimension: int | None, k: int) -> Queries:
     """Check `queries(query_id, embedding[, cells])`: not empty, no NULL, one dimension.
 
-    Reads at most as many rows as may be local; only a larger table is then counted."""
+    The count leaves the vectors out, so vectors made on the fly are not made for it."""
     if k < 1:
         raise InvalidInputError(f"k must be at least 1, got {k}")
-    if dimension is None:
-        first = queries.select(F.array_size(EMBEDDING)).first()
-        dimension = (first and first[0]) or 1
     keep = [c for c in ("query_id", EMBEDDING, "cells") if c in queries.columns]
-    limit = min(sizing.MAX_BROADCAST_BYTES // (dimension * 8), sizing.MAX_TASK_HITS // k)
-    local = queries.select(keep).limit(limit + 1).toArrow()
-    if len(local) <= limit:
+    queries = queries.select(keep)
+    count = queries.count()
+    if count == 0:
+        raise InvalidInputError("queries must not be empty")
+    if dimension is None:
+        dimension = queries.select(F.array_size(EMBEDDING)).first()[0] or 1
+    local = None
+    if count <= min(sizing.MAX_BROADCAST_BYTES // (dimension * 8), sizing.MAX_TASK_HITS // k):
+        local = queries.toArrow()
         sizes = pc.list_value_length(local[EMBEDDING])
-        count = len(local)
         nulls = sizes.null_count + local["query_id"].null_count
         wrong = sorted(set(sizes.drop_null().to_pylist()) - {dimension})
     else:
-        size, local = F.array_size(EMBEDDING), None
+        queries = stored(queries, "queries")  # read several times from here on
+        size = F.array_size(EMBEDDING)
         row = queries.agg(
-            F.count("*").alias("n"), F.min(size).alias("low"), F.max(size).alias("high"),
+            F.min(size).alias("low"), F.max(size).alias("high"),
             F.count_if(F.col(EMBEDDING).isNull() | F.col("query_id").isNull()).alias("nulls")).first()
-        count, nulls = row["n"], row["nulls"]
-        wrong = sorted({row["low"], row["high"]} - {dimension})
-    if count == 0:
-        raise InvalidInputError("queries must not be empty")
+        nulls, wrong = row["nulls"], sorted({row["low"], row["high"]} - {None, dimension})
     if nulls:
         raise InvalidInputError(f"{nulls} query rows lack an id or a vector")
     if wrong:
         raise InvalidInputError(
             f"embedding dimension {wrong[0]} does not match collection dimension {dimension}")
-    return Queries(queries.select(keep), count, dimension, local)
+    return Queries(queries, count, dimension, local)
 
 
 def include_columns(include) -> list[str]:

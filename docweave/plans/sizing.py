@@ -16,8 +16,9 @@ GROUP_LIMIT_THRESHOLD = 1000            # beyond it Spark no longer cuts top-k b
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether a frame of narrow rows is small; counts at most `max_rows + 1` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether a frame of narrow rows is small. A plain count: a limit before it would
+    send up to that many rows of every partition to one task."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
