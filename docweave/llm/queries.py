@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import bpe, token_files
-from docweave.llm.common import table
+from docweave.llm import bpe, language_id, quality, token_files, toxicity
+from docweave.llm.common import remainder, table
 from docweave.sources.storage import new_location
 
 QUERIES = {}
@@ -30,3 +30,24 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, folder, "documents"),
                                  public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
+    profiles = language_id.stored_profiles(docs.where(~F.col("held_out")))
+    return language_id.predict(docs, profiles, keep=("held_out",))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "posterior")
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
+    lexicon = toxicity.fit(docs.where(~F.col("held_out")), table(spark, folder, "labels"))
+    return toxicity.score(docs, lexicon, keep=("held_out",))
