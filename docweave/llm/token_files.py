@@ -26,6 +26,7 @@ from tokenizers import Tokenizer
 from docweave.llm.bpe import id_lists
 from docweave.llm.chunks import ChunkEncoder
 from docweave.llm.common import BATCH_BYTES, in_batches, slices
+from docweave.plans.sizing import broadcast_if_small
 
 ROW_GROUP_BYTES = 32 * 1024 * 1024
 PAGE_BYTES = 128 * 1024
@@ -108,8 +109,8 @@ def with_starts(stored: DataFrame) -> DataFrame:
     totals = stored.groupBy("shard").agg(F.sum("n_tokens").alias("_ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("shard", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_base"))
-    return (stored.join(bases, "shard", "left").withColumn("start", F.col("_base") + F.col("first"))
-            .drop("_base"))
+    return (stored.join(broadcast_if_small(bases), "shard", "left")
+            .withColumn("start", F.col("_base") + F.col("first")).drop("_base"))
 
 
 def with_checksums(rows: DataFrame, id_column: str = "doc_id") -> DataFrame:
