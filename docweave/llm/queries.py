@@ -5,12 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import bpe, language_id, quality, token_files, toxicity
+from docweave.llm import bpe, decontaminate, language_id, quality, secrets, token_files, toxicity
 from docweave.llm.common import remainder, table
+from docweave.llm.oracles import SQL  # noqa: F401
 from docweave.sources.storage import new_location
 
 QUERIES = {}
-SQL = {}
 
 
 def query(function):
@@ -51,3 +51,14 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
     lexicon = toxicity.fit(docs.where(~F.col("held_out")), table(spark, folder, "labels"))
     return toxicity.score(docs, lexicon, keep=("held_out",))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"),
+                                       table(spark, folder, "benchmark")).drop("_row")
+
+
+@query
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"))
