@@ -20,7 +20,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docweave.plans.sizing import MAX_BROADCAST_ROWS, fits
+from docweave.plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small, fits
 from docweave.sources.storage import stored
 
 WIDTH = 13
@@ -95,21 +95,35 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, begin, add, lambda s: s["n"])
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+          width: int = WIDTH, share: int = SHARE) -> DataFrame:
+    """The input's rows and columns without contaminated documents. Those are few, so their ids
+    and the digests of their texts go to the documents where their measured number allows."""
+    digest = F.md5(F.coalesce(F.col(text_column), F.lit("")))
+    judged = contamination(docs, benchmark, id_column, text_column, width, share, digest)
+    bad = stored(judged.where("contaminated").select(F.col("_digest")).distinct(), "contaminated")
+    marked = docs.withColumn("_digest", digest)
+    return marked.join(broadcast_if_small(bad), "_digest", "left_anti").drop("_digest")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
-                  text_column: str = "text", width: int = WIDTH, share: int = SHARE) -> DataFrame:
-    """(id, n_words, n_hit, n_items, items_sha256, contaminated, _row) of every document; `_row` is the
-    row's number in this reading of the documents."""
-    texts = docs.select(F.col(id_column).alias("_id"), F.monotonically_increasing_id().alias("_row"),
-                        words(F.col(text_column)).alias("words"))
+                  text_column: str = "text", width: int = WIDTH, share: int = SHARE,
+                  digest: Column | None = None) -> DataFrame:
+    """(id, n_words, n_hit, n_items, items_sha256, contaminated) of every document, and `_digest` if
+    an expression for it is given."""
+    extra = {} if digest is None else {"_digest": digest}
+    texts = docs.select(F.struct(F.col(id_column).alias("id"), *(c.alias(n) for n, c in extra.items())).alias("_id"),
+                        F.monotonically_increasing_id().alias("_row"), words(F.col(text_column)).alias("words"))
     windows = stored(item_windows(benchmark, width), "benchmark_windows")
     found = _found(texts, rarest_tokens(windows, texts), width)
     span = F.when(F.col("item").isNotNull(), F.struct("start", (F.col("start") + F.col("length")).alias("end")))
     by_text = found.groupBy("_row").agg(
-        F.first("_id").alias(id_column), F.max("n_words").cast("long").alias("n_words"),
+        F.first("_id").alias("_id"), F.max("n_words").cast("long").alias("n_words"),
         F.sort_array(F.collect_set(span)).alias("spans"),
         F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
     return by_text.select(
-        id_column, "n_words", covered(F.col("spans")).cast("long").alias("n_hit"),
+        F.col("_id.id").alias(id_column), "n_words", covered(F.col("spans")).cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "_row").withColumn(
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        *(f"_id.{n}" for n in extra)).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))

@@ -84,3 +84,21 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
     coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN joined USING (r)
 """
+
+SQL["op1_near_join"] = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+runs AS (
+    SELECT DISTINCT doc_id, list_slice(w, pos, pos + 4) AS run
+    FROM docs, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS u(pos) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM runs x JOIN runs y ON x.run = y.run AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+    WHERE 5 * common.n >= 4 * (s.n + t.n - common.n)),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM docs
+            UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b)
+SELECT doc_id, min(b) AS class_id, (SELECT count(*) FROM links WHERE links.a = docs.doc_id)::BIGINT AS n_links
+FROM docs JOIN reached ON reached.a = docs.doc_id GROUP BY doc_id
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import bpe, decontaminate, language_id, quality, secrets, token_files, toxicity
+from docweave.llm import bpe, decontaminate, language_id, near_join, quality, secrets, token_files, toxicity
 from docweave.llm.common import remainder, table
 from docweave.llm.oracles import SQL  # noqa: F401
 from docweave.sources.storage import new_location
@@ -55,10 +55,14 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contamination(table(spark, folder, "documents"),
-                                       table(spark, folder, "benchmark")).drop("_row")
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 @query
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
+
+
+@query
+def op1_near_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_join.near_join(table(spark, folder, "documents"))
