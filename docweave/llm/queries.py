@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import bpe, decontaminate, language_id, near_join, quality, secrets, token_files, toxicity
+from docweave.llm import bpe, decontaminate, language_id, lm_score, near_join, quality, secrets, token_files, toxicity
 from docweave.llm.common import remainder, table
 from docweave.llm.oracles import SQL  # noqa: F401
 from docweave.sources.storage import new_location
@@ -66,3 +66,9 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_near_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_join.near_join(table(spark, folder, "documents"))
+
+
+@query
+def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("training", remainder("doc_id", 7) != 2)
+    return lm_score.score(docs, "training", public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
