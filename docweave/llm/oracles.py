@@ -102,3 +102,19 @@ reached AS (SELECT doc_id AS a, doc_id AS b FROM docs
 SELECT doc_id, min(b) AS class_id, (SELECT count(*) FROM links WHERE links.a = docs.doc_id)::BIGINT AS n_links
 FROM docs JOIN reached ON reached.a = docs.doc_id GROUP BY doc_id
 """
+
+SQL["op6_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+said AS (
+    SELECT conv_id, coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS loss,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole, count(*) AS n,
+        sum(length('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10))
+            + len(regexp_extract_all(text, '<\\*\|'))) AS formatted
+    FROM turns GROUP BY conv_id)
+SELECT conv_id, n::BIGINT AS n_turns, sha256(whole) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+    sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars
+FROM said
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import bpe, decontaminate, language_id, lm_score, near_join, quality, secrets, token_files, toxicity
+from docweave.llm import bpe, chat, decontaminate, language_id, lm_score, near_join, quality, secrets, token_files, toxicity
 from docweave.llm.common import remainder, table
 from docweave.llm.oracles import SQL  # noqa: F401
 from docweave.sources.storage import new_location
@@ -72,3 +72,11 @@ def op1_near_join(spark: SparkSession, folder: str) -> DataFrame:
 def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("training", remainder("doc_id", 7) != 2)
     return lm_score.score(docs, "training", public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
+
+
+@query
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    control = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.chat(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
