@@ -45,7 +45,7 @@ def vocabulary(counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray,
         part = (np.cumsum(n[rest]) - 1e-9) / n[rest].sum() * bins
         class_of[rest] = SINGLE + 1 + np.minimum(bins - 1, part.astype(int))
     totals = np.bincount(class_of, n, CLASSES)
-    return class_of, np.log(n / totals[class_of]), np.log(np.maximum(totals, 1) / totals.sum())
+    return class_of, np.log(n / totals[class_of]), np.log(np.maximum(totals, 1e-20) / totals.sum())
 
 
 def start_weights(log_share: np.ndarray) -> dict[str, np.ndarray]:
