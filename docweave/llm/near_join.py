@@ -127,7 +127,7 @@ def least_agreements(threshold: float, tolerance: float) -> np.ndarray:
 
 def partners(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """For each row of whole groups, sorted by side, the run of rows it is to be compared with:
-    the other side's, or the later rows of a group that has one side."""
+    the other side's, or the later rows where a block meets itself."""
     n = len(table)
     change = np.zeros(n, bool)
     change[0] = True
@@ -140,8 +140,9 @@ def partners(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     side = np.asarray(table["side"])
     n_right = np.bincount(group, side, len(begin)).astype(np.int64)
     end = (begin + size)[group]
-    start = np.where(n_right[group] > 0, end - n_right[group], np.arange(n) + 1)
-    return start, np.where((n_right[group] > 0) & (side == 1), 0, end - start)
+    same = np.asarray(table["one"]) == np.asarray(table["two"])
+    start = np.where(same, np.arange(n) + 1, end - n_right[group])
+    return start, np.where(same | (side == 0), end - start, 0)
 
 
 def surviving(table: pa.Table, fewest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
