@@ -17,7 +17,6 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from docweave.llm.chunks import ChunkEncoder
-from docweave.llm.common import BATCH_BYTES, in_batches, slices
+from docweave.llm.common import in_batches, slices, worker_cache
 
-MAX_STATES = 150_000
-MAX_JOINS = 300_000
+MAX_STATES = 100_000
+MAX_JOINS = 200_000
+MAX_PIECES = 30_000
+SLICE_BYTES = 3 << 20
 WINDOW = 4096
 ROOT = 0
 
@@ -166,7 +167,7 @@ class TextEncoder:
             if found is None:
                 found = self.transducer.encode(piece.encode())
                 if len(piece) <= 32:
-                    if len(memo) > 100_000:
+                    if len(memo) > MAX_PIECES:
                         memo.clear()
                     memo[piece] = found
             out += found
@@ -240,15 +241,12 @@ class Vocabulary:
         yield decoder.finish()
 
 
-@lru_cache(2)
-def _text_encoder(path: str, pattern: str) -> tuple[TextEncoder, ChunkEncoder]:
-    encoder = TextEncoder(read_ranks(path), pattern)
-    return encoder, ChunkEncoder(encoder.batch)
+def _chunks(path: str, pattern: str) -> ChunkEncoder:
+    return worker_cache(("bpe", path, pattern), lambda: ChunkEncoder(TextEncoder(read_ranks(path), pattern).batch))
 
 
-@lru_cache(2)
 def _vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(read_ranks(path))
+    return worker_cache(("vocabulary", path), lambda: Vocabulary(read_ranks(path)))
 
 
 def id_lists(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
@@ -261,9 +259,9 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id",
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
-        _, chunks = _text_encoder(ranks, pattern)
+        chunks = _chunks(ranks, pattern)
         for batch in batches:
-            for part in slices(batch, text_column, BATCH_BYTES):
+            for part in slices(batch, text_column, SLICE_BYTES):
                 ids, starts = chunks(part[text_column])
                 yield pa.RecordBatch.from_arrays([part[id_column], id_lists(ids, starts)],
                                                  names=[id_column, "ids"])
@@ -298,11 +296,11 @@ def encode_and_decode(docs: DataFrame, ranks: str, pattern: str, id_column: str
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
-        _, chunks = _text_encoder(ranks, pattern)
+        chunks = _chunks(ranks, pattern)
         vocabulary = _vocabulary(ranks)
         decimal = pa.array([str(i) for i in range(len(vocabulary.lengths))])
         for batch in batches:
-            for part in slices(batch, text_column, BATCH_BYTES):
+            for part in slices(batch, text_column, SLICE_BYTES):
                 texts = pc.fill_null(part[text_column], "")
                 ids, starts = chunks(texts)
                 written = pc.binary_join(pa.ListArray.from_arrays(

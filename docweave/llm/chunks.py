@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from docweave.llm.common import encoded, per_text, raw, spans
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 130_000
 #: First bytes of UTF-8 space characters beyond ASCII.
 SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 
@@ -36,24 +36,32 @@ def parted_oddly(chunks: pa.Array, held: list[str]) -> np.ndarray:
 class ChunkEncoder:
     """`encode` maps a list of texts to a list of little-endian uint32 id bytes.
 
-    The memos map chunks seen in this worker to ids, inside a text (with a space before) and
-    at its start; a full one starts afresh, so they bound memory and never change a result."""
+    Memos map chunks seen in this worker to ids, inside a text (with a space before) and at its
+    start. Each keeps two generations, so that frequent chunks outlive rare ones; they bound
+    memory and never change a result."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int | None = None):
         self.encode = encode
-        self.memo: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
+        self.entries = entries or MEMO_ENTRIES
+        self.memo: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {" ": ({}, {}), "": ({}, {})}
 
     def _ids(self, chunks: list[str], lead: str) -> list[bytes]:
-        memo = self.memo[lead]
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        found = list(map(memo.get, chunks))
+        young, old = self.memo[lead]
+        if len(young) > self.entries:
+            young, old = self.memo[lead] = {}, young
+        found = list(map(young.get, chunks))
         missing = [i for i, ids in enumerate(found) if ids is None]
-        new = self.encode([lead + chunks[i] for i in missing])
-        for i, ids in zip(missing, new):
+        new = []
+        for i in missing:
+            ids = found[i] = old.get(chunks[i])
+            if ids is None:
+                new.append(i)
+            else:
+                young[chunks[i]] = ids
+        for i, ids in zip(new, self.encode([lead + chunks[i] for i in new])):
             found[i] = ids
             if len(chunks[i]) <= 64:
-                memo[chunks[i]] = ids
+                young[chunks[i]] = ids
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -5,6 +5,7 @@ ones named like its results, change nothing. A NULL text counts as an empty one.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,10 +26,36 @@ def in_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Ite
                schema: str) -> DataFrame:
     """mapInArrow over batches bounded in bytes, so that a worker's memory depends on the
     longest text and not on the number of rows."""
+    owner = function.__module__
+
+    def owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _claim(owner)
+        yield from function(batches)
+
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(owned, schema)
+
+
+_held: dict = {}
+_owner = None
+
+
+def _claim(owner: str) -> None:
+    """Python workers serve one operator after another: what others remembered here goes."""
+    global _owner
+    if _owner != owner:
+        _held.clear()
+        _owner = owner
+        gc.collect()
+
+
+def worker_cache(key, build: Callable):
+    """What `build` made in this worker, until another operator's task runs here."""
+    if key not in _held:
+        _held[key] = build()
+    return _held[key]
 
 
 def remainder(column: str, modulus: int) -> Column:

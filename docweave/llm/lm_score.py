@@ -18,7 +18,6 @@ training, counts are 0 and the model is the untrained one.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm import attention
-from docweave.llm.common import SPACED, encoded, in_batches, owners, per_text, slices, spans, words
+from docweave.llm.common import SPACED, encoded, in_batches, owners, per_text, slices, spans, words, worker_cache
 from docweave.llm.token_files import LibraryEncoder
 from docweave.sources.storage import stored
 
@@ -60,9 +59,8 @@ class WordIds:
         return np.frombuffer(b"".join(found), np.uint32), np.concatenate(([0], np.cumsum(lengths)))
 
 
-@lru_cache(2)
 def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return worker_cache(("words", path), lambda: WordIds(path))
 
 
 def word_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:

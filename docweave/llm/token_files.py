@@ -15,7 +15,6 @@ NULL ids come first; repeated ids stay separate rows, ordered by the hash of the
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +24,13 @@ from tokenizers import Tokenizer
 
 from docweave.llm.bpe import id_lists
 from docweave.llm.chunks import ChunkEncoder
-from docweave.llm.common import BATCH_BYTES, in_batches, slices
+from docweave.llm.common import BATCH_BYTES, in_batches, slices, worker_cache
 from docweave.plans.sizing import broadcast_if_small
 
 ROW_GROUP_BYTES = 32 * 1024 * 1024
 PAGE_BYTES = 128 * 1024
 JOINED_CHUNKS = 512
+MEMO_ENTRIES = 200_000
 
 
 class LibraryEncoder:
@@ -64,9 +64,8 @@ class LibraryEncoder:
         return out
 
 
-@lru_cache(2)
 def _chunks(path: str) -> ChunkEncoder:
-    return ChunkEncoder(LibraryEncoder(path))
+    return worker_cache(("tokens", path), lambda: ChunkEncoder(LibraryEncoder(path), MEMO_ENTRIES))
 
 
 def write_tokens(docs: DataFrame, location: str, tokenizer: str, end_id: int,
