@@ -14,6 +14,10 @@ class ConfigError(DocweaveError):
     """A collection lacks its dimension or distance."""
 
 
+class ConflictError(DocweaveError):
+    """Another writer changed the collection since it was read."""
+
+
 class NotFoundError(DocweaveError):
     """No collection of that name."""
 

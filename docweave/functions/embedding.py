@@ -105,7 +105,8 @@ class BatchEmbedding:
 class OnnxEmbedding(BatchEmbedding):
     """Sentence model in ONNX form: `model.onnx` and `tokenizer.json` in `directory`.
 
-    Token vectors are averaged under the attention mask and not scaled to unit length."""
+    Token vectors are averaged under the attention mask and not scaled to unit length. Texts
+    of more than `max_tokens` are read whole, in windows of that many tokens."""
 
     def __init__(self, directory: str, dimension: int = MODEL_DIMENSION,
                  max_tokens: int = MODEL_MAX_TOKENS, batch_size: int = 32):
@@ -129,15 +130,22 @@ def _onnx_function(directory: str, dimension: int, max_tokens: int, batch_size:
         out = []
         for start in range(0, len(texts), batch_size):
             coded = tokenizer.encode_batch(texts[start:start + batch_size])
-            mask = np.array([c.attention_mask for c in coded], dtype=np.int64)
-            inputs = {"input_ids": np.array([c.ids for c in coded], dtype=np.int64),
-                      "attention_mask": mask, "token_type_ids": np.zeros_like(mask)}
-            states = session.run(None, {n: v for n, v in inputs.items() if n in wanted})[0]
-            if states.shape != (*mask.shape, dimension):
-                raise EmbeddingError(f"model gave shape {states.shape}, "
-                                     f"expected {(*mask.shape, dimension)}")
-            counts = np.maximum(mask.sum(axis=1, keepdims=True), 1)
-            out.extend((states * mask[:, :, None]).sum(axis=1) / counts)
+            # a long text is several windows; its vector is the mean over all their tokens
+            windows = [(at, w) for at, c in enumerate(coded) for w in (c, *c.overflowing)]
+            sums, counts = np.zeros((len(coded), dimension)), np.zeros((len(coded), 1))
+            for first in range(0, len(windows), batch_size):
+                part = windows[first:first + batch_size]
+                mask = np.array([w.attention_mask for _, w in part], dtype=np.int64)
+                inputs = {"input_ids": np.array([w.ids for _, w in part], dtype=np.int64),
+                          "attention_mask": mask, "token_type_ids": np.zeros_like(mask)}
+                states = session.run(None, {n: v for n, v in inputs.items() if n in wanted})[0]
+                if states.shape != (*mask.shape, dimension):
+                    raise EmbeddingError(f"model gave shape {states.shape}, "
+                                         f"expected {(*mask.shape, dimension)}")
+                of = [at for at, _ in part]
+                np.add.at(sums, of, (states * mask[:, :, None]).sum(axis=1))
+                np.add.at(counts, of, mask.sum(axis=1, keepdims=True))
+            out.extend(sums / np.maximum(counts, 1))
         return out
 
     return run

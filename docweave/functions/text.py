@@ -1,7 +1,7 @@
 """Word tokens and document predicates.
 
-A token is a maximal run of letters and digits of the lower-cased text. Scripts
-written without spaces stay unsegmented unless a tokenizer is passed in.
+A token is a maximal run of letters and digits of the lower-cased text. For scripts
+written without spaces there is `pair_tokens`: overlapping pairs of characters.
 """
 
 from __future__ import annotations
@@ -25,17 +25,39 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(f"({WORD}+)"), F.lit(1))
 
 
+# Fixed value: scripts written without spaces.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\p{IsThai}]"
+
+
+def pair_tokens(text: Column | str) -> Column:
+    """Tokens in order, with runs of unspaced scripts as overlapping pairs of characters (a
+    run of one character is itself)."""
+    col = F.lower(F.col(text) if isinstance(text, str) else text)
+    pieces = F.regexp_extract_all(col, F.lit(f"({UNSPACED}+|(?:(?!{UNSPACED}){WORD})+)"), F.lit(1))
+
+    def pairs(piece: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(piece) - 1))
+        return F.when(F.rlike(piece, F.lit(f"^{UNSPACED}")), F.transform(
+            places, lambda at: F.substr(piece, at, F.lit(2)))).otherwise(F.array(piece))
+
+    return F.flatten(F.transform(pieces, pairs))
+
+
 Tokenizer = Callable[[Column], Column]
 
 
 @dataclass(frozen=True)
 class Contains:
-    """Natural-language match: the document holds any word of `text`."""
+    """Natural-language match: the document holds any word of `text`. Give the tokenizer of the
+    index the filter is used with."""
 
     text: str
+    tokenizer: Tokenizer | None = None
 
     def column(self, document: Column | None = None) -> Column:
         doc = F.col(DOCUMENT) if document is None else document
+        if self.tokenizer is not None:
+            return F.arrays_overlap(self.tokenizer(doc), self.tokenizer(F.lit(self.text)))
         # One regex pass that stops at the first hit, instead of a token array per row.
         # The pattern is built from literals, so Catalyst folds it to a constant.
         words = F.array_distinct(tokens(F.lit(self.text)))

@@ -1,6 +1,6 @@
 """Approximate nearest-neighbour search over cells of similar vectors.
 
-Cell centres come from k-means on a sample; every row is then given its nearest
+Cell centres come from k-means over all rows; every row is then given its nearest
 cell. A query looks into the `probes` cells nearest to it. With as many probes as
 cells the result equals exact search. Written partitioned by `cell`, the indexed
 table lets a search read only the probed directories.
@@ -20,20 +20,18 @@ from docweave.operators.nearest import (
 from docweave.schema import EMBEDDING, ID
 from docweave.sources.storage import stored
 
-TRAINING_ROWS = 1_000_000
-WRITERS_PER_CELL = 32
+ROWS_PER_WRITER = 1_000_000
+ENTRIES = 4_000_000  # of one rows x cells product
 
 
 def train_cells(collection: DataFrame, cells: int, distance: str = "cosine",
-                seed: int = 42, training_rows: int = TRAINING_ROWS) -> KMeansModel:
-    """Centres of `cells` cells. Only the training is sampled: its rows decide where
-    the centres lie, never which rows can be found."""
+                seed: int = 42) -> KMeansModel:
+    """Centres of `cells` cells, from every row with a vector. The vectors are stored, since
+    k-means goes over them many times."""
     vectors = collection.where(F.col(EMBEDDING).isNotNull())
     if metric_name(distance) == "cosine":
         vectors = vectors.where(_has_length(EMBEDDING))
-    count = vectors.count()
-    if count > training_rows:  # stored, since k-means goes over it many times
-        vectors = stored(vectors.select(EMBEDDING).sample(training_rows / count, seed=seed), "training")
+    vectors = stored(vectors.select(EMBEDDING), "training")
     features = vectors.select(array_to_vector(F.col(EMBEDDING).cast("array<double>")).alias("features"))
     measure = "cosine" if metric_name(distance) == "cosine" else "euclidean"
     return KMeans(k=cells, seed=seed, distanceMeasure=measure).fit(features)
@@ -75,16 +73,19 @@ def _nearest_cells(model: KMeansModel, n: int, metric: str, unit: bool) -> Colum
             if unit:
                 norms = np.linalg.norm(x, axis=1, keepdims=True)
                 x = x / np.where(norms > 0, norms, 1.0)
-            dot = x @ points.T
-            if metric == "inner_product":
-                keys = dot
-            elif metric == "negative_inner_product":
-                keys = -dot
-            else:
-                keys = (points * points).sum(axis=1)[None, :] - 2.0 * dot
-            best = np.argsort(keys, axis=1, kind="stable")[:, :n].astype(np.int32)
-            for at, cells in zip(np.flatnonzero(known), best):
-                out[at] = cells.tolist()
+            step = max(1, ENTRIES // len(points))
+            places = np.flatnonzero(known)
+            for start in range(0, len(x), step):
+                dot = x[start:start + step] @ points.T
+                if metric == "inner_product":
+                    keys = dot
+                elif metric == "negative_inner_product":
+                    keys = -dot
+                else:
+                    keys = (points * points).sum(axis=1)[None, :] - 2.0 * dot
+                best = np.argmin(keys, axis=1)[:, None] if n == 1 else np.argsort(keys, axis=1, kind="stable")[:, :n]
+                for at, cells in zip(places[start:start + step], best.astype(np.int32)):
+                    out[at] = cells.tolist()
         return pd.Series(out, dtype=object)
 
     return pick(F.col(EMBEDDING))
@@ -104,6 +105,10 @@ def nearest_in_cells(indexed: DataFrame, model: KMeansModel, queries: DataFrame,
 
 def write_cells(indexed: DataFrame, location: str) -> None:
     """Store an indexed collection partitioned by `cell`, so that a search reads only the
-    directories it probes. A crowded cell is written by several tasks."""
-    share = F.pmod(F.xxhash64(ID), F.lit(WRITERS_PER_CELL))
-    indexed.repartition("cell", share).write.partitionBy("cell").parquet(location)
+    directories it probes. A cell is written by as many tasks as its own count asks for."""
+    # One row per cell: bounded by the number of cells, not by the data.
+    writers = indexed.groupBy("cell").agg(F.ceil(F.count("*") / ROWS_PER_WRITER).alias("_writers"))
+    dealt = indexed.join(F.broadcast(writers), indexed["cell"].eqNullSafe(writers["cell"])).drop(writers["cell"])
+    share = F.pmod(F.xxhash64(ID), F.col("_writers"))
+    (dealt.withColumn("_share", share).repartition("cell", "_share").drop("_share", "_writers")
+     .write.partitionBy("cell").parquet(location))

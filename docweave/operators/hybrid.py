@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docweave.errors import InvalidInputError
 from docweave.functions.filters import conjunction
 from docweave.functions.text import (
-    AnyOf, Contains, DocFilter, document_predicate, scored_text, unscored_predicate)
+    AnyOf, Contains, DocFilter, Tokenizer, document_predicate, scored_text, tokens, unscored_predicate)
 from docweave.operators.fulltext import bm25_one, term_index
 from docweave.operators.nearest import (
     check_queries, embed_queries, filtered, metric_name, search, with_columns)
@@ -29,11 +29,12 @@ DEFAULT_RANK_CONSTANT = 60
 @dataclass(frozen=True)
 class TextBranch:
     """Metadata predicate and/or document filter. `index` is an optional prepared
-    `term_index` of the collection that still carries its columns."""
+    `term_index` of the collection that still carries its columns, made with `tokenizer`."""
 
     where: Column | None = None
     where_document: DocFilter | None = None
     index: DataFrame | None = None
+    tokenizer: Tokenizer = tokens
 
 
 @dataclass(frozen=True)
@@ -67,16 +68,17 @@ def text_branch(collection: DataFrame, branch: TextBranch, k: int) -> DataFrame:
         return top_k(rows, "query_id", [F.col(ID)], k).select("query_id", "rank", ID, "score")
 
     doc = branch.where_document
-    index = term_index(collection) if branch.index is None else branch.index
+    index = term_index(collection, branch.tokenizer) if branch.index is None else branch.index
     words = scored_text(doc)
     others = unscored_predicate(doc)
     if others is None or not isinstance(doc, AnyOf):
-        return bm25_one(index, words, k, where=conjunction(branch.where, others))
+        return bm25_one(index, words, k, where=conjunction(branch.where, others), tokenizer=branch.tokenizer)
     # AnyOf with Regex or nested parts: rows that hold the filter without any of the words
     # follow with score 0.
     keep = conjunction(branch.where, doc.column())
-    hits = bm25_one(index, words, k, where=keep).select("query_id", ID, "score")
-    silent = ~F.coalesce(Contains(words).column(), F.lit(False))
+    hits = bm25_one(index, words, k, where=keep, tokenizer=branch.tokenizer).select("query_id", ID, "score")
+    own = None if branch.tokenizer is tokens else branch.tokenizer
+    silent = ~F.coalesce(Contains(words, own).column(), F.lit(False))
     rest = filtered(collection, conjunction(keep, silent), None).select(
         F.lit(0).alias("query_id"), ID, F.lit(0.0).alias("score"))
     both = hits.unionByName(top_k(rest, "query_id", [F.col(ID)], k).drop("rank"))

@@ -33,6 +33,7 @@ from docweave.sources.storage import stored
 
 METRICS = ("l2", "cosine", "inner_product", "negative_inner_product")
 DEFAULT_INCLUDE = ("document", "metadata")
+ID_BYTES = 64  # allowed for each query id
 
 
 def metric_name(distance: str) -> str:
@@ -65,11 +66,16 @@ def check_queries(queries: DataFrame, dimension: int | None, k: int) -> Queries:
     if dimension is None:
         dimension = queries.select(F.array_size(EMBEDDING)).first()[0] or 1
     local = None
-    if count <= min(sizing.MAX_BROADCAST_BYTES // (dimension * 8), sizing.MAX_TASK_HITS // k):
+    row_bytes = dimension * 8 + ID_BYTES
+    if "cells" in keep:
+        row_bytes += 8 * (queries.select(F.array_size("cells")).first()[0] or 0)
+    if count <= min(sizing.MAX_BROADCAST_BYTES // row_bytes, sizing.MAX_TASK_HITS // k):
         local = queries.toArrow()
         sizes = pc.list_value_length(local[EMBEDDING])
         nulls = sizes.null_count + local["query_id"].null_count
         wrong = sorted(set(sizes.drop_null().to_pylist()) - {dimension})
+        ids = pc.value_counts(local["query_id"].combine_chunks())
+        repeated = ids.filter(pc.greater(ids.field("counts"), 1)).field("values").to_pylist()[:5]
     else:
         queries = stored(queries, "queries")  # read several times from here on
         size = F.array_size(EMBEDDING)
@@ -77,11 +83,13 @@ def check_queries(queries: DataFrame, dimension: int | None, k: int) -> Queries:
             F.min(size).alias("low"), F.max(size).alias("high"),
             F.count_if(F.col(EMBEDDING).isNull() | F.col("query_id").isNull()).alias("nulls")).first()
         nulls, wrong = row["nulls"], sorted({row["low"], row["high"]} - {None, dimension})
+        repeated = [r[0] for r in queries.groupBy("query_id").count().where("count > 1").limit(5).collect()]
     if nulls:
         raise InvalidInputError(f"{nulls} query rows lack an id or a vector")
+    if repeated:
+        raise InvalidInputError(f"each query needs an id of its own; repeated: {repeated}")
     if wrong:
-        raise InvalidInputError(
-            f"embedding dimension {wrong[0]} does not match collection dimension {dimension}")
+        raise InvalidInputError(f"query vectors have {wrong[0]} elements, the collection has {dimension}")
     return Queries(queries, count, dimension, local)
 
 
@@ -221,22 +229,23 @@ def _with_blocks(rows: DataFrame, checked: Queries, k: int, metric: str) -> Data
     cell that holds many rows or attracts many queries is cut into as many blocks as
     its own counts ask for."""
     queries = checked.frame
-    per_block = min(sizing.BLOCK_BYTES // (checked.dimension * 8), sizing.MAX_TASK_HITS // k)
-    per_block = max(1, per_block)
+    # Rows are cut by bytes alone: a block of fewer rows than k would return every pair.
+    rows_each = max(1, sizing.BLOCK_BYTES // (checked.dimension * 8))
+    queries_each = max(1, min(rows_each, sizing.MAX_TASK_HITS // k))
 
-    def blocks(n: Column) -> Column:
-        return F.ceil(n / F.lit(per_block)).cast("int")
+    def blocks(n: Column, each: int) -> Column:
+        return F.ceil(n / F.lit(each)).cast("int")
 
     if "cell" in rows.columns:
         queries = queries.withColumn("cell", F.explode("cells")).drop("cells")
         # One row per cell: bounded by the number of cells, not by the data.
-        row_blocks = rows.groupBy("cell").agg(blocks(F.count("*")).alias("_rows"))
-        query_blocks = queries.groupBy("cell").agg(blocks(F.count("*")).alias("_queries"))
+        row_blocks = rows.groupBy("cell").agg(blocks(F.count("*"), rows_each).alias("_rows"))
+        query_blocks = queries.groupBy("cell").agg(blocks(F.count("*"), queries_each).alias("_queries"))
         cuts = F.broadcast(row_blocks.join(query_blocks, "cell"))
         rows, queries = rows.join(cuts, "cell"), queries.join(cuts, "cell")
     else:
-        row_cut = math.ceil(max(1, rows.count()) / per_block)
-        query_cut = math.ceil(checked.count / per_block)
+        row_cut = math.ceil(max(1, rows.count()) / rows_each)
+        query_cut = math.ceil(checked.count / queries_each)
         cuts = {"cell": F.lit(0), "_rows": F.lit(row_cut), "_queries": F.lit(query_cut)}
         rows, queries = rows.withColumns(cuts), queries.withColumns(cuts)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docweave.errors import InvalidInputError
 from docweave.functions.filters import id_in, variant_path
@@ -31,7 +31,7 @@ def with_ids(df: DataFrame, ids: Iterable[str] | DataFrame | None) -> DataFrame:
 
 
 def field_in(df: DataFrame, field: str, values: DataFrame, metadata: str = METADATA) -> DataFrame:
-    """Rows whose metadata field is in the one-column table `values` (text or numbers)."""
+    """Rows whose metadata field is in the one-column table `values` of text, numbers or booleans."""
     keyed, listed = _keyed(df, field, values, metadata)
     return keyed.join(listed, "_key", "left_semi").drop("_key")
 
@@ -50,17 +50,42 @@ def field_not_in(df: DataFrame, field: str, values: DataFrame,
 
 
 def _keyed(df: DataFrame, field: str, values: DataFrame, metadata: str):
+    """Both sides with a key of kind and value, so that text never equals a number or a boolean,
+    and whole numbers compare as such at any size of BIGINT."""
     name = values.columns[0]
-    text = dict(values.dtypes)[name] == "string"
-    kind = F.schema_of_variant(F.try_variant_get(metadata, variant_path(field), "variant"))
-    right = kind == "STRING" if text else (
-        kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"))
-    key = F.when(right, F.try_variant_get(metadata, variant_path(field), "string" if text else "double"))
-    listed = values.select(F.col(name).cast("string" if text else "double").alias("_key"))
-    listed = listed.where(F.col("_key").isNotNull()).distinct()
+    path = variant_path(field)
+    kind = F.schema_of_variant(F.try_variant_get(metadata, path, "variant"))
+    value = lambda of: F.try_variant_get(metadata, path, of)
+    key = (F.when(kind == "STRING", _key("s", value("string")))
+           .when(kind == "BOOLEAN", _key("b", value("boolean")))
+           .when(kind == "BIGINT", _key("n", value("bigint")))
+           .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), _number_key(value("double"))))
+    of = values.schema[name].dataType
+    asked = F.col(name)
+    if isinstance(of, T.StringType):
+        asked = _key("s", asked)
+    elif isinstance(of, T.BooleanType):
+        asked = _key("b", asked)
+    elif isinstance(of, T.IntegralType):
+        asked = _key("n", asked)
+    elif isinstance(of, (T.DoubleType, T.FloatType, T.DecimalType)):
+        asked = _number_key(asked.cast("double"))
+    else:
+        raise InvalidInputError(f"values of a metadata field are text, numbers or booleans, not {of.simpleString()}")
+    listed = values.select(asked.alias("_key")).where(F.col("_key").isNotNull()).distinct()
     return df.withColumn("_key", key), broadcast_if_small(listed)
 
 
+def _key(kind: str, value: Column) -> Column:
+    return F.concat(F.lit(kind), value.cast("string"))
+
+
+def _number_key(value: Column) -> Column:
+    """A double with a whole value in the range of BIGINT has the key of that whole number."""
+    whole = (F.floor(value) == value) & (F.abs(value) < 2.0 ** 63)
+    return F.when(whole, _key("n", value.cast("bigint"))).otherwise(_key("d", value))
+
+
 def get(collection: DataFrame, ids: Iterable[str] | DataFrame | None = None,
         where: Column | None = None, where_document: DocFilter | Column | None = None,
         limit: int | None = None, offset: int | None = None, include=None) -> DataFrame:
@@ -70,27 +95,39 @@ def get(collection: DataFrame, ids: Iterable[str] | DataFrame | None = None,
     return page(rows, limit, offset).select(ID, *include_columns(include))
 
 
-def page(rows: DataFrame, limit: int | None, offset: int | None) -> DataFrame:
+def page(rows: DataFrame, limit: int | None, offset: int | None, direct: int = DIRECT_PAGE) -> DataFrame:
+    """Rows of a page in order of id. Up to `direct` ids may be sorted to find its ends."""
     for name, n in (("limit", limit), ("offset", offset)):
         if n is not None and n < 0:
             raise InvalidInputError(f"{name} must not be negative, got {n}")
     if limit is None and not offset:
         return rows
-    if limit is not None and limit + (offset or 0) <= DIRECT_PAGE:
-        return rows.orderBy(ID).offset(offset or 0).limit(limit)
+    if limit == 0:
+        return rows.where(F.lit(False))
+    # Both ends are found on the ids alone, then the page is a range read: no task sorts or
+    # holds documents and vectors of rows outside the page.
+    ids, offset = rows.select(ID), offset or 0
+    if limit is not None and offset + limit <= direct:
+        ends = ids.orderBy(ID).offset(offset).limit(limit).agg(F.min(ID), F.max(ID)).first()
+        if ends[0] is None:
+            return rows.where(F.lit(False))
+        return rows.where(F.col(ID).between(ends[0], ends[1])).orderBy(ID)
     if offset:
-        first = nth_id(rows.select(ID), offset)
+        first = nth_id(ids, offset, direct)
         rows = rows.where(F.col(ID) >= first) if first is not None else rows.where(F.lit(False))
-    return rows.orderBy(ID) if limit is None else rows.orderBy(ID).limit(limit)
+    if limit is not None:
+        beyond = nth_id(ids, offset + limit, direct)
+        rows = rows.where(F.col(ID) < beyond) if beyond is not None else rows
+    return rows.orderBy(ID)
 
 
-def nth_id(ids: DataFrame, n: int) -> str | None:
+def nth_id(ids: DataFrame, n: int, direct: int = DIRECT_PAGE) -> str | None:
     """The id with n smaller ones; None when there are not so many.
 
     Skipping n rows of a sorted frame would pull them all into one task. For a large
     n this counts ids between some split points first and goes on inside the one
     interval that holds the answer."""
-    while n >= DIRECT_PAGE:
+    while n >= direct:
         splits = [r[0] for r in ids.orderBy(F.xxhash64(ID), ID).limit(SPLITS).orderBy(ID).collect()]
         interval = F.array_size(F.filter(F.array(*map(F.lit, splits)), lambda s: s <= F.col(ID)))
         counts = dict(ids.groupBy(interval.alias("at")).count().collect())  # at most 1,000 rows

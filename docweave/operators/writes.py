@@ -68,8 +68,8 @@ def check(changes: DataFrame, dimension: int | None, need_vectors: bool = False)
         bad = F.col(EMBEDDING).isNotNull() & (F.array_size(EMBEDDING) != dimension)
         sample = changes.where(bad).select(ID, F.array_size(EMBEDDING).alias("n")).limit(5).collect()
         raise InvalidInputError(
-            f"embedding dimension {sample[0]['n']} does not match collection dimension {dimension} "
-            f"in {found.wrong_vectors} rows, among them {[r[ID] for r in sample]}")
+            f"{found.wrong_vectors} rows hold vectors of another length than {dimension} (for example "
+            f"{sample[0]['n']}), among them {[r[ID] for r in sample]}")
     if need_vectors and found.null_vectors:
         raise InvalidInputError(f"{found.null_vectors} rows have no embedding")
     return found
@@ -130,7 +130,7 @@ def new_rows(base: DataFrame, changes: DataFrame, dimension: int | None = None,
     rows = conform(changes).withColumn(DOCUMENT, F.coalesce(DOCUMENT, F.lit("")))
     found = check(rows, dimension, need_vectors=True)
     if not found.rows:
-        raise InvalidInputError("ids must not be empty")
+        raise InvalidInputError("the batch holds no rows")
     ids = rows.select(ID)
     inside = ids.groupBy(ID).count().where("count > 1").limit(5).collect()
     if inside:
@@ -196,7 +196,7 @@ def upsert(base: DataFrame, changes: DataFrame, dimension: int | None = None,
         changes = embed_documents(changes, embedder)
     found = check(changes, dimension)
     if not found.rows:
-        raise InvalidInputError("ids must not be empty")
+        raise InvalidInputError("the batch holds no rows")
     folded = fold(changes)
     small = _small(folded, found)
     if small is not folded:

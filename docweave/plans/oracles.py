@@ -195,6 +195,13 @@ SQL = {
     "filter_nin_missing": simple("_id", "quality NOT IN (0)"),
     "filter_in_table": simple("_id", """source IN (SELECT d.source FROM documents d
         JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1)"""),
+    "filter_in_table_numbers": """SELECT CAST(event_id AS VARCHAR) AS _id FROM events
+        WHERE CAST(json_extract_string(props, '$.k') AS DOUBLE) IN (
+            SELECT CAST(l_quantity AS DOUBLE) FROM lineitem WHERE l_orderkey < 20)""",
+    "get_deep_page": """SELECT CAST(event_id AS VARCHAR) AS _id FROM events
+        ORDER BY _id LIMIT 50 OFFSET 700""",
+    "knn_large_k": """SELECT vec_id AS query_id, n_hits, n_hits AS n_ids, n_hits AS last_rank
+        FROM embeddings, (SELECT least(1500, count(*))::BIGINT AS n_hits FROM documents) WHERE vec_id % 20 = 0""",
     "filter_nin_table": simple("_id", """source NOT IN (SELECT d.source FROM documents d
         JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1)"""),
     "filter_and": simple("_id", "lang = 'en' AND quality = 1 AND n_chars > 1000"),

@@ -199,6 +199,13 @@ def filter_in_table(spark, folder):
     return reads.field_in(collection(spark, folder), "source", toxic).select("_id")
 
 
+@query
+def filter_in_table_numbers(spark, folder):
+    """Numbers as a table of values: the quantities of the first orders, asked in the events."""
+    asked = table(spark, folder, "lineitem").where("l_orderkey < 20").select(F.col("l_quantity").cast("double"))
+    return reads.field_in(events(spark, folder), "k", asked).select("_id")
+
+
 @query
 def filter_nin_table(spark, folder):
     """Sources without a toxic document, as a table of values."""
@@ -403,6 +410,15 @@ def knn_l2(spark, folder):
     return _knn(spark, folder, "l2")
 
 
+@query
+def knn_large_k(spark, folder):
+    """More hits for each query than Spark's own top-k cut takes."""
+    queries = vector_queries(spark, folder).where("query_id % 20 = 0")
+    hits = nearest.nearest(hashed_collection(spark, folder), queries, 1500, "l2", include=[])
+    return hits.groupBy("query_id").agg(F.count("*").alias("n_hits"), F.countDistinct("_id").alias("n_ids"),
+                                        F.max("rank").alias("last_rank"))
+
+
 @query
 def knn_cosine(spark, folder):
     return _knn(spark, folder, "cosine")
@@ -540,6 +556,13 @@ def get_page(spark, folder):
                      include=["documents"])
 
 
+@query
+def get_deep_page(spark, folder):
+    """A page whose both ends are found by counting intervals of ids."""
+    rows = events(spark, folder).select("_id")
+    return reads.page(rows, limit=50, offset=700, direct=100)
+
+
 @query
 def get_offset_only(spark, folder):
     return reads.get(collection(spark, folder), offset=25, include=[])

@@ -6,11 +6,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docweave.errors import ConfigError
+
 
 def storage_root(spark: SparkSession) -> str:
-    """Shared folder for everything written here: `spark.checkpoint.dir`, else the SQL
-    warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """Shared folder for everything written here: `spark.checkpoint.dir`, else, in local mode, the
+    SQL warehouse. On a cluster the warehouse may be one machine's disk, so the setting is needed."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ConfigError("set spark.checkpoint.dir to a folder that all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/docweave"
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TABLES = ("documents", "embeddings", "labels", "events", "benchmark", "conversations", "pages")
+TABLES = ("lineitem", "documents", "embeddings", "labels", "events", "benchmark", "conversations", "pages")
 
 
 def rows_of(table: pa.Table) -> list[tuple]:
