@@ -1,7 +1,8 @@
 """A small causal self-attention model over token classes, in numpy: scoring and training steps.
 
-Subword ids fall into classes; the most frequent ids are classes of their own. The probability of
-an id is that of its class given the ids before, times its share of the class in the training
+Subword ids fall into classes; the most frequent ids are classes of their own. Classes fall into
+groups of equal size. The probability of an id is that of its class's group given the ids before,
+times that of the class within the group, times the id's share of the class in the training
 counts. The class before enters directly, and one attention head looks back over the window."""
 
 from __future__ import annotations
@@ -12,17 +13,19 @@ import numpy as np
 
 from docweave.llm.common import spans
 
-CLASSES = 192
+GROUPS, MEMBERS = 16, 12
+CLASSES = GROUPS * MEMBERS
 SINGLE = 174              # ids with a class of their own
 HEAD = 8
 WINDOW = 32
 STRIDE = 24               # each later window scores its last STRIDE positions
-AT_ONCE = 1024            # windows scored together
+AT_ONCE = 512             # windows scored together
 _CAUSAL = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
 _BACK = np.maximum(0, np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :])
 
-SHAPES = {"query": (CLASSES, HEAD), "key": (CLASSES, HEAD), "value": (CLASSES, HEAD), "out": (HEAD, CLASSES),
-          "direct": (CLASSES, CLASSES), "near": (WINDOW,)}
+SHAPES = {"query": (CLASSES, HEAD), "key": (CLASSES, HEAD), "value": (CLASSES, HEAD), "near": (WINDOW,),
+          "group": (HEAD, GROUPS), "direct_group": (CLASSES, GROUPS),
+          "member": (GROUPS, HEAD, MEMBERS), "direct": (CLASSES, GROUPS, MEMBERS)}
 
 
 @dataclass
@@ -51,7 +54,10 @@ def vocabulary(counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray,
 def start_weights(log_share: np.ndarray) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(9)
     weights = {name: rng.normal(0, 0.1, shape).astype(np.float32) for name, shape in SHAPES.items()}
-    weights["direct"] = np.tile(log_share, (CLASSES, 1)).astype(np.float32)
+    share = np.exp(log_share).reshape(GROUPS, MEMBERS)
+    group = share.sum(axis=1)
+    weights["direct_group"] = np.tile(np.log(group), (CLASSES, 1)).astype(np.float32)
+    weights["direct"] = np.tile(np.log(share / group[:, None]), (CLASSES, 1, 1)).astype(np.float32)
     weights["near"] = np.zeros(WINDOW, np.float32)
     return weights
 
@@ -81,15 +87,38 @@ def attend(w: dict[str, np.ndarray], before: np.ndarray) -> tuple[np.ndarray, ..
     return np.matmul(scores, v), q, k, v, scores
 
 
+def by_group(classes: np.ndarray) -> list[np.ndarray]:
+    """Positions of the classes of each group."""
+    group = (classes // MEMBERS).astype(np.int8)
+    return np.split(np.argsort(group, kind="stable"), np.cumsum(np.bincount(group, minlength=GROUPS))[:-1])
+
+
+def picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of each row at one place."""
+    top = logits.max(axis=1)
+    logits -= top[:, None]
+    target = logits[np.arange(len(logits)), at]
+    return target - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def context_of(w: dict[str, np.ndarray], before: np.ndarray) -> np.ndarray:
+    """The context vectors alone: weights are summed first and the short vectors divided."""
+    scores = np.matmul(w["query"][before], w["key"][before].transpose(0, 2, 1))
+    np.clip(scores, -30, 30, out=scores)
+    scores += w["near"][_BACK] + _CAUSAL
+    np.exp(scores, out=scores)
+    return np.matmul(scores, w["value"][before]) / scores.sum(axis=2, keepdims=True)
+
+
 def log_probabilities(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
                       wanted: np.ndarray) -> np.ndarray:
     """Natural log probability of the classes `after` at the wanted positions."""
-    context = attend(w, before)[0][wanted]
-    logits = context @ w["out"]
-    logits += w["direct"][before[wanted]]
-    target = logits[np.arange(len(logits)), after[wanted]]
-    np.clip(logits, -60, 60, out=logits)
-    return target - np.log(np.exp(logits, out=logits).sum(axis=1))
+    context, before, after = context_of(w, before)[wanted], before[wanted], after[wanted]
+    out = picked(context @ w["group"] + w["direct_group"][before], after // MEMBERS)
+    for g, at in enumerate(by_group(after)):
+        if len(at):
+            out[at] += picked(context[at] @ w["member"][g] + w["direct"][before[at], g], after[at] % MEMBERS)
+    return out
 
 
 def score(model: Model, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -121,20 +150,31 @@ def gradients(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
               wanted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the wanted positions and its gradients."""
     context, q, k, v, share = attend(w, before)
-    flat_before = before.reshape(-1)
-    logits = context.reshape(-1, HEAD) @ w["out"] + w["direct"][flat_before]
-    logits -= logits.max(axis=1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=1, keepdims=True)
-    at = np.arange(len(p))
-    use = wanted.reshape(-1) / max(1, wanted.sum())
-    loss = float(-(np.log(p[at, after.reshape(-1)] + 1e-12) * use).sum())
-    p[at, after.reshape(-1)] -= 1
-    p *= use[:, None].astype(np.float32)
-    one_hot = np.zeros((len(p), CLASSES), np.float32)
-    one_hot[at, flat_before] = 1
-    g = {"out": context.reshape(-1, HEAD).T @ p, "direct": one_hot.T @ p}
-    d_context = (p @ w["out"].T).reshape(context.shape)
+    flat, flat_before, flat_after = context.reshape(-1, HEAD), before.reshape(-1), after.reshape(-1)
+    use = (wanted.reshape(-1) / max(1, wanted.sum())).astype(np.float32)
+    one_hot = np.zeros((len(flat), CLASSES), np.float32)
+    one_hot[np.arange(len(flat)), flat_before] = 1
+    loss, g = 0.0, {"member": np.zeros_like(w["member"]), "direct": np.zeros_like(w["direct"])}
+
+    def step(logits: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Adds to the loss; gives its gradient by the logits."""
+        nonlocal loss
+        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        at = np.arange(len(p))
+        loss -= float((np.log(p[at, target] + 1e-12) * weight).sum())
+        p[at, target] -= 1
+        return p * weight[:, None]
+
+    p = step(flat @ w["group"] + w["direct_group"][flat_before], flat_after // MEMBERS, use)
+    g["group"], g["direct_group"] = flat.T @ p, one_hot.T @ p
+    d_flat = p @ w["group"].T
+    for n, at in enumerate(by_group(flat_after)):
+        if len(at):
+            p = step(flat[at] @ w["member"][n] + w["direct"][flat_before[at], n], flat_after[at] % MEMBERS, use[at])
+            g["member"][n], g["direct"][:, n] = flat[at].T @ p, one_hot[at].T @ p
+            d_flat[at] += p @ w["member"][n].T
+    d_context = d_flat.reshape(context.shape)
     d_share = np.matmul(d_context, v.transpose(0, 2, 1))
     d_scores = share * (d_share - (d_share * share).sum(axis=2, keepdims=True))
     g["near"] = np.bincount(_BACK.ravel(), d_scores.sum(axis=0).ravel(), WINDOW).astype(np.float32)

@@ -45,7 +45,8 @@ class ChunkEncoder:
         self.entries = entries or MEMO_ENTRIES
         self.memo: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {" ": ({}, {}), "": ({}, {})}
 
-    def _ids(self, chunks: list[str], lead: str) -> list[bytes]:
+    def ids(self, chunks: list[str], lead: str) -> list[bytes]:
+        """Id bytes of each chunk with `lead` before it."""
         young, old = self.memo[lead]
         if len(young) > self.entries:
             young, old = self.memo[lead] = {}, young
@@ -82,7 +83,7 @@ class ChunkEncoder:
         taken[codes[used & ~leads]] = True
         inner = np.flatnonzero(taken)
         first, at_first = np.unique(codes[starts[:-1][plain]], return_inverse=True)
-        found = self._ids(known[inner].tolist(), " ") + self._ids(known[first].tolist(), "")
+        found = self.ids(known[inner].tolist(), " ") + self.ids(known[first].tolist(), "")
         found += self.encode(texts.filter(pa.array(~plain)).to_pylist())
         slot = np.cumsum(taken) - 1
         entry = slot[codes]

@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm import attention
+from docweave.llm.chunks import ChunkEncoder
 from docweave.llm.common import SPACED, encoded, in_batches, owners, per_text, slices, spans, words, worker_cache
 from docweave.llm.token_files import LibraryEncoder
 from docweave.sources.storage import stored
@@ -34,27 +35,19 @@ HEAVY = 20_000
 SHARD_WINDOWS = 20_000
 CHARS_PER_WINDOW = 16_384
 ROUNDS = 2
-SLICE_BYTES = 4 << 20
-MEMO_WORDS = 300_000
+SLICE_BYTES = 2 << 20
+MEMO_WORDS = 120_000
 
 
 class WordIds:
     """Subword ids of words (each with a space before), remembered within bounds."""
 
     def __init__(self, path: str):
-        self.encoder = LibraryEncoder(path)
-        self.memo: dict[str, bytes] = {}
+        self.encoder = ChunkEncoder(LibraryEncoder(path), MEMO_WORDS)
 
     def __call__(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and where each word's start."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        found = list(map(self.memo.get, distinct))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(missing, self.encoder([" " + distinct[i] for i in missing])):
-            found[i] = ids
-            if len(distinct[i]) <= 64:
-                self.memo[distinct[i]] = ids
+        found = self.encoder.ids(distinct, " ")
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), np.uint32), np.concatenate(([0], np.cumsum(lengths)))
 
@@ -143,11 +136,12 @@ def _window_arrays(lists: list[list[int]], class_of: np.ndarray) -> tuple[np.nda
 def fit(windows: DataFrame, class_of: np.ndarray, log_share: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Weights after some rounds of training on shards and averaging; `windows` is read anew each round."""
     flat = attention.packed(attention.start_weights(log_share))
+    windows = stored(windows, "lm_windows")
     total = windows.count()
     if not total:
         return flat
     shards = max(1, total // SHARD_WINDOWS)
-    dealt = stored(windows.select("ids", F.pmod(F.xxhash64("ids"), F.lit(shards)).alias("shard")), "lm_windows")
+    dealt = windows.select("ids", F.pmod(F.xxhash64("ids"), F.lit(shards)).alias("shard"))
     for _ in range(rounds):
         start = dealt.sparkSession.sparkContext.broadcast((flat, class_of))
 
