@@ -14,7 +14,7 @@ from docweave.errors import InvalidInputError
 from docweave.functions.filters import conjunction
 from docweave.functions.text import (
     AnyOf, Contains, DocFilter, Tokenizer, document_predicate, scored_text, tokens, unscored_predicate)
-from docweave.operators.fulltext import bm25_one, term_index
+from docweave.operators.fulltext import bm25, bm25_one, term_index
 from docweave.operators.nearest import (
     check_queries, embed_queries, filtered, metric_name, search, with_columns)
 from docweave.operators.reads import page
@@ -29,12 +29,15 @@ DEFAULT_RANK_CONSTANT = 60
 @dataclass(frozen=True)
 class TextBranch:
     """Metadata predicate and/or document filter. `index` is an optional prepared
-    `term_index` of the collection that still carries its columns, made with `tokenizer`."""
+    `term_index` of the collection that still carries its columns, made with `tokenizer`.
+    With `queries(query_id, text)` each query ranks by its own text, and the document filter
+    only filters."""
 
     where: Column | None = None
     where_document: DocFilter | None = None
     index: DataFrame | None = None
     tokenizer: Tokenizer = tokens
+    queries: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -55,10 +58,15 @@ class Rrf:
 
 
 def text_branch(collection: DataFrame, branch: TextBranch, k: int) -> DataFrame:
-    """Best k rows `(query_id, rank, _id, score)` of a text branch, with query_id 0.
+    """Best k rows `(query_id, rank, _id, score)` of a text branch, with query_id 0 unless the
+    branch has queries.
 
     With words to match, rows rank by BM25; the metadata predicate and the Regex and nested
     parts only filter. Without words, rows rank by `_id` and have no score."""
+    if branch.queries is not None:
+        index = term_index(collection, branch.tokenizer) if branch.index is None else branch.index
+        keep = conjunction(branch.where, document_predicate(branch.where_document))
+        return bm25(index, branch.queries.select("query_id", "text"), k, where=keep, tokenizer=branch.tokenizer)
     nowhere = F.lit(None).cast("double")
     if branch.where_document is None or not scored_text(branch.where_document):
         if branch.where is None and branch.where_document is None:
@@ -135,7 +143,8 @@ def hybrid_search_advanced(collection: DataFrame, text: TextBranch | None = None
 
     Vectors alone: plain nearest-neighbour search for `n_results`. Text alone: the text
     ranking. Both: fusion, by default with constant 60 over a window of
-    max(knn results, n_results). The text list counts for every vector query."""
+    max(knn results, n_results). A text list without queries counts for every vector query; texts
+    with queries meet the vectors of the same query id."""
     if text is None and knn is None:
         raise InvalidInputError("hybrid search needs a text branch or a knn branch")
     if text is None and rank is None:
@@ -146,14 +155,19 @@ def hybrid_search_advanced(collection: DataFrame, text: TextBranch | None = None
     window = rank.window or max(knn_results, n_results)
     constant = DEFAULT_RANK_CONSTANT if rank.constant is None else rank.constant
     if knn is None:
-        hits, count = text_branch(collection, text, n_results), 1
+        hits = text_branch(collection, text, n_results)
+        count = 1 if text.queries is None else text.queries.count()
     else:
         hits, count = knn_branch(collection, knn, distance, None, embedder, dimension)
         if text is None:
             hits = hits.where(F.col("rank") <= min(window, n_results))
         else:
             words = text_branch(collection, text, window)
-            hits = fuse(_for_each_query(words, knn), hits, n_results, window, constant)
+            if text.queries is None:
+                words = _for_each_query(words, knn)
+            else:
+                count += text.queries.count()
+            hits = fuse(words, hits, n_results, window, constant)
     return with_columns(hits, collection, include, count * n_results)
 
 

@@ -116,11 +116,13 @@ def one(words: str) -> str:
 SCORED_COLUMNS = "query_id, rank, _id, round(score, 6) + 0.0 AS score"
 
 
-def fused(k: int, window: int, constant: int, distance_hits: str) -> str:
-    """Fusion of the CTE `scored` (one text list for all queries) with vector hits."""
+def fused(k: int, window: int, constant: int, distance_hits: str, own_texts: bool = False) -> str:
+    """Fusion of the CTE `scored` (one text list for all queries, or one for each) with vector hits."""
+    source = "scored s" if own_texts else "queries q CROSS JOIN scored s"
+    query_id = "s.query_id" if own_texts else "q.query_id"
     return f"""
     near AS ({distance_hits}),
-    texts AS (SELECT q.query_id, s._id, s.rank, s.score FROM queries q CROSS JOIN scored s
+    texts AS (SELECT {query_id}, s._id, s.rank, s.score FROM {source}
               WHERE s.rank <= {window}),
     fused AS (
       SELECT coalesce(t.query_id, v.query_id) AS query_id, coalesce(t._id, v._id) AS _id, score,
@@ -314,6 +316,9 @@ SQL = {
     "hybrid_knn_only": knn_query(7, "l2", "lang = 'en'"),
     "hybrid_rrf": f"""WITH {COLL}, {VECTORS}, {bm25(30, one(WORDS), "lang = 'en'")},
         {fused(10, 30, 20, knn(20, 'cosine', 'n_chars >= 500'))}""",
+    "hybrid_rrf_texts": f"""WITH {COLL}, {VECTORS},
+        {bm25(30, 'SELECT item_id AS query_id, text FROM benchmark', "lang = 'en'")},
+        {fused(10, 30, 20, knn(20, 'cosine', 'n_chars >= 500'), own_texts=True)}""",
     "hybrid_filtered": f"""WITH {COLL}, {VECTORS}, passed AS (
           SELECT * FROM coll WHERE lang = 'en' AND n_chars >= 500 AND {contains(WORDS)})
         SELECT {KNN_COLUMNS} FROM ({knn(10, 'cosine', source='passed')})""",

@@ -528,6 +528,16 @@ def hybrid_rrf(spark, folder):
         collection(spark, folder), text, knn, hybrid.Rrf(30, 20), 10, [], "cosine"))
 
 
+@query
+def hybrid_rrf_texts(spark, folder):
+    """A table of texts and a table of vectors, fused for each query id."""
+    text = hybrid.TextBranch(where.eq("lang", "en"), index=stored_index(spark, folder),
+                             queries=text_queries(spark, folder))
+    knn = hybrid.KnnBranch(vector_queries(spark, folder), where.gte("n_chars", 500), n_results=20)
+    return ranked(hybrid.hybrid_search_advanced(
+        collection(spark, folder), text, knn, hybrid.Rrf(30, 20), 10, [], "cosine"))
+
+
 @query
 def hybrid_filtered(spark, folder):
     text = hybrid.TextBranch(where.eq("lang", "en"), Contains(WORDS))
