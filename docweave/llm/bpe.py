@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from docweave.llm.chunks import ChunkEncoder
+from docweave.llm.chunks import MEMO_ENTRIES, ChunkEncoder
 from docweave.llm.common import in_batches, slices, worker_cache
 
 MAX_STATES = 100_000
@@ -44,7 +44,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encoder of byte strings by merge ranks; `encode` of a whole piece gives its ids."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], tables: float = 1.0):
+        self.max_states, self.max_joins = int(MAX_STATES * tables), int(MAX_JOINS * tables)
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.length = {rank: len(token) for token, rank in ranks.items()}
@@ -88,7 +89,7 @@ class Transducer:
         key = token if last is None else last + 1 << 32 | token
         known = self.joins.get(key)
         if known is None:
-            if len(self.joins) > MAX_JOINS:
+            if len(self.joins) > self.max_joins:
                 self.joins.clear()
             expected = [token] if last is None else [last, token]
             known = self.merged(b"".join(self.bytes_of[t] for t in expected)) == expected
@@ -139,7 +140,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None or not piece:
             return [] if whole is None else [whole]
-        if len(self.states) > MAX_STATES:
+        if len(self.states) > self.max_states:
             self._forget()
         state, ends, written, known = 0, [0], [], self.steps.get
         for at in range(0, len(piece), WINDOW):
@@ -155,8 +156,9 @@ class Transducer:
 class TextEncoder:
     """Splits texts by the pattern and encodes each match; remembers short matches."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, tables: float = 1.0):
+        self.transducer = Transducer(ranks, tables)
+        self.max_pieces = int(MAX_PIECES * tables)
         self.pieces = regex.compile(pattern)
         self.memo: dict[str, list[int]] = {}
 
@@ -167,7 +169,7 @@ class TextEncoder:
             if found is None:
                 found = self.transducer.encode(piece.encode())
                 if len(piece) <= 32:
-                    if len(memo) > MAX_PIECES:
+                    if len(memo) > self.max_pieces:
                         memo.clear()
                     memo[piece] = found
             out += found
@@ -241,8 +243,9 @@ class Vocabulary:
         yield decoder.finish()
 
 
-def _chunks(path: str, pattern: str) -> ChunkEncoder:
-    return worker_cache(("bpe", path, pattern), lambda: ChunkEncoder(TextEncoder(read_ranks(path), pattern).batch))
+def _chunks(path: str, pattern: str, tables: float = 1.0) -> ChunkEncoder:
+    return worker_cache(("bpe", path, pattern, tables), lambda: ChunkEncoder(
+        TextEncoder(read_ranks(path), pattern, tables).batch, int(MEMO_ENTRIES * tables)))
 
 
 def _vocabulary(path: str) -> Vocabulary:
@@ -254,14 +257,15 @@ def id_lists(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id",
-           text_column: str = "text") -> DataFrame:
-    """(id, ids array<int>) of every text; `ranks` is a rank file that each executor has."""
+           text_column: str = "text", tables: float = 1.0) -> DataFrame:
+    """(id, ids array<int>) of every text; `ranks` is a rank file that each executor has. `tables` is
+    the size of a worker's tables and slices: less takes less memory and more time."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
-        chunks = _chunks(ranks, pattern)
+        chunks = _chunks(ranks, pattern, tables)
         for batch in batches:
-            for part in slices(batch, text_column, SLICE_BYTES):
+            for part in slices(batch, text_column, int(SLICE_BYTES * tables)):
                 ids, starts = chunks(part[text_column])
                 yield pa.RecordBatch.from_arrays([part[id_column], id_lists(ids, starts)],
                                                  names=[id_column, "ids"])

@@ -61,6 +61,7 @@ def test_transducer_forgets_within_bounds(monkeypatch, reference):
     monkeypatch.setattr(bpe, "MAX_STATES", 20)
     monkeypatch.setattr(bpe, "MAX_JOINS", 20)
     transducer = bpe.Transducer(bpe.read_ranks(RANKS))
+    assert transducer.max_states == transducer.max_joins == 20
     for word in (b" thandonner", b" reading", b" unbelievable"):
         assert transducer.encode(word) == reference._encode_single_piece(word)
 
