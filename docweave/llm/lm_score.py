@@ -6,8 +6,8 @@ are sent to all tasks; the others meet their counts in a join, in one row for ea
 with the list of texts it stands in, so no key holds a large part of the data.
 
 The attention model reads the lower-cased words as subword ids of a public tokenizer, each word
-with a space before, and an end. Its id counts come from the word counts. Training windows are
-cut from every training text in proportion to its length; they are dealt to shards of bounded size,
+with a space before, and an end. Its id counts come from the word counts. Every training text is
+cut into consecutive windows over all its ids; they are dealt to shards of bounded size,
 each shard trains from common weights, and weights are averaged by groups of shards, so work grows
 with the corpus while what reaches the driver stays a few model sizes.
 
@@ -33,7 +33,7 @@ from docweave.sources.storage import stored
 
 HEAVY = 20_000
 SHARD_WINDOWS = 20_000
-CHARS_PER_WINDOW = 16_384
+LINE_WINDOWS = 64
 ROUNDS = 2
 SLICE_BYTES = 2 << 20
 MEMO_WORDS = 120_000
@@ -85,71 +85,75 @@ def id_counts(counts: DataFrame, tokenizer: str, size: int) -> np.ndarray:
     return out
 
 
-def training_windows(docs: DataFrame, tokenizer: str, end_id: int, text_column: str = "text") -> DataFrame:
-    """(ids): runs of ids, one for each text and each CHARS_PER_WINDOW characters of it, that start
-    at the text's start (with the end before it) or at a word."""
-    width = attention.WINDOW + 1
+def training_lines(docs: DataFrame, tokenizer: str, end_id: int, class_of: np.ndarray,
+                   text_column: str = "text") -> DataFrame:
+    """(number, line): the classes of every text's ids with the end before and after, one byte each, in
+    pieces of at most LINE_WINDOWS windows. A piece starts with the last class of the one before, so
+    its windows predict every id of the text once. No two pieces have the same number."""
+    assert attention.CLASSES <= 256
+    sent = docs.sparkSession.sparkContext.broadcast(class_of.astype(np.uint8))
+    most = LINE_WINDOWS * attention.WINDOW
 
     def run(batches):
+        classes, word_ids = sent.value, _word_ids(tokenizer)
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, text_column, SLICE_BYTES):
                 found, starts = words(part[text_column], SPACED)
-                counts = np.diff(starts)
-                chars = per_text(np.asarray(pc.binary_length(found)).astype(np.int64) + 1, starts) if len(found) else counts
-                windows = np.where(counts > 0, 1 + chars // CHARS_PER_WINDOW, 0)
-                text = np.repeat(np.arange(len(counts)), windows)
-                # spread over the text: the k-th window starts in the k-th of equal parts
-                k = spans(np.zeros(len(counts), np.int64), windows)
-                jump = (text * 2_654_435_761 + counts[text] * 97 + k * 40_503) % 1009 / 1009
-                first = ((k + jump) * counts[text] / windows[text]).astype(np.int64)
-                first[(k == 0) & (jump < 0.25)] = 0
-                taken = np.minimum(attention.WINDOW, counts[text] - first)
-                chosen = spans(starts[:-1][text] + first, taken)
-                distinct, codes = encoded(found.take(pa.array(chosen)))
-                ids, begins = _word_ids(tokenizer)(distinct.to_pylist())
-                lengths = np.diff(begins)
-                cuts = np.concatenate(([0], np.cumsum(taken)))
-                rows = []
-                for w in range(len(text)):
-                    own = codes[cuts[w]:cuts[w + 1]]
-                    line = ids[spans(begins[own], lengths[own])][:width + 8]
-                    if first[w] == 0:
-                        line = np.concatenate(([end_id], line))
-                    if first[w] + taken[w] == counts[text[w]]:
-                        line = np.append(line, end_id)
-                    rows.append(line[:width].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], names=["ids"])
-
-    return in_batches(docs.select(text_column), run, "ids array<int>")
-
-
-def _window_arrays(lists: list[list[int]], class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    before = np.zeros((len(lists), attention.WINDOW), np.int16)
-    after, wanted = before.copy(), np.zeros(before.shape, bool)
-    for i, ids in enumerate(lists):
-        classes = class_of[np.array(ids, np.int64)]
-        n = len(classes) - 1
-        before[i, :n], after[i, :n], wanted[i, :n] = classes[:-1], classes[1:], True
-    return before, after, wanted
-
-
-def fit(windows: DataFrame, class_of: np.ndarray, log_share: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights after some rounds of training on shards and averaging; `windows` is read anew each round."""
+                distinct, codes = encoded(found)
+                ids, begins = word_ids(distinct.to_pylist())
+                lengths = np.diff(begins)[codes]
+                line = classes[ids[spans(begins[codes], lengths)]]
+                before = np.concatenate(([0], np.cumsum(lengths)))[starts]
+                # the end before the first text and after each: it is also the one before the next text
+                line = np.insert(line, before, classes[end_id])
+                ends = before[1:] + np.arange(1, len(before))
+                first = np.concatenate(([0], ends[:-1]))
+                pieces = -(-(ends - first) // most)
+                text = np.repeat(np.arange(len(pieces)), pieces)
+                start = first[text] + most * spans(np.zeros(len(pieces), np.int64), pieces)
+                stop = np.minimum(start + most, ends[text]) + 1
+                data = line.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number + np.arange(len(text), dtype=np.int64)),
+                     pa.array([data[i:j] for i, j in zip(start.tolist(), stop.tolist())], pa.binary())],
+                    names=["number", "line"])
+                number += len(text)
+
+    return in_batches(docs.select(text_column), run, "number long, line binary")
+
+
+def _window_arrays(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Consecutive windows over all classes of the lines: before, after, and which places count."""
+    flat = np.frombuffer(b"".join(lines), np.uint8)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    last = np.cumsum(sizes) - 1
+    windows = -(-(sizes - 1) // attention.WINDOW)
+    of = np.repeat(np.arange(len(lines)), windows)
+    start = (last - sizes + 1)[of] + attention.WINDOW * spans(np.zeros(len(lines), np.int64), windows)
+    at = start[:, None] + np.arange(attention.WINDOW)
+    wanted = at < last[of, None]
+    at = np.minimum(at, len(flat) - 2)
+    return (np.where(wanted, flat[at], 0).astype(np.int16), np.where(wanted, flat[at + 1], 0).astype(np.int16), wanted)
+
+
+def fit(lines: DataFrame, log_share: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights after some rounds of training on shards and averaging; `lines` is read anew each round."""
     flat = attention.packed(attention.start_weights(log_share))
-    windows = stored(windows, "lm_windows")
-    total = windows.count()
+    lines = stored(lines, "lm_lines")
+    total = lines.agg(F.sum(F.ceil((F.length("line") - 1) / attention.WINDOW))).first()[0]
     if not total:
         return flat
     shards = max(1, total // SHARD_WINDOWS)
-    dealt = windows.select("ids", F.pmod(F.xxhash64("ids"), F.lit(shards)).alias("shard"))
+    # by number and not by content: equal texts spread over all shards
+    dealt = lines.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)))
     for _ in range(rounds):
-        start = dealt.sparkSession.sparkContext.broadcast((flat, class_of))
+        start = dealt.sparkSession.sparkContext.broadcast(flat)
 
         def train(key, table):
-            weights, classes = start.value
-            arrays = _window_arrays(table["ids"].to_pylist(), classes)
-            after = attention.packed(attention.train(attention.unpacked(weights), *arrays))
-            return pa.table({"shard": [key[0].as_py()], "weight": [float(len(table))],
+            arrays = _window_arrays(table.sort_by("number")["line"].to_pylist())
+            after = attention.packed(attention.train(attention.unpacked(start.value), *arrays))
+            return pa.table({"shard": [key[0].as_py()], "weight": [float(len(arrays[0]))],
                              "flat": pa.array([after.tobytes()], pa.binary())})
 
         def average(key, table):
@@ -184,7 +188,7 @@ def score(docs: DataFrame, training: str, tokenizer: str, end_id: int, id_column
     ids = id_counts(counts, tokenizer, size)
     ids[end_id] += ends
     class_of, in_class, log_share = attention.vocabulary(ids, end_id)
-    flat = fit(training_windows(learned, tokenizer, end_id, text_column), class_of, log_share)
+    flat = fit(training_lines(learned, tokenizer, end_id, class_of, text_column), log_share)
     sent = spark.sparkContext.broadcast((heavy, class_of, in_class, flat))
     kind = docs.schema[id_column].dataType.simpleString()
 

@@ -247,6 +247,27 @@ def test_lm_base_equals_brute_force(spark, odd, nothing):
     assert {r.train_tokens for r in none} == {0} and {r.n_known for r in none} == {0}
 
 
+def test_lm_trains_on_every_id_once(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "LINE_WINDOWS", 3)
+    words = ["alpha", "beta", "Gamma", "d,", "\u00fcber", "zzzz9"]
+    rng = random.Random(7)
+    texts = [None, "", "alpha", *(" ".join(rng.choice(words) for _ in range(n)) for n in (5, 31, 32, 33, 400, 3000))]
+    texts += ["beta alpha d, " * 200] * 5
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    library, end = Tokenizer.from_file(LIBRARY), 50256
+    class_of = (np.arange(library.get_vocab_size()) % attention.CLASSES).astype(np.int16)
+    rows = lm_score.training_lines(docs, LIBRARY, end, class_of).collect()
+    assert len({r.number for r in rows}) == len(rows)
+    before, after, wanted = lm_score._window_arrays([bytes(r.line) for r in rows])
+    expected = Counter()
+    for t in texts:
+        ids = [i for w in (t or "").encode().lower().split()
+               for i in library.encode(" " + w.decode(), add_special_tokens=False).ids]
+        line = class_of[[end, *ids, end]].tolist()
+        expected.update(zip(line, line[1:]))
+    assert Counter(zip(before[wanted].tolist(), after[wanted].tolist())) == expected
+
+
 def test_windows_score_each_id_once_and_sum_to_one():
     counts = np.array([5, 9, 1, 0, 3.0])
     class_of, in_class, log_share = attention.vocabulary(counts, 4)
