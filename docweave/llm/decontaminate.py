@@ -11,7 +11,8 @@ Documents are read twice (to count the benchmark's words, then to join) and neve
 is shuffled is one row for each document and one for each window found. The benchmark's tokens are
 broadcast while their measured number is small; beyond that the join carries the 25 words
 around each document word and shuffles them. NULL texts have no words. NULL and repeated ids keep
-one row for each input row. Items without words never occur.
+one row for each input row. Items without words never occur. Items with a NULL id are one item: its
+windows count as hits and it counts once in n_items, but it adds no id to the digest.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ def rarest_tokens(windows: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _found(texts: DataFrame, tokens: DataFrame, width: int) -> DataFrame:
     """(_row, _id, n_words, start, length, item): every occurrence of every window, and for
-    each document one row without an item."""
+    each document one row of length 0."""
     kind = tokens.schema["item"].dataType
     last = tokens.sparkSession.createDataFrame([(LAST,)], "token string").select(
         "token", F.lit(None).cast(kind).alias("item"), F.array(F.lit(LAST)).alias("window"), F.lit(0).alias("place"))
@@ -70,6 +71,7 @@ def _found(texts: DataFrame, tokens: DataFrame, width: int) -> DataFrame:
     here = texts.select("_row", "_id", F.size("words").alias("n_words"),
                         F.array_append("words", F.lit(LAST)).alias("words"))
     start, length = F.col("at") - F.col("place"), F.size("window")
+    counted = F.when(F.col("token") == LAST, 0).otherwise(length)
     if fits(tokens, MAX_BROADCAST_ROWS):
         each = here.select("_row", "_id", "n_words", "words", F.posexplode("words").alias("at", "token"))
         near = each.join(F.broadcast(tokens), "token").where((start >= 0) & (start + length <= F.size("words")))
@@ -81,7 +83,7 @@ def _found(texts: DataFrame, tokens: DataFrame, width: int) -> DataFrame:
         own = F.col("left") - F.col("place")
         hit = each.join(tokens, "token").where((start >= 0) & (own + length <= F.size("near"))).where(
             F.slice("near", own + 1, length) == F.col("window"))
-    return hit.select("_row", "_id", "n_words", start.alias("start"), length.alias("length"), "item")
+    return hit.select("_row", "_id", "n_words", start.alias("start"), counted.alias("length"), "item")
 
 
 def covered(spans: Column) -> Column:
@@ -116,14 +118,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
                         F.monotonically_increasing_id().alias("_row"), words(F.col(text_column)).alias("words"))
     windows = stored(item_windows(benchmark, width), "benchmark_windows")
     found = _found(texts, rarest_tokens(windows, texts), width)
-    span = F.when(F.col("item").isNotNull(), F.struct("start", (F.col("start") + F.col("length")).alias("end")))
+    hit = F.col("length") > 0  # any item may have a NULL id; only the last row has no length
+    span = F.when(hit, F.struct("start", (F.col("start") + F.col("length")).alias("end")))
     by_text = found.groupBy("_row").agg(
         F.first("_id").alias("_id"), F.max("n_words").cast("long").alias("n_words"),
         F.sort_array(F.collect_set(span)).alias("spans"),
-        F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
+        F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"),
+        F.max((hit & F.col("item").isNull()).cast("int")).alias("nameless"))
     return by_text.select(
         F.col("_id.id").alias(id_column), "n_words", covered(F.col("spans")).cast("long").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
+        (F.size("items") + F.col("nameless")).cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         *(f"_id.{n}" for n in extra)).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))

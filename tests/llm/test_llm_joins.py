@@ -145,6 +145,17 @@ def test_contamination_equals_brute_force(spark, monkeypatch, limit):
     assert len(none) == len(docs) and not any(r.contaminated for r in none)
 
 
+@pytest.mark.parametrize("limit", [sizing.MAX_BROADCAST_ROWS, 0])
+def test_benchmark_items_without_an_id_count_as_hits(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_ROWS", limit)
+    docs = spark.createDataFrame([(1, "k9 k9 k9 k9"), (2, "a b c " + "x " * 100), (3, "p q"), (4, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "k9 k9 k9"), (None, "a b"), ("i", "b c"), ("", "p q")], "item_id string, text string")
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert {tuple(r) for r in decontaminate.contamination(docs, bench).collect()} == {
+        (1, 4, 4, 1, digest(""), True), (2, 103, 3, 2, digest("i"), False), (3, 2, 2, 1, digest(""), True), (4, 0, 0, 0, digest(""), False)}
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == {2, 4}
+
+
 def test_decontamination_runs_no_python(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     bench = spark.createDataFrame([("i", "b c")], "item_id string, text string")
