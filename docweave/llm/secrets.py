@@ -1,11 +1,15 @@
 """Secret scan with DataFrame functions only: fixed shapes, and sliding-window entropy.
 
 Three fixed shapes are searched: assignments to names like `password`, access key ids, and long
-hexadecimal runs. Besides, every run of 20 or more characters of the base64 alphabets that holds a
-digit is a candidate: a window slides over it, character counts are updated by the one that
-enters and the one that leaves, and the Shannon entropy follows from their sum of n log n. Pure
-hexadecimal runs are measured over 16 characters against their own limit, others over all. A
-candidate whose best window reaches the limit is a span, unless it fits an allow-list pattern.
+hexadecimal runs. Besides, every run of 20 or more characters of the base64 alphabets is a
+candidate: a window slides over it, character counts are updated by the one that
+enters and the one that leaves, and the Shannon entropy follows from their sum of n log n. Each class
+of characters has its own limit, which one in 200 windows of evenly drawn characters misses (LIMITS);
+longer runs have more windows and are missed less. A candidate whose best window reaches the
+limit is a span, unless the allow-list fits: numbers, UUIDs, stated examples, and runs made of
+words (of one case, capitalised or in camel case) and numbers between separators. Words with digits
+elsewhere than at the end are allowed below BASE64_LIMIT only. So random letters of a single case
+are not found: their entropy is that of long words in prose.
 
 Positions come from the lengths of the parts between matches, summed in order within a text.
 Texts themselves are never shuffled, only matches. NULL and empty texts have no spans; NULL and
@@ -28,8 +32,20 @@ KINDS = ("assign", "access", "hex", "entropy")
 HEX_ALPHABET = "0123456789abcdef"
 BASE64_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_="
 RUN = "[A-Za-z0-9+/_=-]"
-CANDIDATE = f"(?<!{RUN})(?=[A-Za-z+/_=-]*[0-9]){RUN}{{20,}}"
+CANDIDATE = f"{RUN}{{20,}}"
 WINDOW = 20
+#: 0.5 % quantiles of the entropy of WINDOW random characters, 300,000 draws each, rounded down.
+LIMITS = (
+    ("^([a-z0-9]+|[A-Z0-9]+)$", 3.34),  # 36 characters
+    ("^[A-Za-z]+$", 3.52),              # 52
+    ("^[A-Za-z0-9]+$", 3.58),           # 62
+)
+HEX_LEAST, REST_LEAST = 2.82, 3.60      # 16; 64
+#: Parts that a run of words consists of; without any it is empty.
+_SHORT = "|".join("As At By Do Id If In Is It My No Of On Or To Up".split())
+PARTS = (f"(?<![A-Za-z0-9])(?:(?:[A-Z]?[a-z]+|[A-Z]+|[a-z]*(?:[A-Z][a-z]{{2,}}|{_SHORT}){{1,40}})[0-9]{{0,4}}|[0-9]{{1,8}})"
+         "(?![A-Za-z0-9])|[-_/=+]+")
+# The limits and the allow-list of the SQL: whatever they find is found here as well.
 HEX_LIMIT = 3.0
 BASE64_LIMIT = 3.9
 ALLOWED = (
@@ -71,13 +87,16 @@ def window_entropy(run: Column, alphabet: str, width: int = WINDOW) -> Column:
 
 def suspicious(run: Column) -> Column:
     """Whether a candidate's entropy reaches its class's limit and no allow-list pattern fits."""
-    fits = F.lit(False)
-    for pattern in ALLOWED:
+    words = F.regexp_replace(run, PARTS, "") == ""
+    fits = words & ~run.rlike("[0-9][^0-9]|[0-9]{5}")  # digits at the end alone
+    for pattern in (ALLOWED[0], ALLOWED[1], ALLOWED[3]):
         fits = fits | run.rlike(pattern)
-    is_hex = run.rlike("^([0-9a-f]+|[0-9A-F]+)$")
+    limit = F.when(words, BASE64_LIMIT)
+    for shape, least in LIMITS:
+        limit = limit.when(run.rlike(shape), least)
     return F.when(fits, False).when(
-        is_hex, window_entropy(F.lower(run), HEX_ALPHABET) >= HEX_LIMIT).otherwise(
-        window_entropy(run, BASE64_ALPHABET) >= BASE64_LIMIT)
+        run.rlike("^[0-9A-Fa-f]+$"), window_entropy(F.lower(run), HEX_ALPHABET) >= HEX_LEAST).otherwise(
+        window_entropy(run, BASE64_ALPHABET) >= limit.otherwise(REST_LEAST))
 
 
 def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
