@@ -7,7 +7,7 @@ stage before it kept."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from docweave.llm import bpe, decontaminate, language_id, near_join, secrets
 from docweave.llm.common import table
@@ -15,13 +15,15 @@ from docweave.sources.storage import stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language cannot be told: NULL texts and texts without a letter."""
+    """Drops documents whose language cannot be told: NULL texts, texts without a letter, and texts that
+    are near no language's profile (see language_id.LEAST_NEAR). Without whole profiles, letters are enough."""
     profiles = language_id.stored_profiles(docs)
     names = [f"_c{i}" for i in range(len(docs.columns))]  # whatever the documents' columns are called
     inner = docs.toDF(*names)
     text, own_id = (names[docs.columns.index(c)] for c in ("text", "doc_id"))
-    judged = language_id.predict(inner, profiles, id_column=own_id, text_column=text, keep=tuple(names))
-    return judged.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*names).toDF(*docs.columns)
+    judged = language_id.predict(inner, profiles, id_column=own_id, text_column=text, keep=tuple(names),
+                                 usable="_usable")
+    return judged.where("_usable").select(*names).toDF(*docs.columns)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,9 @@ from docweave.llm.common import in_batches, mixed, raw, slices
 from docweave.sources.storage import stored
 
 PROFILE_LENGTH = 400
+#: Texts whose best profile stays less than this share below the greatest distance are near none. On
+#: sf0.1 every text with a letter has 0.40 or more, random letters 0.09 to 0.16, other scripts 0.
+LEAST_NEAR = 0.2
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3)
 SLICE_BYTES = 1 << 20
@@ -137,6 +140,8 @@ class Profiles:
         for r in rows:
             self.ranks[at[r["lang"]], np.searchsorted(self.grams, r["gram"])] = r["rank"] - 1
         self.in_profile = self.ranks < length
+        # a language with little text has a short profile, which is far from its own texts too
+        self.whole = bool(self.langs) and bool((self.in_profile.sum(axis=1) == length).all())
 
     def distances(self, keys: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
         """Out-of-place sums (texts x languages), and how many n-grams of each text counted."""
@@ -163,8 +168,11 @@ class Profiles:
 
 
 def predict(docs: DataFrame, profiles: DataFrame, length: int = PROFILE_LENGTH,
-            id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, lang_pred, score) and the columns named in `keep`. The score is the share of the
+            id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (),
+            usable: str | None = None) -> DataFrame:
+    """(id, lang_pred, score) and the columns named in `keep`. `usable` names one more column: whether
+    a text has a letter and is at least LEAST_NEAR near a profile; while a profile is short, or
+    there is none, letters are enough. The score is the share of the
     greatest possible distance that the best language stays below, raised by the lead over the
     second language; 0 for `und`."""
     spark: SparkSession = docs.sparkSession
@@ -180,6 +188,7 @@ def predict(docs: DataFrame, profiles: DataFrame, length: int = PROFILE_LENGTH,
                 keys, letters = grams(part[text_column])
                 langs = np.full(len(part), UNDETERMINED, object)
                 score = np.zeros(len(part))
+                good = letters > 0
                 if held.langs:
                     sums, counted_grams = held.distances(keys, len(part))
                     near = 1 - sums / np.maximum(1, counted_grams * held.length)[:, None]
@@ -188,12 +197,16 @@ def predict(docs: DataFrame, profiles: DataFrame, length: int = PROFILE_LENGTH,
                     langs[some] = np.array(held.langs, object)[best[some]]
                     lead = np.partition(near, -2, axis=1)[:, -2] if len(held.langs) > 1 else np.zeros(len(part))
                     top = near[np.arange(len(part)), best]
+                    if held.whole:
+                        good &= top >= LEAST_NEAR
                     score[some] = np.clip(top + (1 - top) * (top - lead), 0, 1)[some]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part[n] for n in rest), pa.array(langs, pa.string()), pa.array(score)],
-                    names=[*rest, "lang_pred", "score"])
+                    [*(part[n] for n in rest), pa.array(langs, pa.string()), pa.array(score),
+                     *([pa.array(good)] if usable else [])],
+                    names=[*rest, "lang_pred", "score", *([usable] if usable else [])])
 
-    return in_batches(docs.select(*names), run, f"{schema}, lang_pred string, score double")
+    return in_batches(docs.select(*names), run, f"{schema}, lang_pred string, score double" + (
+        f", `{usable}` boolean" if usable else ""))
 
 
 def stored_profiles(docs: DataFrame, length: int = PROFILE_LENGTH) -> DataFrame:

@@ -311,5 +311,19 @@ def test_pipeline_stages(spark):
     assert back == texts and sizes[0] > sizes[1] >= sizes[2] == sizes[3] == sizes[4]
 
 
+def test_language_stage_keeps_texts_without_profiles_and_drops_what_is_near_none(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(4)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300)) for _ in range(5)] + ["Привет, мир, это текст"]
+    extra = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate([*noise, "12 34", None])], docs.schema)
+    both = docs.unionByName(extra)
+    with_letters = {r.doc_id for r in both.collect() if r.text and any(c.isalpha() for c in r.text)}
+    ids = lambda d: {r.doc_id for r in corpus_pipeline.identify_language(spark, d, folder).collect()}
+    assert ids(both) == with_letters - {-1 - i for i in range(6)}
+    assert ids(both.withColumn("lang", F.lit(None).cast("string"))) == with_letters
+    assert ids(both.withColumn("lang", F.when(F.col("doc_id") == -6, "xx"))) == with_letters  # one short profile
+
+
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").columns == ["doc_id", "ids"]
