@@ -260,6 +260,20 @@ def test_chat_round_trip(spark, size):
     assert chat.chat(talks.where("false")).count() == 0
 
 
+def test_long_conversations_are_cut_into_bounded_packs(spark):
+    rows = [(None, t, ("user", "assistant")[t % 2], f"turn {t} <|x") for t in range(3000)]
+    rows += [(1, t, ("user", "assistant")[t % 2], f"turn {t} <|x") for t in range(1500)] + [(2, 0, "user", "turn 0 <|x")]
+    talks = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert Counter(map(tuple, chat.chat(talks, pack_chars=2_000).collect())) == brute_chat(rows)
+    packs, _ = chat.format_conversations(talks, pack_chars=2_000)
+    packs = packs.collect()
+    assert len(packs) > 50 and all(len(p.text) <= 4_200 for p in packs)
+    whole = sum(len(chat.format_turn(r, x)[0]) for c, _, r, x in rows if c is None)
+    assert max(p.positions[-1] + p.ends[-1] - p.starts[-1] for p in packs) == whole
+    chunks = chat.paths(talks, pack_chars=2_000).collect()
+    assert max(len(c.turns) for c in chunks) < 100 and {c.before for c in chunks if c.seq == 0} == {""}
+
+
 def test_packs_hold_each_turn_once_with_positions_and_ancestors(spark):
     rows = [(c, t, r, x) for c in range(12) for t, (r, x) in enumerate(
         [("system", "be kind"), ("user", f"q{c % 3}"), ("assistant", f"a{c % 6}")])]
