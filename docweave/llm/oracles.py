@@ -118,3 +118,36 @@ SELECT conv_id, n::BIGINT AS n_turns, sha256(whole) AS turns_sha256, length(loss
     sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars
 FROM said
 """
+
+_CRC32 = ("xor(list_reduce(list_transform(range(1, length({0}) + 1), lambda i: ascii(({0})[i])::BIGINT), "
+          "lambda a, b: list_reduce(range(8), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)), "
+          "4294967295), 4294967295)")
+
+SQL["op13_conversation_trie"] = rf"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL),
+own AS (
+    SELECT conv_id, {_CRC32.format('conv_id::VARCHAR')} % 4 AS h,
+        list(struct_pack(role := role, text := text)
+             ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS w
+    FROM said GROUP BY conv_id),
+rebuilt AS (
+    SELECT own.conv_id, list_concat(list_slice(coalesce(base.w, []), 1, own.h), list_slice(own.w, own.h + 1, len(own.w))) AS w
+    FROM own LEFT JOIN own base ON base.conv_id = own.conv_id - own.conv_id % 20),
+prefixes AS (
+    SELECT conv_id, d, list_slice(w, 1, d) AS p, d = len(w) AS is_end FROM rebuilt, unnest(range(0, len(w) + 1)) AS u(d)),
+nodes AS (
+    SELECT p, min(d) AS d, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * (
+            CASE WHEN min(d) = 0 THEN 0 ELSE len(regexp_extract_all(p[-1].text, '[^\x20\x09-\x0D]+')) END) AS saved,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends
+    FROM prefixes GROUP BY p),
+children AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+sums AS (
+    SELECT list_slice(v.p, 1, k) AS p, count(*) FILTER (c.n IS NULL) AS leaves, sum(saved) AS saved
+    FROM nodes v LEFT JOIN children c ON c.p = v.p, unnest(range(0, v.d + 1)) AS u(k) GROUP BY ALL)
+SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n AS n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+    s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, v.ends AS ends_sha256
+FROM nodes v JOIN sums s ON s.p = v.p LEFT JOIN children c ON c.p = v.p
+LEFT JOIN nodes up ON v.d > 0 AND up.p = list_slice(v.p, 1, v.d - 1)
+"""

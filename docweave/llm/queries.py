@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import bpe, chat, decontaminate, language_id, lm_score, near_join, quality, secrets, token_files, toxicity
+from docweave.llm import (
+    bpe, chat, conversation_trie, decontaminate, language_id, lm_score, near_join, quality, secrets, token_files,
+    toxicity)
 from docweave.llm.common import remainder, table
 from docweave.llm.oracles import SQL  # noqa: F401
 from docweave.sources.storage import new_location
@@ -80,3 +82,8 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
                                   "conv_id long, turn long, role string, text string")
     return chat.chat(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, folder, "conversations"))
