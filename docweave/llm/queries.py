@@ -6,11 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.llm import (
-    bpe, chat, conversation_trie, decontaminate, language_id, lm_score, near_join, quality, secrets, token_files,
-    toxicity)
+    ann, bpe, chat, conversation_trie, decontaminate, language_id, lm_score, near_join, quality, secrets,
+    token_files, toxicity)
 from docweave.llm.common import remainder, table
 from docweave.llm.oracles import SQL  # noqa: F401
-from docweave.sources.storage import new_location
+from docweave.sources.storage import new_location, stored
 
 QUERIES = {}
 
@@ -87,3 +87,9 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.trie(table(spark, folder, "conversations"))
+
+
+@query
+def op11_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = stored(ann.usable(table(spark, folder, "embeddings")), "ann_usable")
+    return ann.search(ann.build_index(vectors), vectors.where("vec_id % 20 = 0"))
