@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.llm import (
-    ann, bpe, chat, conversation_trie, decontaminate, language_id, lm_score, near_join, quality, secrets,
+    alignment, ann, bpe, chat, conversation_trie, decontaminate, language_id, lm_score, near_join, quality, secrets,
     token_files, toxicity)
 from docweave.llm.common import remainder, table
 from docweave.llm.oracles import SQL  # noqa: F401
@@ -93,3 +93,9 @@ def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
 def op11_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = stored(ann.usable(table(spark, folder, "embeddings")), "ann_usable")
     return ann.search(ann.build_index(vectors), vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
