@@ -18,6 +18,7 @@ through a table of distinct space-separated chunks; all other texts are aligned
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,8 @@ BLOCK = 1 << 16        # documents whose offsets fit into 16 bits
 BITMAP_BYTES = BLOCK // 8
 DENSE = BITMAP_BYTES // 2  # so many offsets take as much room as the bits
 TEXT_BYTES = 4 * 1024 * 1024
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 400_000
+JOINED = 512           # chunks encoded as one text
 AT_ONCE = 100_000      # chunks aligned in one step
 
 
@@ -72,28 +74,41 @@ class Aligner:
         self.starts = np.zeros(1, np.int64)
         self.groups: list[bytes | None] = []       # None where the bytes differ
 
-    def add(self, texts: list[str]) -> None:
-        """Align each text as a whole and append it as an entry."""
+    def add(self, texts: list[str], chunks: bool = False) -> None:
+        """Align each text as a whole and append it as an entry. Chunks neither begin nor end with a space
+        character, so many of them may be encoded as one text."""
         for at in range(0, len(texts), AT_ONCE):
             part = texts[at:at + AT_ONCE]
-            sides = [[np.frombuffer(ids, np.uint32).astype(np.int64) for ids in self.a([" " + t for t in part])],
-                     [np.array(ids, np.int64) for ids in self.b.encode(part, num_threads=1)]]
-            self._align([(" " + t).encode() for t in part], sides)
-
-    def _align(self, whole: list[bytes], sides: list[list[np.ndarray]]) -> None:
-        flat = [np.concatenate(side) for side in sides]
+            whole = [(" " + t).encode() for t in part]
+            self._align(whole, [self._first(part, whole, chunks), _flat(self.b.encode(part, num_threads=1))])
+
+    def _first(self, texts: list[str], whole: list[bytes], chunks: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of tokenizer A and their number for each text."""
+        run = JOINED if chunks else 1
+        joined = [" " + " ".join(texts[i:i + run]) for i in range(0, len(texts), run)]
+        ids, sizes = _flat([self.a.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in joined])
+        if chunks:  # cut where the chunks' bytes end
+            ends = np.cumsum(np.fromiter(map(len, whole), np.int64, len(whole)))
+            stops = np.searchsorted(np.cumsum(self.lengths[0][ids]), ends, side="left") + 1
+            sizes = np.diff(stops, prepend=0)
+        return ids, sizes
+
+    def _align(self, whole: list[bytes], sides: list[tuple[np.ndarray, np.ndarray]]) -> None:
         good = np.ones(len(whole), bool)
         joined = b"".join(whole)
-        for side, ids, table in zip(sides, flat, self.tables):
-            if b"".join(map(table.__getitem__, ids.tolist())) != joined:
-                good &= [b"".join(map(table.__getitem__, s.tolist())) == w for s, w in zip(side, whole)]
-        sides = [[ids if ok else ids[:0] for ids, ok in zip(side, good)] for side in sides]
-        sizes = [np.array([len(ids) for ids in side], np.int64) for side in sides]
-        flat = [np.concatenate(side) for side in sides]
+        for (ids, sizes), table in zip(sides, self.tables):
+            held = list(map(table.__getitem__, ids.tolist()))
+            if b"".join(held) != joined:
+                stops = np.cumsum(sizes).tolist()
+                good &= [b"".join(held[x:y]) == w for x, y, w in zip([0, *stops], stops, whole)]
+        if not good.all():  # texts that do not come back have no tokens
+            sides = [(ids[np.repeat(good, sizes)], np.where(good, sizes, 0)) for ids, sizes in sides]
+        flat, sizes = zip(*sides)
         a_ends, b_ends = (np.cumsum(length[ids]) for length, ids in zip(self.lengths, flat))
         # each stretch between two ends lies in one token of either side: one link
-        ends = np.union1d(a_ends, b_ends)
-        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        ends = np.sort(np.concatenate((a_ends, b_ends)), kind="stable")
+        again = ends[1:] == ends[:-1]
+        common, ends = ends[1:][again], ends[np.append(~again, True)] if len(ends) else ends
         a_at, b_at = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         owner = np.repeat(np.arange(len(whole)), sizes[0])
         n_links = np.bincount(owner[a_at], minlength=len(whole))
@@ -101,10 +116,8 @@ class Aligner:
         self.links = np.concatenate((self.links, flat[0][a_at] << 32 | flat[1][b_at]))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(n_links)))
         self.counts = np.concatenate((self.counts, np.column_stack((*sizes, n_groups))))
-        texts = _group_texts(flat, [np.searchsorted(common, e) for e in (a_ends, b_ends)])
-        stops = np.concatenate(([0], np.cumsum(sizes[0] + sizes[1])))
-        data, offsets = texts
-        cuts = offsets[stops].tolist()
+        data, offsets = _group_texts(flat, [np.searchsorted(common, e) for e in (a_ends, b_ends)])
+        cuts = offsets[np.concatenate(([0], np.cumsum(sizes[0] + sizes[1])))].tolist()
         self.groups += [data[x:y - 1] if ok else None for x, y, ok in zip(cuts, cuts[1:], good.tolist())]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
@@ -123,13 +136,13 @@ class Aligner:
         wanted = names[used].tolist()
         new = [n for n in wanted if n not in self.known]
         base = len(self.groups)
-        self.add(new)
+        self.add(new, chunks=True)
         for i, n in enumerate(new):
             self.known[n] = base + i
         entry[used] = [self.known[n] for n in wanted]
-        refused = np.array([g is None for g in self.groups], bool)
-        bad = np.where(entry >= 0, refused[entry], False)[codes] if len(refused) else np.zeros(len(codes), bool)
-        plain &= per_text(bad, begins) == 0
+        bad = np.zeros(len(names), bool)
+        bad[used] = self.counts[entry[used], 0] == 0  # a chunk whose bytes do not come back
+        plain &= per_text(bad[codes], begins) == 0
         # texts aligned whole are entries after all others, and are forgotten again
         kept = len(self.groups), len(self.links)
         whole = ~plain & (np.asarray(pc.binary_length(texts)) > 0)
@@ -154,6 +167,12 @@ class Aligner:
         return counts, links, link_starts, digests
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers one after the other, and the length of each list."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+
 def _group_texts(ids: list[np.ndarray], groups: list[np.ndarray]) -> tuple[bytes, np.ndarray]:
     """`a1,a2|b1;` of all groups in order, and where each token's text starts (one more at the end)."""
     value, group = np.concatenate(ids), np.concatenate(groups)
