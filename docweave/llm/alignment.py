@@ -344,10 +344,17 @@ def pair_counts(merged: DataFrame) -> DataFrame:
 
 
 def scores(merged: DataFrame, pairs: DataFrame) -> DataFrame:
-    """`(block, at, n_best, count_sum)` of every document with links: the postings take the pairs' counts back."""
-    rows = merged.select(*KEYS, "bits").join(pairs.select("a", "b", "n_links", "best"), ["a", "b"]).select(
-        "block", "plane", "bits", "n_links", F.col("best").cast("long").alias("best"))
-    rows = rows.repartition("block").sortWithinPartitions("block")
+    """`(block, at, n_best, count_sum)` of every document with links: the postings take the pairs' counts back.
+
+    Only the keys of the postings go to the pairs and come back as a row before their bitmaps (plane -1), so
+    bitmaps are shuffled to their blocks and nowhere else."""
+    keys = merged.where("n_docs > 0").select("block", "a", "b")  # one row for each block and pair
+    nothing = F.lit(None).cast("binary").alias("bits")
+    counts = keys.join(pairs, ["a", "b"]).select(
+        "block", "a", "b", F.lit(-1).alias("plane"), nothing, "n_links", F.col("best").cast("long").alias("best"))
+    zero = F.lit(0).cast("long")
+    bitmaps = merged.select("block", "a", "b", "plane", "bits", zero.alias("n_links"), zero.alias("best"))
+    rows = bitmaps.unionByName(counts).repartition("block").sortWithinPartitions(*KEYS)
     names = ["block", "at", "n_best", "count_sum"]
 
     def result(block, sums):
@@ -356,12 +363,15 @@ def scores(merged: DataFrame, pairs: DataFrame) -> DataFrame:
                                            pa.array(sums[0][at]), pa.array(sums[1][at])], names=names)
 
     def run(batches):
-        block, sums = None, np.zeros((2, BLOCK), np.int64)
+        block, sums, held = None, np.zeros((2, BLOCK), np.int64), np.zeros((2, 1), np.int64)
         for batch in batches:
-            blocks = batch["block"].to_numpy()
-            row, offset = unpack(batch["bits"])
-            plane = batch["plane"].to_numpy().astype(np.int64)
-            each = batch["best"].to_numpy() << plane, batch["n_links"].to_numpy() << plane
+            blocks, plane = batch["block"].to_numpy(), batch["plane"].to_numpy().astype(np.int64)
+            # each bitmap has the counts of the row with plane -1 before it, maybe in the batch before
+            last = np.maximum.accumulate(np.where(plane < 0, np.arange(1, len(plane) + 1), 0))
+            given = np.array([batch["best"].to_numpy(), batch["n_links"].to_numpy()])
+            each = np.concatenate((held, given), axis=1)[:, last]
+            held = each[:, -1:]
+            row, offset = unpack(pc.fill_null(batch["bits"], b""))
             for now in np.unique(blocks).tolist():
                 if block is not None and now != block:
                     yield result(block, sums)
@@ -369,7 +379,7 @@ def scores(merged: DataFrame, pairs: DataFrame) -> DataFrame:
                 block = now
                 mine = blocks[row] == now
                 for total, weight in zip(sums, each):
-                    np.add.at(total, offset[mine], weight[row[mine]])
+                    np.add.at(total, offset[mine], weight[row[mine]] << plane[row[mine]])
         if block is not None:
             yield result(block, sums)
 
