@@ -6,6 +6,7 @@ from pyspark import cloudpickle
 
 from docweave.errors import (
     ConfigError,
+    ConflictError,
     DocweaveError,
     DuplicateIdError,
     EmbeddingError,
@@ -15,13 +16,13 @@ from docweave.errors import (
 from docweave.functions.embedding import BatchEmbedding, HashEmbedding, OnnxEmbedding
 from docweave.functions.text import AllOf, AnyOf, Contains, Regex
 from docweave.operators.hybrid import KnnBranch, Rrf, TextBranch
-from docweave.sources.collection import Collection, create_collection, open_collection
+from docweave.sources.collection import Collection, create_collection, drop_collection, open_collection
 
 __all__ = [
-    "AllOf", "AnyOf", "BatchEmbedding", "Collection", "ConfigError", "Contains",
+    "AllOf", "AnyOf", "BatchEmbedding", "Collection", "ConfigError", "ConflictError", "Contains",
     "DocweaveError", "DuplicateIdError", "EmbeddingError", "HashEmbedding",
     "InvalidInputError", "KnnBranch", "NotFoundError", "OnnxEmbedding", "Regex",
-    "Rrf", "TextBranch", "create_collection", "open_collection",
+    "Rrf", "TextBranch", "create_collection", "drop_collection", "open_collection",
 ]
 
 # Functions that run in tasks travel with the job, so executors need no installed copy.

@@ -45,6 +45,9 @@ def pair_tokens(text: Column | str) -> Column:
 
 Tokenizer = Callable[[Column], Column]
 
+#: Tokenizers by the names under which collections keep them.
+TOKENIZERS: dict[str, Tokenizer] = {"words": tokens, "pairs": pair_tokens}
+
 
 @dataclass(frozen=True)
 class Contains:

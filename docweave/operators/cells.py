@@ -8,15 +8,19 @@ table lets a search read only the probed directories.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docweave.errors import InvalidInputError
 from docweave.functions.text import DocFilter
 from docweave.operators.nearest import (
     check_queries, filtered, metric_name, search, with_columns)
+from docweave.plans.sizing import broadcast_if_small
 from docweave.schema import EMBEDDING, ID
 from docweave.sources.storage import stored
 
@@ -41,27 +45,47 @@ def _has_length(vector: str) -> Column:
     return F.exists(vector, lambda x: x != 0)
 
 
-def centres(model: KMeansModel) -> np.ndarray:
-    return np.array(model.clusterCenters(), dtype=np.float64)
+@dataclass(frozen=True)
+class Centres:
+    """Centres of cells, cells x dimension; with `unit`, vectors are scaled to unit length before they meet them."""
 
+    points: np.ndarray
+    unit: bool
 
-def assign_cells(collection: DataFrame, model: KMeansModel) -> DataFrame:
-    """The collection with the `cell` of each row; rows without a vector get none."""
-    return collection.withColumn("cell", _nearest_cells(model, 1, "l2", normalised(model))[0])
 
+def centres_of(model: KMeansModel | Centres) -> Centres:
+    if isinstance(model, Centres):
+        return model
+    return Centres(np.array(model.clusterCenters(), dtype=np.float64), model.getDistanceMeasure() == "cosine")
 
-def normalised(model: KMeansModel) -> bool:
-    return model.getDistanceMeasure() == "cosine"
 
+def centres_from(table: DataFrame, distance: str) -> Centres:
+    """Centres from a table `(cell, embedding)`, numbered in order of `cell`: one row for each cell, as many as
+    the caller has chosen. Any vectors will do, the means of known classes for example."""
+    rows = table.select("cell", F.col(EMBEDDING).cast("array<double>")).orderBy("cell").collect()
+    if not rows or len({len(r[1]) if r[1] is not None else 0 for r in rows}) != 1 or not rows[0][1]:
+        raise InvalidInputError("centres must be vectors of one length")
+    unit = metric_name(distance) == "cosine"
+    points = np.array([r[1] for r in rows], dtype=np.float64)
+    if unit:
+        norms = np.linalg.norm(points, axis=1, keepdims=True)
+        points = points / np.where(norms > 0, norms, 1.0)
+    return Centres(points, unit)
 
-def probe_cells(queries: DataFrame, model: KMeansModel, probes: int, distance: str) -> DataFrame:
+
+def assign_cells(collection: DataFrame, model: KMeansModel | Centres) -> DataFrame:
+    """The collection with the `cell` of each row; rows without a vector get none."""
+    return collection.withColumn("cell", _nearest_cells(model, 1, "l2")[0])
+
+
+def probe_cells(queries: DataFrame, model: KMeansModel | Centres, probes: int, distance: str) -> DataFrame:
     """Queries with `cells`, the `probes` cells that suit each one best."""
-    return queries.withColumn(
-        "cells", _nearest_cells(model, probes, metric_name(distance), normalised(model)))
+    return queries.withColumn("cells", _nearest_cells(model, probes, metric_name(distance)))
 
 
-def _nearest_cells(model: KMeansModel, n: int, metric: str, unit: bool) -> Column:
-    points = centres(model)  # cells x dimension, set by the caller, not by the data
+def _nearest_cells(model: KMeansModel | Centres, n: int, metric: str) -> Column:
+    held = centres_of(model)
+    points, unit = held.points, held.unit  # cells x dimension, set by the caller, not by the data
     n = min(n, len(points))
 
     @F.pandas_udf("array<int>")
@@ -83,7 +107,7 @@ def _nearest_cells(model: KMeansModel, n: int, metric: str, unit: bool) -> Colum
                     keys = -dot
                 else:
                     keys = (points * points).sum(axis=1)[None, :] - 2.0 * dot
-                best = np.argmin(keys, axis=1)[:, None] if n == 1 else np.argsort(keys, axis=1, kind="stable")[:, :n]
+                best = _smallest(keys, n)
                 for at, cells in zip(places[start:start + step], best.astype(np.int32)):
                     out[at] = cells.tolist()
         return pd.Series(out, dtype=object)
@@ -91,16 +115,49 @@ def _nearest_cells(model: KMeansModel, n: int, metric: str, unit: bool) -> Colum
     return pick(F.col(EMBEDDING))
 
 
-def nearest_in_cells(indexed: DataFrame, model: KMeansModel, queries: DataFrame, k: int,
+def _smallest(keys: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the n smallest keys of each row, smallest first, ties to the lower column."""
+    if n == 1:
+        return np.argmin(keys, axis=1)[:, None]
+    if n < keys.shape[1]:
+        limit = np.partition(keys, n - 1, axis=1)[:, n - 1:n]
+        keys = np.where(keys <= limit, keys, np.inf)
+    return np.argsort(keys, axis=1, kind="stable")[:, :n]
+
+
+def nearest_in_cells(indexed: DataFrame, model: KMeansModel | Centres, queries: DataFrame, k: int,
                      probes: int, distance: str = "cosine", where: Column | None = None,
                      where_document: DocFilter | Column | None = None, include=None) -> DataFrame:
     """`nearest`, looking only into the `probes` best cells of each query."""
-    dimension = centres(model).shape[1]
-    probing = probe_cells(queries, model, probes, distance)
-    checked = check_queries(probing, dimension, k)
     rows = filtered(indexed, where, where_document).select(ID, EMBEDDING, "cell")
-    hits = search(rows, checked, k, metric_name(distance))
-    return with_columns(hits, indexed, include, checked.count * k)
+    hits, count = search_cells(rows, model, queries, k, probes, distance)
+    return with_columns(hits, indexed, include, count * k)
+
+
+def search_cells(rows: DataFrame, model: KMeansModel | Centres, queries: DataFrame, k: int, probes: int,
+                 distance: str) -> tuple[DataFrame, int]:
+    """Hits `(query_id, rank, _id, distance)` among `rows(_id, embedding, cell)`, and the number of queries."""
+    probing = probe_cells(queries.select("query_id", EMBEDDING), model, probes, distance)
+    checked = check_queries(probing, centres_of(model).points.shape[1], k)
+    return search(rows, checked, k, metric_name(distance)), checked.count
+
+
+def nearest_in_index(collection: DataFrame, index: DataFrame, model: Centres, queries: DataFrame, k: int,
+                     probes: int, distance: str = "cosine", where: Column | None = None,
+                     where_document: DocFilter | Column | None = None, include=None) -> DataFrame:
+    """`nearest_in_cells` where the index holds ids, vectors and cells alone: filters and included columns
+    come from the collection."""
+    hits, count = search_cells(allowed_rows(index, collection, where, where_document), model, queries, k, probes, distance)
+    return with_columns(hits, collection, include, count * k)
+
+
+def allowed_rows(index: DataFrame, collection: DataFrame, where: Column | None,
+                 where_document: DocFilter | Column | None = None) -> DataFrame:
+    """The index rows that pass the filters."""
+    if where is None and where_document is None:
+        return index
+    passing = filtered(collection, where, where_document).select(ID)
+    return index.join(broadcast_if_small(passing), ID, "left_semi")
 
 
 def write_cells(indexed: DataFrame, location: str) -> None:

@@ -152,8 +152,12 @@ def _check_k(k: int) -> None:
 
 
 def _part(idf: Column, tf: Column, mean_len: Column) -> Column:
-    """Share of one word in a score, as a whole number of 1/SCALE."""
-    length = F.lit(1 - B) + F.lit(B) * F.col("doc_len") / mean_len
+    return part_of_score(idf, tf, F.col("doc_len"), mean_len)
+
+
+def part_of_score(idf: Column, tf: Column, doc_len: Column, mean_len: Column) -> Column:
+    """Share of one word in a score, as a whole number of 1/SCALE. Grows with tf, falls with doc_len."""
+    length = F.lit(1 - B) + F.lit(B) * doc_len / mean_len
     share = idf * (tf * F.lit(K1 + 1)) / (tf + F.lit(K1) * length)
     return F.floor(share * F.lit(float(SCALE)) + 0.5).cast("bigint")
 

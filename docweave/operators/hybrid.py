@@ -10,10 +10,13 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docweave.errors import InvalidInputError
+from docweave.errors import ConfigError, InvalidInputError
 from docweave.functions.filters import conjunction
 from docweave.functions.text import (
     AnyOf, Contains, DocFilter, Tokenizer, document_predicate, scored_text, tokens, unscored_predicate)
+from docweave.operators import blockwords
+from docweave.operators.blockwords import BlockIndex
+from docweave.operators.cells import Centres, allowed_rows, search_cells
 from docweave.operators.fulltext import bm25, bm25_one, term_index
 from docweave.operators.nearest import (
     check_queries, embed_queries, filtered, metric_name, search, with_columns)
@@ -28,25 +31,30 @@ DEFAULT_RANK_CONSTANT = 60
 
 @dataclass(frozen=True)
 class TextBranch:
-    """Metadata predicate and/or document filter. `index` is an optional prepared
-    `term_index` of the collection that still carries its columns, made with `tokenizer`.
+    """Metadata predicate and/or document filter. `index` is an optional prepared index of the
+    collection: stored postings, which count only if they were made with `tokenizer`, or a `term_index` that
+    still carries the collection's columns. Without a `tokenizer` that of the postings holds, else words.
     With `queries(query_id, text)` each query ranks by its own text, and the document filter
     only filters."""
 
     where: Column | None = None
     where_document: DocFilter | None = None
-    index: DataFrame | None = None
-    tokenizer: Tokenizer = tokens
+    index: DataFrame | BlockIndex | None = None
+    tokenizer: Tokenizer | None = None
     queries: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class KnnBranch:
-    """`queries` is `(query_id, embedding)` or `(query_id, text)`; vectors win over texts."""
+    """`queries` is `(query_id, embedding)` or `(query_id, text)`; vectors win over texts. With `probes` and an
+    `index`, rows `(_id, embedding, cell)` and their centres, so many cells are looked into; a predicate that passes
+    fewer rows than such a search would read is answered by a scan of those instead."""
 
     queries: DataFrame
     where: Column | None = None
     n_results: int | None = None
+    probes: int | None = None
+    index: tuple[DataFrame, Centres] | None = None
 
 
 @dataclass(frozen=True)
@@ -64,9 +72,8 @@ def text_branch(collection: DataFrame, branch: TextBranch, k: int) -> DataFrame:
     With words to match, rows rank by BM25; the metadata predicate and the Regex and nested
     parts only filter. Without words, rows rank by `_id` and have no score."""
     if branch.queries is not None:
-        index = term_index(collection, branch.tokenizer) if branch.index is None else branch.index
         keep = conjunction(branch.where, document_predicate(branch.where_document))
-        return bm25(index, branch.queries.select("query_id", "text"), k, where=keep, tokenizer=branch.tokenizer)
+        return _ranked_texts(collection, branch, branch.queries.select("query_id", "text"), k, keep)
     nowhere = F.lit(None).cast("double")
     if branch.where_document is None or not scored_text(branch.where_document):
         if branch.where is None and branch.where_document is None:
@@ -76,16 +83,15 @@ def text_branch(collection: DataFrame, branch: TextBranch, k: int) -> DataFrame:
         return top_k(rows, "query_id", [F.col(ID)], k).select("query_id", "rank", ID, "score")
 
     doc = branch.where_document
-    index = term_index(collection, branch.tokenizer) if branch.index is None else branch.index
     words = scored_text(doc)
     others = unscored_predicate(doc)
     if others is None or not isinstance(doc, AnyOf):
-        return bm25_one(index, words, k, where=conjunction(branch.where, others), tokenizer=branch.tokenizer)
+        return _ranked_texts(collection, branch, words, k, conjunction(branch.where, others))
     # AnyOf with Regex or nested parts: rows that hold the filter without any of the words
     # follow with score 0.
     keep = conjunction(branch.where, doc.column())
-    hits = bm25_one(index, words, k, where=keep, tokenizer=branch.tokenizer).select("query_id", ID, "score")
-    own = None if branch.tokenizer is tokens else branch.tokenizer
+    hits = _ranked_texts(collection, branch, words, k, keep).select("query_id", ID, "score")
+    own = None if _tokenizer(branch) is tokens else _tokenizer(branch)
     silent = ~F.coalesce(Contains(words, own).column(), F.lit(False))
     rest = filtered(collection, conjunction(keep, silent), None).select(
         F.lit(0).alias("query_id"), ID, F.lit(0.0).alias("score"))
@@ -94,15 +100,49 @@ def text_branch(collection: DataFrame, branch: TextBranch, k: int) -> DataFrame:
         "query_id", "rank", ID, "score")
 
 
+def _tokenizer(branch: TextBranch) -> Tokenizer:
+    made = branch.index.tokenizer if isinstance(branch.index, BlockIndex) else tokens
+    return branch.tokenizer or made
+
+
+def _ranked_texts(collection: DataFrame, branch: TextBranch, texts: DataFrame | str, k: int, keep: Column | None) -> DataFrame:
+    """BM25 hits for a table of texts or for one text, from the branch's index if it fits."""
+    tokenizer, index = _tokenizer(branch), branch.index
+    if isinstance(index, BlockIndex):
+        if index.tokenizer is tokenizer:
+            if isinstance(texts, str):
+                texts = collection.sparkSession.range(1).select(F.lit(0).alias("query_id"), F.lit(texts).alias("text"))
+            allowed = None if keep is None else collection.where(keep).select(ID)
+            return blockwords.bm25(index, texts, k, allowed)
+        index = None  # postings of other words would find nothing
+    index = term_index(collection, tokenizer) if index is None else index
+    search = bm25_one if isinstance(texts, str) else bm25
+    return search(index, texts, k, where=keep, tokenizer=tokenizer)
+
+
 def knn_branch(collection: DataFrame, branch: KnnBranch, distance: str, k: int | None = None,
                embedder=None, dimension: int | None = None) -> tuple[DataFrame, int]:
     """Hits `(query_id, rank, _id, distance)` of a vector branch, and its query count."""
     k = k or branch.n_results or DEFAULT_KNN_RESULTS
+    if branch.probes is not None:
+        if branch.index is None:
+            raise ConfigError("probes need an index of cells")
+        rows, centres = branch.index
+        if branch.where is None or not _few_pass(collection, branch, centres):
+            rows = allowed_rows(rows, collection, branch.where)
+            return search_cells(rows, centres, _vectors(branch, embedder), k, branch.probes, distance)
     checked = check_queries(_vectors(branch, embedder), dimension, k)
     rows = filtered(collection, branch.where, None).select(ID, EMBEDDING)
     return search(rows, checked, k, metric_name(distance)), checked.count
 
 
+def _few_pass(collection: DataFrame, branch: KnnBranch, centres: Centres) -> bool:
+    """Whether the predicate passes fewer rows than the probed cells hold on average: then comparing
+    all of them is both cheaper and exact."""
+    count = collection.agg(F.count("*").alias("all"), F.count_if(branch.where).alias("pass")).first()
+    return count["pass"] * len(centres.points) <= count["all"] * min(branch.probes, len(centres.points))
+
+
 def _vectors(branch: KnnBranch, embedder) -> DataFrame:
     if EMBEDDING in branch.queries.columns:
         return branch.queries.select("query_id", EMBEDDING)
@@ -181,7 +221,8 @@ def _for_each_query(words: DataFrame, knn: KnnBranch) -> DataFrame:
 def hybrid_search(collection: DataFrame, queries: DataFrame | None = None,
                   where: Column | None = None, where_document: DocFilter | None = None,
                   n_results: int = 10, include=None, distance: str = "cosine", embedder=None,
-                  dimension: int | None = None, index: DataFrame | None = None) -> DataFrame:
+                  dimension: int | None = None, index: DataFrame | BlockIndex | None = None,
+                  tokenizer: Tokenizer | None = None) -> DataFrame:
     """Simple hybrid search for `queries(query_id, text)`.
 
     Without filters: nearest neighbours of the texts. With filters: their text branch,
@@ -193,7 +234,7 @@ def hybrid_search(collection: DataFrame, queries: DataFrame | None = None,
     if where is None and where_document is None:
         return hybrid_search_advanced(collection, None, knn, None, n_results, include, distance,
                                       embedder, dimension)
-    text = TextBranch(where, where_document, index)
+    text = TextBranch(where, where_document, index, tokenizer)
     return hybrid_search_advanced(collection, text, knn, None, n_results, include, distance,
                                   embedder, dimension)
 

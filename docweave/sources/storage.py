@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,3 +33,59 @@ def stored(rows: DataFrame, label: str, partition_by: str | None = None) -> Data
     location = new_location(rows.sparkSession, label)
     rows.write.parquet(location, partitionBy=partition_by)
     return rows.sparkSession.read.parquet(location)
+
+
+# Small files of the shared folder, through the file system that Spark itself uses for the path.
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    at, files = _file_system(spark, folder)
+    return sorted(s.getPath().getName() for s in files.listStatus(at)) if files.exists(at) else []
+
+
+def seconds_since_change(spark: SparkSession, path: str) -> float:
+    at, files = _file_system(spark, path)
+    return time.time() - files.getFileStatus(at).getModificationTime() / 1000
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    at, files = _file_system(spark, path)
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file that nobody else has created; False if somebody has. It appears whole or not
+    at all: it is written under another name and then linked (local) or renamed without overwriting."""
+    draft = f"{path}.{uuid.uuid4().hex}.draft"
+    at, files = _file_system(spark, draft)
+    stream = files.create(at, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if files.getUri().getScheme() == "file":
+        plain = at.toUri().getPath()
+        try:
+            os.link(plain, plain.removesuffix(draft.removeprefix(path)))
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            files.delete(at, False)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not files.exists(target) and files.rename(at, target):
+        return True
+    files.delete(at, False)
+    return False
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, files = _file_system(spark, path)
+    files.delete(at, True)
