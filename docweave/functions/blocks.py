@@ -73,12 +73,19 @@ def keep_best(hits: pa.Table, k: int) -> pa.Table:
 class BestHits:
     """Best k rows for each query vector, over any number of blocks."""
 
-    def __init__(self, queries: np.ndarray, k: int, metric: str):
+    def __init__(self, queries: np.ndarray, k: int, metric: str, bounds: np.ndarray | None = None):
+        """`bounds` are distances (NaN: none) beyond which a query wants no row."""
         self.queries, self.k, self.metric = queries, k, metric
         self.hits = HITS.empty_table()
-        self.worst = np.full(len(queries), np.inf)  # sort key of the k-th hit so far
+        self.bounds = np.full(len(queries), np.inf)
+        if bounds is not None:
+            self.bounds = np.where(np.isnan(bounds.astype(np.float64)), np.inf, bounds)
+        self.worst = self._key(self.bounds)  # sort key of the k-th hit so far
         self._pending: list[pa.Table] = []
 
+    def _key(self, distance: np.ndarray) -> np.ndarray:
+        return distance ** 2 if self.metric == "l2" else distance
+
     def add(self, ids: pa.Array, vectors: np.ndarray, among: np.ndarray | None = None):
         """Offer rows to all queries, or to the query positions `among`."""
         among = np.arange(len(self.queries)) if among is None else among
@@ -98,7 +105,7 @@ class BestHits:
         for start in range(0, len(rows), _PAIRS):
             r, q = rows[start:start + _PAIRS], among[columns[start:start + _PAIRS]]
             exact = pair_distances(x[r], self.queries[q], self.metric)
-            real = ~np.isnan(exact)
+            real = exact <= self.bounds[q]  # neither NaN nor out of bounds
             self._pending.append(pa.table(
                 [pa.array(q[real].astype(np.int32)), pa.array(exact[real]),
                  ids.take(pa.array(r[real])).cast(pa.string())], schema=HITS))
@@ -110,7 +117,7 @@ class BestHits:
         self._pending = []
         q, d = self.hits["q"].to_numpy(), self.hits["distance"].to_numpy()
         full = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == self.k - 1)
-        self.worst[q[full]] = d[full] ** 2 if self.metric == "l2" else d[full]
+        self.worst[q[full]] = self._key(d[full])
 
     def result(self) -> pa.Table:
         """Hits `(q, distance, _id)`, best first within each query position `q`."""

@@ -140,6 +140,72 @@ def not_in(field: str, values: Iterable, metadata: str = METADATA) -> Column:
     return ~is_in(field, values, metadata)
 
 
+KEY_KINDS = ("string", "number", "boolean")
+
+
+def key_value(field: str, kind: str, metadata: str = METADATA) -> Column:
+    """A metadata field as a plain column: its value if it is of that kind, else NULL. Numbers come as doubles."""
+    if kind not in KEY_KINDS:
+        raise InvalidInputError(f"a key is one of {KEY_KINDS}, not {kind!r}")
+    found = _kind(metadata, field)
+    if kind == "number":
+        return F.when(_is_number(found), _get(metadata, field, "double"))
+    return F.when(found == kind.upper(), _get(metadata, field, kind))
+
+
+class Keyed:
+    """The predicates of this module for rows that also hold some fields as plain columns.
+
+    `columns` gives the column and kind of each such field. A predicate on one of them is the usual one AND a
+    comparison of the plain column that holds wherever the usual one does, so results are the same, also under
+    negation, while Parquet statistics and Bloom filters of the plain column skip row groups. Doubles
+    round large whole numbers, so comparisons of numbers let the limit itself through."""
+
+    def __init__(self, columns: dict[str, tuple[str, str]]):
+        self.columns = columns
+
+    def _plain(self, field: str, value, test) -> Column | None:
+        column, kind = self.columns.get(field, (None, None))
+        of = {"string": str, "boolean": bool}.get(kind, (int, float))
+        if column is None or value is None or not isinstance(value, of) or (kind == "number" and isinstance(value, bool)):
+            return None
+        return test(F.col(column), F.lit(float(value) if kind == "number" else value))
+
+    def _both(self, predicate: Column, field: str, value, test) -> Column:
+        plain = self._plain(field, value, test)
+        return predicate if plain is None else plain & predicate
+
+    def eq(self, field: str, value) -> Column:
+        return self._both(eq(field, value), field, value, lambda a, b: a == b)
+
+    def ne(self, field: str, value) -> Column:
+        return ne(field, value)
+
+    def gt(self, field: str, value) -> Column:
+        return self._both(gt(field, value), field, value, lambda a, b: a >= b)
+
+    def gte(self, field: str, value) -> Column:
+        return self._both(gte(field, value), field, value, lambda a, b: a >= b)
+
+    def lt(self, field: str, value) -> Column:
+        return self._both(lt(field, value), field, value, lambda a, b: a <= b)
+
+    def lte(self, field: str, value) -> Column:
+        return self._both(lte(field, value), field, value, lambda a, b: a <= b)
+
+    def is_in(self, field: str, values: Iterable) -> Column:
+        values = list(values)
+        column, kind = self.columns.get(field, (None, None))
+        of = {"string": str, "boolean": bool}.get(kind, (int, float))
+        if column is None or not values or not all(
+                isinstance(v, of) and not (kind == "number" and isinstance(v, bool)) for v in values):
+            return is_in(field, values)
+        return F.col(column).isin([float(v) if kind == "number" else v for v in values]) & is_in(field, values)
+
+    def not_in(self, field: str, values: Iterable) -> Column:
+        return not_in(field, values)
+
+
 def all_of(*predicates: Column) -> Column:
     if not predicates:
         raise InvalidInputError("all_of needs at least one predicate")

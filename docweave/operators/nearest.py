@@ -34,6 +34,8 @@ from docweave.sources.storage import stored
 METRICS = ("l2", "cosine", "inner_product", "negative_inner_product")
 DEFAULT_INCLUDE = ("document", "metadata")
 ID_BYTES = 64  # allowed for each query id
+BOUNDED_FROM = 1000  # with more hits than this, blocks of a large query table start from a bound
+SHARE_GROWTH = 4
 
 
 def metric_name(distance: str) -> str:
@@ -166,12 +168,46 @@ def search(rows: DataFrame, queries: Queries, k: int, metric: str) -> DataFrame:
     query looks into; other rows are not compared with it."""
     # Rows without a fitting vector are dropped in the kernel: a filter on a vector that an
     # embedding function makes on the fly would make it twice.
+    if queries.local is None and k > min(BOUNDED_FROM, sizing.BLOCK_BYTES // (queries.dimension * 8)):
+        return _in_shares(rows, queries, k, metric)
     compare = _with_query_matrix if queries.local is not None else _with_blocks
-    best = compare(rows, queries, k, metric)
+    return _ranked_hits(compare(rows, queries, k, metric), k)
+
+
+def _ranked_hits(best: DataFrame, k: int) -> DataFrame:
     ranked = top_k(best, "query_id", [F.col("distance"), F.col(ID)], k)
     return ranked.select("query_id", "rank", ID, "distance")
 
 
+def _in_shares(rows: DataFrame, queries: Queries, k: int, metric: str) -> DataFrame:
+    """Exact hits for a k so large that a block of rows could not leave out any.
+
+    Rows are taken share by share, each SHARE_GROWTH times what came before. The k-th distance among the rows
+    seen so far bounds the k-th of all, so it goes with the queries to the next share, whose blocks give back
+    only rows within it: about SHARE_GROWTH x k for each query in a share, whatever its size. Every pair is
+    compared once."""
+    rows = stored(rows, "compared")
+    steps, seen = 0, rows.count()
+    while seen > SHARE_GROWTH * k:
+        steps, seen = steps + 1, seen / SHARE_GROWTH
+    shares = SHARE_GROWTH ** steps
+    share = F.pmod(F.xxhash64(ID, F.lit("share")), F.lit(shares))
+    found, low = None, 0
+    for step in range(steps + 1):
+        high = SHARE_GROWTH ** step
+        part = rows.where((share >= low) & (share < high))
+        asked = queries.frame
+        if found is not None:
+            bound = found.where(F.col("rank") == k).select("query_id", F.col("distance").alias("_bound"))
+            asked = asked.join(bound, "query_id", "left")
+        hits = _with_blocks(part, Queries(asked, queries.count, queries.dimension, None), k, metric)
+        if found is not None:
+            hits = hits.unionByName(found.drop("rank"))
+        found = stored(_ranked_hits(hits, k), "hits_so_far")
+        low = high
+    return found
+
+
 def _hit_schema(queries: DataFrame) -> T.StructType:
     return T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -257,7 +293,8 @@ def _with_blocks(rows: DataFrame, checked: Queries, k: int, metric: str) -> Data
 
     left = rows.select(ID, EMBEDDING, "cell", own(ID, "_rows").alias("_r"),
                        every("_queries").alias("_q"))
-    right = queries.select("query_id", EMBEDDING, "cell", own("query_id", "_queries").alias("_q"),
+    bound = F.col("_bound") if "_bound" in queries.columns else F.lit(None).cast("double")
+    right = queries.select("query_id", EMBEDDING, "cell", bound.alias("_bound"), own("query_id", "_queries").alias("_q"),
                            every("_rows").alias("_r"))
     keys = ["cell", "_r", "_q"]
     schema = _hit_schema(queries)
@@ -270,7 +307,7 @@ def _block_kernel(k: int, metric: str, dimension: int,
     def compare(rows: pa.Table, queries: pa.Table) -> pa.Table:
         query_ids = queries["query_id"].combine_chunks()
         rows = with_dimension(rows, EMBEDDING, dimension)
-        best = BestHits(to_matrix(queries[EMBEDDING]), k, metric)
+        best = BestHits(to_matrix(queries[EMBEDDING]), k, metric, queries["_bound"].to_numpy())
         if len(rows) and len(query_ids):
             best.add(rows[ID].combine_chunks(), to_matrix(rows[EMBEDDING]))
         return _as_hits(best, query_ids).select(names)

@@ -199,11 +199,9 @@ SQL = {
         JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1)"""),
     "filter_in_table_numbers": """SELECT CAST(event_id AS VARCHAR) AS _id FROM events
         WHERE CAST(json_extract_string(props, '$.k') AS DOUBLE) IN (
-            SELECT CAST(l_quantity AS DOUBLE) FROM lineitem WHERE l_orderkey < 20)""",
+            SELECT CAST(l_quantity AS DOUBLE) FROM lineitem WHERE l_returnflag = 'R' AND l_discount > 0.05)""",
     "get_deep_page": """SELECT CAST(event_id AS VARCHAR) AS _id FROM events
         ORDER BY _id LIMIT 50 OFFSET 700""",
-    "knn_large_k": """SELECT vec_id AS query_id, n_hits, n_hits AS n_ids, n_hits AS last_rank
-        FROM embeddings, (SELECT least(1500, count(*))::BIGINT AS n_hits FROM documents) WHERE vec_id % 20 = 0""",
     "filter_nin_table": simple("_id", """source NOT IN (SELECT d.source FROM documents d
         JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1)"""),
     "filter_and": simple("_id", "lang = 'en' AND quality = 1 AND n_chars > 1000"),
@@ -298,7 +296,27 @@ SQL = {
         FROM queries q LEFT JOIN ({knn(5, 'l2', 'toxic = 1')}) h ON h.query_id = q.query_id
         GROUP BY q.query_id""",
     "knn_text": f"WITH {HASHED} SELECT {KNN_COLUMNS} FROM ({knn(10, 'cosine', source='hashed_coll')})",
+    "knn_large_k": f"""WITH {HASHED}, asked AS (
+          SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings WHERE vec_id % 20 = 0)
+        SELECT {KNN_COLUMNS} FROM ({knn(600, 'l2', source='hashed_coll').replace('FROM queries', 'FROM asked')})""",
     "approx_full_probe": knn_query(10, "cosine"),
+    "approx_probe": f"""WITH {COLL}, {VECTORS},
+        means AS (SELECT label, pos, avg(CAST(embedding[pos] AS DOUBLE)) AS x
+                  FROM embeddings, unnest(range(1, {DIMENSION + 1})) AS u(pos) GROUP BY ALL),
+        lists AS (SELECT label, list(x ORDER BY pos) AS c FROM means GROUP BY label),
+        centres AS (SELECT label, list_transform(c, lambda x: x / sqrt(list_inner_product(c, c))) AS c FROM lists),
+        near AS (
+          SELECT id, label, row_number() OVER (PARTITION BY id ORDER BY
+                   list_inner_product(c, c) - 2 * list_inner_product(list_transform(x, lambda y: y / sqrt(list_inner_product(x, x))), c),
+                   label) AS place
+          FROM (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings) CROSS JOIN centres),
+        pairs AS (SELECT DISTINCT q.id AS query_id, r.id AS row_id FROM near q JOIN near r
+                  ON q.label = r.label AND q.place <= 4 AND r.place = 1)
+        SELECT query_id, rank, _id, round(distance, 6) + 0.0 AS distance FROM (
+          SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, _id) AS rank, _id, distance
+          FROM (SELECT query_id, _id, list_cosine_distance(CAST(embedding AS DOUBLE[]), vector) AS distance
+                FROM pairs JOIN queries USING (query_id) JOIN coll ON _id = CAST(row_id AS VARCHAR)))
+        WHERE rank <= 10""",
 
     "hybrid_simple": f"""WITH {HASHED}, {SIMPLE_TEXT},
         {fused(10, 10, 60, knn(10, 'cosine', "lang = 'en'", 'hashed_coll'))}""",
@@ -346,3 +364,32 @@ SQL = {
                 AS DOUBLE), 6) + 0.0 AS value
         FROM rows GROUP BY label, pos""",
 }
+
+# Stored collections: the same rows, and the rows after some writes as the CTE `coll`.
+
+FIRST = COLL.replace("coll AS", "first AS", 1)
+AFTER_TEXTS = f"""{FIRST},
+  changes AS (SELECT CAST(doc_id * 2 AS VARCHAR) AS _id, text FROM documents),
+  upserted AS (SELECT coalesce(o._id, c._id) AS _id, coalesce(c.text, o.document, CASE WHEN o._id IS NULL THEN '' END) AS document, o.lang
+               FROM first o FULL JOIN changes c ON c._id = o._id),
+  coll AS (SELECT _id, document FROM upserted WHERE NOT coalesce(lang = 'de', FALSE)
+           UNION ALL SELECT id, coalesce(text, '') FROM ({CONVERSATION_ROWS}))"""
+AFTER_VECTORS = f"""{FIRST},
+  changes AS (SELECT CAST(vec_id * 3 AS VARCHAR) AS _id, embedding FROM embeddings),
+  updated AS (SELECT o._id, coalesce(c.embedding, o.embedding) AS embedding, CASE WHEN c._id IS NULL THEN o.lang END AS lang
+              FROM first o LEFT JOIN changes c ON c._id = o._id),
+  coll AS (SELECT * FROM updated WHERE NOT coalesce(lang = 'de', FALSE))"""
+
+SQL |= {
+    "update_stored": SQL["update_fields"],
+    "delete_stored": simple("_id", """_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels
+        WHERE toxic = 1) AND NOT coalesce(quality = 0, FALSE)"""),
+    "get_ids_stored": simple("_id, document", "_id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE quality = 1)"),
+    "filter_stored": SQL["filter_and"],
+    "bm25_stored": SQL["bm25_topk"],
+    "bm25_after_writes": f"""WITH {AFTER_TEXTS}, {bm25(10, 'SELECT item_id AS query_id, text FROM benchmark')}
+        SELECT {SCORED_COLUMNS} FROM scored""",
+    "knn_after_writes": f"WITH {AFTER_VECTORS}, {VECTORS} SELECT {KNN_COLUMNS} FROM ({knn(10, 'cosine')})",
+    "hybrid_pairs": SQL["hybrid_text_branch"],
+    "hybrid_probe": SQL["hybrid_rrf"],
+}

@@ -11,7 +11,7 @@ SQL = oracles.SQL
 
 def test_keys():
     assert set(contract.oracle_sql()) <= set(contract.queries()) and set(testbed.QUERIES) <= set(contract.queries())
-    assert set(testbed.QUERIES) - set(SQL) == {"approx_probe"}
+    assert set(testbed.QUERIES) == set(SQL)
 
 
 def test_entry(spark):

@@ -200,3 +200,34 @@ def test_plan_of_a_search(three, vectors):
     scan = plan[plan.index("ReadSchema"):]
     assert "document" not in scan.split("\n")[0]
     assert ids(hits) == ["qa1", "qa2"]
+
+
+@pytest.mark.parametrize("metric", nearest.METRICS)
+def test_a_large_k_over_blocks(spark, monkeypatch, metric):
+    """k above a block's rows: the same hits as over all rows, without every pair being given back."""
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(f"r{i:04d}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(1500, 3)))]
+                                 + [(f"s{i:03d}", [0.5, 0.5, 0.5]) for i in range(300)] + [("none", None)],
+                                 "_id string, embedding array<float>")
+    queries = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(30, 3)))],
+                                    "query_id int, embedding array<float>")
+    k = 60
+    expected = nearest.nearest(rows, queries, k, metric if metric != "negative_inner_product" else metric, include=[]).collect()
+    monkeypatch.setattr(nearest.sizing, "MAX_BROADCAST_BYTES", 1)
+    monkeypatch.setattr(nearest.sizing, "BLOCK_BYTES", 50 * 3 * 8)
+    monkeypatch.setattr(nearest, "BOUNDED_FROM", 10)
+    emitted, blocks = [], nearest._with_blocks
+
+    def counted(*given):
+        hits = blocks(*given)
+        emitted.append(hits.count())
+        return hits
+
+    monkeypatch.setattr(nearest, "_with_blocks", counted)
+    found = nearest.nearest(rows, queries, k, metric, include=[]).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, expected)) and len(found) == 30 * k
+    assert len(emitted) > 2 and sum(emitted) < 30 * 1800 * 0.75
+    monkeypatch.setattr(nearest, "BOUNDED_FROM", 10**6)
+    emitted.clear()
+    nearest.nearest(rows, queries, k, metric, include=[]).count()
+    assert sum(emitted) > 30 * 1700  # what the bounds avoid

@@ -317,3 +317,39 @@ def test_probes_in_hybrid_search(spark, name):
     # a predicate that few rows pass is answered exactly, however few cells are probed
     few = c.hybrid_search_advanced(None, KnnBranch(queries, f.lt("n", 9), probes=1), None, 9, [])
     assert few.count() == 27
+
+
+# Metadata keys
+
+def test_keys_prune_and_change_no_result(spark, name, rows, monkeypatch):
+    monkeypatch.setattr(versions, "ROW_GROUP_BYTES", 4096)
+    odd = ['{"k": "5"}', '{"k": 5}', '{"k": 5.0}', '{"k": true}', '{"k": null}', "{}", '{"k": [5]}', '{"k": 9007199254740993}',
+           '{"a": {"b c": "x"}}', '{"a": {"b c": 7}}', "null", None]
+    c = create_collection(spark, name, 1, "l2", rows(
+        *[(f"o{i}", "t", [i], m) for i, m in enumerate(odd)],
+        *[(f"r{i}", f"text {i}", [i], f'{{"k": {i}, "a": {{"b c": "v{i % 7}"}}}}') for i in range(3000)]),
+        folders=2, keys={"k": "number", "a.b c": "string", "flag": "boolean"})
+    c = open_collection(spark, name)
+    by = c.filters
+    pairs = [(by.eq("k", 5), f.eq("k", 5)), (by.eq("k", "5"), f.eq("k", "5")), (by.eq("k", True), f.eq("k", True)),
+             (~by.eq("k", 5), ~f.eq("k", 5)), (by.gt("k", 9007199254740992), f.gt("k", 9007199254740992)),
+             (by.lt("k", 3), f.lt("k", 3)), (~by.lte("k", 2990.5), ~f.lte("k", 2990.5)), (by.gte("k", 2999), f.gte("k", 2999)),
+             (by.is_in("k", [1, 2.0, "5"]), f.is_in("k", [1, 2.0, "5"])), (by.is_in("k", [1, 2.0]), f.is_in("k", [1, 2.0])),
+             (by.eq("a.b c", "x"), f.eq("a.b c", "x")), (by.ne("a.b c", "v1"), f.ne("a.b c", "v1")), (by.eq("k", None), f.eq("k", None)),
+             (by.not_in("k", [5]), f.not_in("k", [5])), (by.is_in("a.b c", []), f.is_in("a.b c", [])), (by.eq("other", 1), f.eq("other", 1))]
+    for with_keys, without in pairs:
+        assert ids(c.get(where=with_keys)) == ids(c.get(where=without))
+    read = plan_of(c.get(where=by.eq("k", 77), include=[]))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(key_0,77.0\)", read)
+    # sorted files: a value lies in one row group of each folder, as the statistics tell
+    import pyarrow.parquet as pq
+    files = [p.removeprefix("file:").replace("%20", " ") for p in c.rows().inputFiles()]
+    metas = [pq.ParquetFile(p).metadata for p in files]
+    groups = [m.row_group(g) for m in metas for g in range(m.num_row_groups)]
+    stats = [c.statistics for g in groups for c in map(g.column, range(g.num_columns)) if c.path_in_schema == "key_0"]
+    assert len(stats) > 6 and sum(s.has_min_max and s.min <= 1500 <= s.max for s in stats) <= 2
+    c.update(spark.createDataFrame([("r5", '{"k": -4}')], "_id string, metadata string"))
+    assert ids(c.get(where=by.lt("k", 0))) == ["r5"] and ids(c.query(spark.createDataFrame(
+        [(0, [4.0])], "query_id int, embedding array<float>"), 1, where=by.eq("k", -4))) == ["r5"]
+    with pytest.raises(InvalidInputError):
+        create_collection(spark, name + "x", 1, "l2", keys={"k": "date"})
