@@ -68,7 +68,7 @@ def _checked(vectors, texts: int, dimension: int) -> list:
     for v in vectors:
         if len(v) != dimension:
             raise EmbeddingError(
-                f"embedding dimension {len(v)} does not match declared dimension {dimension}")
+                f"the embedding function made a vector of {len(v)} elements and declares {dimension}")
     return vectors
 
 
@@ -96,7 +96,7 @@ class BatchEmbedding:
                 known = batch[batch.notna()]
                 vectors = _checked(function(known.tolist()), len(known), dimension) if len(known) else []
                 made = iter(vectors)
-                yield pd.Series([[float(x) for x in next(made)] if here else None
+                yield pd.Series([np.asarray(next(made), dtype=np.float32) if here else None
                                  for here in batch.notna()], dtype=object)
 
         return run(text)

@@ -141,7 +141,7 @@ def _parts(rows: DataFrame, weights: DataFrame) -> DataFrame:
 def _best(parts: DataFrame, words: DataFrame, k: int) -> DataFrame:
     """Top k per query of few query words. Partitioned by row, parts are summed per
     (query, row) and cut to k per query in the same stage."""
-    scored = (parts.repartition(ID).join(F.broadcast(words), "token")
+    scored = (parts.repartition(ID).join(sizing.broadcast_if_small(words), "token")
               .groupBy("query_id", ID).agg(F.sum("part").alias("part")))
     return _ranked(scored, k)
 

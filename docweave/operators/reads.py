@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -14,8 +15,7 @@ from docweave.plans.sizing import broadcast_if_small
 from docweave.schema import ID, METADATA
 
 LITERAL_IDS = 1000         # longer id lists become a join
-DIRECT_PAGE = 1_000_000    # rows a sort-and-skip may hold; deeper pages find their first id
-SPLITS = 999
+DIRECT_PAGE = 1000         # ids that may be sorted in one task; deeper pages find their ends by a sketch
 
 
 def with_ids(df: DataFrame, ids: Iterable[str] | DataFrame | None) -> DataFrame:
@@ -112,37 +112,95 @@ def page(rows: DataFrame, limit: int | None, offset: int | None, direct: int = D
         if ends[0] is None:
             return rows.where(F.lit(False))
         return rows.where(F.col(ID).between(ends[0], ends[1])).orderBy(ID)
+    wanted = ([offset] if offset else []) + ([offset + limit] if limit is not None else [])
+    found = dict(zip(wanted, nth_ids(ids, wanted, direct)))
     if offset:
-        first = nth_id(ids, offset, direct)
+        first = found[offset]
         rows = rows.where(F.col(ID) >= first) if first is not None else rows.where(F.lit(False))
     if limit is not None:
-        beyond = nth_id(ids, offset + limit, direct)
+        beyond = found[offset + limit]
         rows = rows.where(F.col(ID) < beyond) if beyond is not None else rows
     return rows.orderBy(ID)
 
 
-def nth_id(ids: DataFrame, n: int, direct: int = DIRECT_PAGE) -> str | None:
-    """The id with n smaller ones; None when there are not so many.
-
-    Skipping n rows of a sorted frame would pull them all into one task. For a large
-    n this counts ids between some split points first and goes on inside the one
-    interval that holds the answer."""
-    while n >= direct:
-        splits = [r[0] for r in ids.orderBy(F.xxhash64(ID), ID).limit(SPLITS).orderBy(ID).collect()]
-        interval = F.array_size(F.filter(F.array(*map(F.lit, splits)), lambda s: s <= F.col(ID)))
-        counts = dict(ids.groupBy(interval.alias("at")).count().collect())  # at most 1,000 rows
-        at = 0
-        while at <= len(splits) and n >= counts.get(at, 0):
-            n -= counts.get(at, 0)
-            at += 1
-        if at > len(splits):
-            return None
-        if at > 0:
-            ids = ids.where(F.col(ID) >= splits[at - 1])
-        if at < len(splits):
-            ids = ids.where(F.col(ID) < splits[at])
-    row = ids.orderBy(ID).offset(n).limit(1).first()
-    return row[0] if row else None
+@dataclass
+class _Place:
+    """A rank looked for among the ids that hold `inside`, which all begin with `prefix` bytes in common."""
+
+    rank: int
+    inside: Column
+    prefix: int = 0
+    found: str | None = None
+    done: bool = False
+
+
+def nth_ids(ids: DataFrame, ranks: list[int], direct: int = DIRECT_PAGE) -> list[str | None]:
+    """For each rank the id with that many smaller ones; None when there are not so many.
+
+    Each round takes two passes over the ids for all ranks together: a quantile sketch, which merges before the
+    shuffle, gives an interval around each rank, and counts tell where in it the rank falls. What is left
+    shrinks about a thousandfold; `direct` ids at most are fetched and sorted in the end."""
+    places = [_Place(n, F.lit(True)) for n in ranks]
+    while open_places := [p for p in places if not p.done]:
+        sizes = ids.agg(*[x.alias(f"{name}{n}") for n, p in enumerate(open_places) for name, x in (
+            ("n", F.count_if(p.inside)), ("low", F.min(F.when(p.inside, F.col(ID)))), ("high", F.max(F.when(p.inside, F.col(ID)))),
+            ("cuts", F.percentile_approx(F.when(p.inside, _number(p.prefix)), list(map(float, CUTS)), SKETCH)))]).first()
+        rest = []
+        for n, p in enumerate(open_places):
+            size, low, high = (sizes[f"{x}{n}"] for x in ("n", "low", "high"))
+            if p.rank >= size:
+                p.done = True
+            elif low == high:
+                p.found, p.done = low, True
+            elif size <= direct:
+                listed = sorted((r[0] for r in ids.where(p.inside).collect()), key=str.encode)
+                p.found, p.done = listed[p.rank], True
+            elif (common := _common_bytes(low, high)) > p.prefix:
+                p.prefix = common  # the next round's numbers begin where the ids differ
+            else:
+                rest.append((p, _around(sizes[f"cuts{n}"], p.rank / size)))
+        if rest:
+            _narrow(ids, rest)
+    return [p.found for p in places]
+
+
+# Cut points of the sketch, and its accuracy: ranks are right within 1 / SKETCH of all ids.
+SKETCH = 10_000
+CUTS = [n / 1000 for n in range(1001)]
+
+
+def _number(prefix: int) -> Column:
+    """Six bytes of the id from byte `prefix` on and how many follow (up to 255): numbers in the order of ids."""
+    after = F.substr(F.col(ID).cast("binary"), F.lit(prefix + 1), F.lit(6))
+    left = F.least(F.octet_length(ID) - prefix, F.lit(255))
+    return F.conv(F.concat(F.rpad(F.hex(after), 12, "0"), F.lpad(F.hex(left.cast("bigint")), 2, "0")), 16, 10).cast("bigint")
+
+
+def _common_bytes(a: str, b: str) -> int:
+    pair = a.encode(), b.encode()
+    return next((n for n, (x, y) in enumerate(zip(*pair)) if x != y), min(map(len, pair)))
+
+
+def _around(cuts: list[int], share: float) -> tuple[int, int]:
+    """Numbers of the sketch with the rank between them, errors allowed for."""
+    at = int(share * (len(cuts) - 1))
+    return cuts[max(0, at - 1)], cuts[min(len(cuts) - 1, at + 2)]
+
+
+def _narrow(ids: DataFrame, places: list[tuple[_Place, tuple[int, int]]]) -> None:
+    """Move each place into the part of its interval that holds the rank: below, at or above each of two numbers."""
+    parts = []
+    for p, (low, high) in places:
+        x = _number(p.prefix)
+        parts.append([p.inside & c for c in (x < low, x == low, (x > low) & (x < high), (x == high) & (x != F.lit(low)), x > high)])
+    counts = ids.agg(*[F.count_if(c).alias(f"c{n}_{m}") for n, listed in enumerate(parts) for m, c in enumerate(listed)]).first()
+    for n, (p, _) in enumerate(places):
+        for m, part in enumerate(parts[n]):
+            held = counts[f"c{n}_{m}"]
+            if p.rank < held:
+                p.inside = part
+                break
+            p.rank -= held
 
 
 def peek(collection: DataFrame, limit: int = 10) -> DataFrame:

@@ -22,6 +22,7 @@ from docweave.functions.text import DocFilter, document_predicate
 from docweave.operators.reads import LITERAL_IDS
 from docweave.plans import sizing
 from docweave.schema import COLUMNS, DOCUMENT, EMBEDDING, ID, METADATA, as_metadata, conform
+from docweave.sources.storage import stored
 
 FIELDS = (DOCUMENT, EMBEDDING, METADATA)
 
@@ -84,9 +85,9 @@ def _given(changes: DataFrame) -> list[str]:
 
 def embed_documents(changes: DataFrame, embedder) -> DataFrame:
     """Changes with vectors made from their documents, where no vector column is given.
-    A row without a document gets no vector."""
-    return changes.withColumn(
-        EMBEDDING, F.when(F.col(DOCUMENT).isNotNull(), embedder.embed(F.col(DOCUMENT))))
+    A row without a document gets no vector. They are stored, since a batch is checked before it is applied."""
+    return stored(changes.withColumn(
+        EMBEDDING, F.when(F.col(DOCUMENT).isNotNull(), embedder.embed(F.col(DOCUMENT)))), "embedded")
 
 
 def fold(changes: DataFrame) -> DataFrame:
@@ -135,9 +136,7 @@ def new_rows(base: DataFrame, changes: DataFrame, dimension: int | None = None,
     inside = ids.groupBy(ID).count().where("count > 1").limit(5).collect()
     if inside:
         raise DuplicateIdError(f"ids occur twice in one batch: {[r[ID] for r in inside]}")
-    if found.rows <= sizing.MAX_BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    taken = base.select(ID).join(ids, ID, "left_semi").limit(5).collect()
+    taken = base.select(ID).join(_small(ids, found), ID, "left_semi").limit(5).collect()
     if taken:
         raise DuplicateIdError(f"ids exist already: {[r[ID] for r in taken]}")
     return rows

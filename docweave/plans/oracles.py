@@ -201,7 +201,7 @@ SQL = {
         WHERE CAST(json_extract_string(props, '$.k') AS DOUBLE) IN (
             SELECT CAST(l_quantity AS DOUBLE) FROM lineitem WHERE l_returnflag = 'R' AND l_discount > 0.05)""",
     "get_deep_page": """SELECT CAST(event_id AS VARCHAR) AS _id FROM events
-        ORDER BY _id LIMIT 50 OFFSET 700""",
+        ORDER BY _id LIMIT 50 OFFSET 5000""",
     "filter_nin_table": simple("_id", """source NOT IN (SELECT d.source FROM documents d
         JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1)"""),
     "filter_and": simple("_id", "lang = 'en' AND quality = 1 AND n_chars > 1000"),

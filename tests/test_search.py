@@ -14,7 +14,7 @@ from docweave.functions.blocks import BestHits, pair_distances
 from docweave.functions.distance import distance
 from docweave.functions.embedding import BatchEmbedding
 from docweave.functions.text import Contains, Regex
-from docweave.operators import cells, nearest
+from docweave.operators import cells, nearest, reads
 from docweave.plans import ranking, sizing
 from docweave.sources.storage import stored
 
@@ -212,10 +212,9 @@ def test_a_large_k_over_blocks(spark, monkeypatch, metric):
     queries = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(30, 3)))],
                                     "query_id int, embedding array<float>")
     k = 60
-    expected = nearest.nearest(rows, queries, k, metric if metric != "negative_inner_product" else metric, include=[]).collect()
+    expected = nearest.nearest(rows, queries, k, metric, include=[]).collect()
     monkeypatch.setattr(nearest.sizing, "MAX_BROADCAST_BYTES", 1)
     monkeypatch.setattr(nearest.sizing, "BLOCK_BYTES", 50 * 3 * 8)
-    monkeypatch.setattr(nearest, "BOUNDED_FROM", 10)
     emitted, blocks = [], nearest._with_blocks
 
     def counted(*given):
@@ -227,7 +226,22 @@ def test_a_large_k_over_blocks(spark, monkeypatch, metric):
     found = nearest.nearest(rows, queries, k, metric, include=[]).collect()
     assert sorted(map(tuple, found)) == sorted(map(tuple, expected)) and len(found) == 30 * k
     assert len(emitted) > 2 and sum(emitted) < 30 * 1800 * 0.75
-    monkeypatch.setattr(nearest, "BOUNDED_FROM", 10**6)
-    emitted.clear()
-    nearest.nearest(rows, queries, k, metric, include=[]).count()
-    assert sum(emitted) > 30 * 1700  # what the bounds avoid
+
+
+@pytest.mark.parametrize("kind", ["numbers", "prefixed", "odd"])
+def test_pages_by_a_sketch(spark, kind):
+    """Both ends of any page, among ids with long common beginnings, NUL bytes and repeats."""
+    rng = random.Random(5)
+    listed = {"numbers": [str(i * 7) for i in range(3000)],
+              "prefixed": [f"collection/part-{i % 3:05d}/document-{i:09d}" for i in range(3000)],
+              "odd": ["", "\0", "\0\0", "ä", "äa", "\U0001f600", "z" * 300] + ["same"] * 900 + ["same\0"] * 300
+              + ["".join(rng.choice("ab\0") for _ in range(rng.randrange(12))) for _ in range(1500)]}[kind]
+    held = spark.createDataFrame([(i,) for i in listed], "_id string")
+    expected = sorted(listed, key=str.encode)
+    ranks = [0, 1, 7, 450, 1200, 1201, len(listed) - 1, len(listed), 10**6]
+    assert reads.nth_ids(held, ranks, 20) == [expected[n] if n < len(expected) else None for n in ranks]
+    if kind != "odd":
+        for limit, offset in ((30, 1500), (5000, 2990), (10, 3000), (None, 2995)):
+            page = reads.page(held, limit, offset, 100)
+            assert [r[0] for r in page.collect()] == expected[offset:][:limit]
+            assert "TakeOrdered" not in page._jdf.queryExecution().executedPlan().toString()

@@ -173,7 +173,6 @@ def test_pages(spark, monkeypatch):
 
     for threshold in (10**6, 20):  # past the threshold the first id of a page is searched for
         monkeypatch.setattr(reads, "DIRECT_PAGE", threshold)
-        monkeypatch.setattr(reads, "SPLITS", 7)
         assert page(5) == names[:5]
         assert page(5, 290) == names[290:295]
         assert page(None, 297) == names[297:]
