@@ -29,7 +29,7 @@ from docweave.llm.common import in_batches, slices, worker_cache
 
 MAX_STATES = 100_000
 MAX_JOINS = 200_000
-MAX_PIECES = 30_000
+MAX_PIECES = 60_000
 SLICE_BYTES = 3 << 20
 WINDOW = 4096
 ROOT = 0
@@ -175,8 +175,9 @@ class TextEncoder:
             out += found
         return array("I", out).tobytes()
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        return [self.ids(text) for text in texts]
+    def batch(self, texts: list[str], chunks: bool) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.ids(text) for text in texts]
+        return np.frombuffer(b"".join(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
 
 class Utf8Decoder:

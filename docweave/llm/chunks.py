@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from docweave.llm.common import encoded, per_text, raw, spans
 
-MEMO_ENTRIES = 130_000
+MEMO_ENTRIES = 400_000
 #: First bytes of UTF-8 space characters beyond ASCII.
 SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 
@@ -33,37 +33,55 @@ def parted_oddly(chunks: pa.Array, held: list[str]) -> np.ndarray:
     return odd
 
 
+class _Table:
+    """Chunks seen and their ids, packed: a number for each chunk, and all ids in one array."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int32)
+
+    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.known)
+        self.known.update(zip(chunks, range(first, first + len(chunks))))
+        self.ids = np.concatenate((self.ids, ids))
+        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
+        self.uses = np.concatenate((self.uses, np.zeros(len(chunks), np.int32)))
+
+    def shrink(self, n: int) -> None:
+        """Keep the n chunks that most batches had, and count anew."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[:n])
+        sizes = np.diff(self.starts)[kept]
+        names = list(self.known)
+        self.known = {names[i]: at for at, i in enumerate(kept.tolist())}
+        self.ids = self.ids[spans(self.starts[kept], sizes)]
+        self.starts = np.concatenate(([0], np.cumsum(sizes)))
+        self.uses = np.zeros(len(kept), np.int32)
+
+
 class ChunkEncoder:
-    """`encode` maps a list of texts to a list of little-endian uint32 id bytes.
+    """`encode(texts, chunks)` gives the ids of a list of texts one after the other and the number of each;
+    `chunks` tells that all begin with a space and neither go on nor end with one.
 
-    Memos map chunks seen in this worker to ids, inside a text (with a space before) and at its
-    start. Each keeps two generations, so that frequent chunks outlive rare ones; they bound
-    memory and never change a result."""
+    Tables map chunks seen in this worker to ids, inside a text (with a space before) and at its
+    start. When one is full, the less used half goes; tables bound memory and never change a result."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int | None = None):
+    def __init__(self, encode: Callable[[list[str], bool], tuple[np.ndarray, np.ndarray]], entries: int | None = None):
         self.encode = encode
         self.entries = entries or MEMO_ENTRIES
-        self.memo: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {" ": ({}, {}), "": ({}, {})}
-
-    def ids(self, chunks: list[str], lead: str) -> list[bytes]:
-        """Id bytes of each chunk with `lead` before it."""
-        young, old = self.memo[lead]
-        if len(young) > self.entries:
-            young, old = self.memo[lead] = {}, young
-        found = list(map(young.get, chunks))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        new = []
-        for i in missing:
-            ids = found[i] = old.get(chunks[i])
-            if ids is None:
-                new.append(i)
-            else:
-                young[chunks[i]] = ids
-        for i, ids in zip(new, self.encode([lead + chunks[i] for i in new])):
-            found[i] = ids
-            if len(chunks[i]) <= 64:
-                young[chunks[i]] = ids
-        return found
+        self.tables = {" ": _Table(), "": _Table()}
+
+    def ids(self, chunks: list[str], lead: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of a table, where each chunk's ids start in it, and how many they are; chunks have `lead` before them."""
+        table = self.tables[lead]
+        if len(table.known) > self.entries:
+            table.shrink(self.entries // 2)
+        new = [c for c in chunks if c not in table.known]
+        if new:
+            table.add(new, *self.encode([lead + c for c in new] if lead else new, bool(lead)))
+        at = np.fromiter(map(table.known.__getitem__, chunks), np.int64, len(chunks))
+        table.uses[at] += 1
+        return table.ids, table.starts[at], np.diff(table.starts)[at]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids start."""
@@ -83,17 +101,21 @@ class ChunkEncoder:
         taken[codes[used & ~leads]] = True
         inner = np.flatnonzero(taken)
         first, at_first = np.unique(codes[starts[:-1][plain]], return_inverse=True)
-        found = self.ids(known[inner].tolist(), " ") + self.ids(known[first].tolist(), "")
-        found += self.encode(texts.filter(pa.array(~plain)).to_pylist())
+        whole = texts.filter(pa.array(~plain)).to_pylist()
+        ids, sizes = self.encode(whole, False) if whole else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        parts = [self.ids(known[inner].tolist(), " "), self.ids(known[first].tolist(), ""),
+                 (ids, np.cumsum(sizes) - sizes, sizes)]
+        shift = np.cumsum([0, *(len(p[0]) for p in parts)])
+        begins = np.concatenate([p[1] + s for p, s in zip(parts, shift)])
+        lengths = np.concatenate([p[2] for p in parts])
+        held_ids = np.concatenate([p[0] for p in parts])
         slot = np.cumsum(taken) - 1
         entry = slot[codes]
         entry[starts[:-1][plain]] = len(inner) + at_first
         entry[starts[:-1][~plain]] = len(inner) + len(first) + np.arange(int((~plain).sum()))
         entry = entry[used | leads]
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begins = np.cumsum(lengths) - lengths
         each = lengths[entry]
-        ids = np.frombuffer(b"".join(found), np.uint32)[spans(begins[entry], each)]
+        ids = held_ids[spans(begins[entry], each)]
         before = np.concatenate(([0], np.cumsum(each)))
         held = np.where(plain, np.diff(starts), 1)
         return ids, before[np.concatenate(([0], np.cumsum(held)))]

@@ -15,6 +15,7 @@ NULL ids come first; repeated ids stay separate rows, ordered by the hash of the
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,13 @@ from docweave.plans.sizing import broadcast_if_small
 ROW_GROUP_BYTES = 32 * 1024 * 1024
 PAGE_BYTES = 128 * 1024
 JOINED_CHUNKS = 512
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 400_000
 
 
 class LibraryEncoder:
     """Encodes lists of texts with a tokenizers file. Runs of chunks that each begin with a
     space are encoded as one text, because calls cost more than the merges, and the ids are
-    dealt out again by the tokens' lengths in bytes."""
+    cut again by the tokens' lengths in bytes."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -45,23 +46,16 @@ class LibraryEncoder:
         # in byte-level vocabularies one character stands for one byte
         self.length = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
 
-    def _one(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            run = texts[at:at + JOINED_CHUNKS]
-            if not all(t[:1] == " " and len(t) > 1 and not t[1].isspace() and not t[-1].isspace() for t in run):
-                out += [self._one(t).tobytes() for t in run]
-            else:
-                ids = self._one("".join(run))
-                ends = np.cumsum([len(t.encode()) for t in run])
-                cuts = np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1
-                out += [part.tobytes() for part in np.split(ids, cuts[:-1])]
-            at += JOINED_CHUNKS
-        return out
+    def __call__(self, texts: list[str], chunks: bool) -> tuple[np.ndarray, np.ndarray]:
+        run = JOINED_CHUNKS if chunks else 1
+        joined = ["".join(texts[i:i + run]) for i in range(0, len(texts), run)]
+        found = [self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in joined]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        if chunks:  # cut where the chunks' bytes end
+            ends = np.cumsum(np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)))
+            sizes = np.diff(np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1, prepend=0)
+        return ids, sizes
 
 
 def _chunks(path: str) -> ChunkEncoder:
