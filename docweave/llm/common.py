@@ -5,6 +5,7 @@ ones named like its results, change nothing. A NULL text counts as an empty one.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -49,6 +50,15 @@ def _claim(owner: str) -> None:
         _held.clear()
         _owner = owner
         gc.collect()
+        _give_back()
+
+
+def _give_back() -> None:
+    """Memory that was freed goes back to the machine, where the allocators can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def worker_cache(key, build: Callable):

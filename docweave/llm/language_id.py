@@ -23,12 +23,14 @@ from docweave.llm.common import in_batches, mixed, raw, slices
 from docweave.sources.storage import stored
 
 PROFILE_LENGTH = 400
-#: Texts whose best profile stays less than this share below the greatest distance are near none. On
-#: sf0.1 every text with a letter has 0.40 or more, random letters 0.09 to 0.16, other scripts 0.
-LEAST_NEAR = 0.2
+#: A text is near a profile that it stays this share or more below the greatest distance from. On sf0.1
+#: every text with a letter has 0.40 or more, random letters 0.09 to 0.16, other scripts 0. A short profile can only
+#: hold as many n-grams as it has, so the share is taken of those, and chance counts for more: the share that is
+#: asked for rises to LEAST_NEAR_SHORT as profiles get shorter.
+LEAST_NEAR, LEAST_NEAR_SHORT = 0.2, 0.5
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3)
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _HASH_BITS = 31
 
 _LOWER: np.ndarray | None = None
@@ -140,8 +142,8 @@ class Profiles:
         for r in rows:
             self.ranks[at[r["lang"]], np.searchsorted(self.grams, r["gram"])] = r["rank"] - 1
         self.in_profile = self.ranks < length
-        # a language with little text has a short profile, which is far from its own texts too
-        self.whole = bool(self.langs) and bool((self.in_profile.sum(axis=1) == length).all())
+        self.sizes = self.in_profile.sum(axis=1)
+        self.least_near = LEAST_NEAR_SHORT - (LEAST_NEAR_SHORT - LEAST_NEAR) * self.sizes / length
 
     def distances(self, keys: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
         """Out-of-place sums (texts x languages), and how many n-grams of each text counted."""
@@ -171,8 +173,8 @@ def predict(docs: DataFrame, profiles: DataFrame, length: int = PROFILE_LENGTH,
             id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (),
             usable: str | None = None) -> DataFrame:
     """(id, lang_pred, score) and the columns named in `keep`. `usable` names one more column: whether
-    a text has a letter and is at least LEAST_NEAR near a profile; while a profile is short, or
-    there is none, letters are enough. The score is the share of the
+    a text has a letter and is near any profile (each by its own limit, see LEAST_NEAR); when there is
+    no profile at all, letters are enough. The score is the share of the
     greatest possible distance that the best language stays below, raised by the lead over the
     second language; 0 for `und`."""
     spark: SparkSession = docs.sparkSession
@@ -197,8 +199,8 @@ def predict(docs: DataFrame, profiles: DataFrame, length: int = PROFILE_LENGTH,
                     langs[some] = np.array(held.langs, object)[best[some]]
                     lead = np.partition(near, -2, axis=1)[:, -2] if len(held.langs) > 1 else np.zeros(len(part))
                     top = near[np.arange(len(part)), best]
-                    if held.whole:
-                        good &= top >= LEAST_NEAR
+                    reach = np.minimum(held.sizes[None, :], counted_grams[:, None]) / np.maximum(1, counted_grams)[:, None]
+                    good &= (near >= held.least_near * reach).any(axis=1)
                     score[some] = np.clip(top + (1 - top) * (top - lead), 0, 1)[some]
                 yield pa.RecordBatch.from_arrays(
                     [*(part[n] for n in rest), pa.array(langs, pa.string()), pa.array(score),
