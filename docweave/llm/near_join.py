@@ -35,7 +35,7 @@ from docweave.sources.storage import stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TOLERANCE = 1e-6
+TOLERANCE = 1e-8          # asked at each of 16 looks: a pair right at 0.8 is pruned with about 2e-7
 BANDS, ROWS = 32, 5       # a pair right at 0.8 misses all bands with probability 3e-6, one at 0.85 5e-9
 HASHES = BANDS * ROWS
 STEP = 10                 # hashes compared before each look at the posterior
@@ -76,8 +76,9 @@ def signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def row_key(id_column: str, text_column: str):
-    """Digest of a row's id and text."""
-    return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.col(text_column))))
+    """Digest of a row's id and text; NULL is told from empty."""
+    parts = [F.coalesce(F.md5(F.col(c).cast("string")), F.lit("NULL")) for c in (id_column, text_column)]
+    return F.unhex(F.md5(F.concat_ws("|", *parts)))
 
 
 def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -328,7 +329,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def grouped(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
             threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """(id, row, class_id, n_links, keeps) for every row: the least id of its component, the number
+    """(id, row, class_id, n_links, keeps, worded) for every row: the least id of its component, the number
     of other rows whose similarity reaches the threshold, and whether it is the one row of its
     component that stays (the least id, then the least digest of id and text)."""
     sketch = stored(sketches(docs, id_column, text_column), "near_sketches")
@@ -348,7 +349,8 @@ def grouped(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         F.col("id").alias(id_column), "row", F.when(F.col("set_key").isNull(), F.col("id")).otherwise(
             F.col("class_id")).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
-        (F.col("set_key").isNull() | (F.col("row") == F.col("head.row"))).alias("keeps")))
+        (F.col("set_key").isNull() | (F.col("row") == F.col("head.row"))).alias("keeps"),
+        F.col("set_key").isNotNull().alias("worded")))
 
 
 def near_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -359,12 +361,15 @@ def near_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 threshold: float = THRESHOLD) -> DataFrame:
-    """The input's rows and columns with one row of each component; texts without words all stay."""
+    """The input's rows and columns with one row of each component; texts without words all stay, however often."""
     rows = stored(grouped(docs, id_column, text_column, threshold), "near_groups")
     gone = rows.where(~F.col("keeps")).select("row").distinct()
     left = docs.withColumn("_row", row_key(id_column, text_column)).join(
         broadcast_if_small(gone.withColumnRenamed("row", "_row")), "_row", "left_anti")
-    repeated = rows.where(F.col("keeps") & F.col("class_id").isNotNull()).groupBy("row").count().where("count > 1")
-    if not repeated.isEmpty():  # the same id and text more than once
-        left = left.dropDuplicates(["_row"])
+    again = stored(rows.where("keeps AND worded").groupBy(F.col("row").alias("_row")).count().where("count > 1").select("_row"),
+                   "near_repeated")
+    if not again.isEmpty():  # the same id and text more than once
+        marks = broadcast_if_small(again)
+        once = left.join(marks, "_row", "left_semi").dropDuplicates(["_row"])
+        left = left.join(marks, "_row", "left_anti").unionByName(once)
     return left.drop("_row")
