@@ -43,7 +43,10 @@ _FOUND = " UNION ALL ".join(
     f"regexp_extract_all(t, {_quoted(shape)}, 0) AS held, "
     f"{f'regexp_extract_all(t, {_quoted(shape)}, 1)' if order == 0 else 'NULL'} AS named FROM docs"
     for shape, order in _SHAPES)
-_ALLOWED = " OR ".join(f"regexp_matches(held, {_quoted(p)})" for p in secrets.ALLOWED)
+_ALLOWED = " OR ".join(f"regexp_matches(held, {_quoted(secrets.ALLOWED[i])})" for i in (0, 1, 3))
+_LIMIT = " ".join(f"WHEN regexp_matches(held, {_quoted(shape)}) THEN {least}" for shape, least in secrets.LIMITS)
+_IS_WORDS = (f"len(list_filter(string_split_regex(held, '[-_/=+]+'), lambda p: p <> '' "
+             f"AND NOT regexp_full_match(p, {_quoted(secrets.PART)}))) = 0")
 
 SQL["op8_secret_scan"] = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
@@ -54,22 +57,23 @@ each AS (
 placed AS (
     SELECT row_number() OVER () AS m, r, o, held, named, sum(moved) OVER (PARTITION BY r, o ORDER BY i) AS e
     FROM each),
+runs AS (
+    SELECT m, held, regexp_matches(held, '^[0-9A-Fa-f]+$') AS is_hex, {_IS_WORDS} AS is_words FROM placed WHERE o = 3),
 candidates AS (
-    SELECT m, CASE WHEN regexp_matches(held, '^([0-9a-f]+|[0-9A-F]+)$') THEN lower(held) ELSE held END AS run,
-        regexp_matches(held, '^([0-9a-f]+|[0-9A-F]+)$') AS is_hex
-    FROM placed WHERE o = 3 AND regexp_matches(held, '[0-9]') AND NOT ({_ALLOWED})),
+    SELECT m, CASE WHEN is_hex THEN lower(held) ELSE held END AS run,
+        CASE WHEN is_hex THEN {secrets.HEX_LEAST} WHEN is_words THEN {secrets.BASE64_LIMIT} {_LIMIT}
+            ELSE {secrets.REST_LEAST} END AS least
+    FROM runs WHERE NOT (is_words AND NOT regexp_matches(held, {_quoted(secrets.DIGITS_INSIDE)})) AND NOT ({_ALLOWED})),
 windows AS (
-    SELECT m, is_hex, pos, substr(run, pos, {secrets.WINDOW}) AS w
+    SELECT m, least, pos, substr(run, pos, {secrets.WINDOW}) AS w
     FROM candidates, unnest(range(1, length(run) - {secrets.WINDOW} + 2)) AS u(pos)),
 counts AS (
-    SELECT m, is_hex, pos, c, count(*) AS n
-    FROM (SELECT m, is_hex, pos, unnest(string_split(w, '')) AS c FROM windows) GROUP BY ALL),
+    SELECT m, least, pos, c, count(*) AS n
+    FROM (SELECT m, least, pos, unnest(string_split(w, '')) AS c FROM windows) GROUP BY ALL),
 entropies AS (
-    SELECT m, is_hex, pos, log2({secrets.WINDOW}) - sum(n * log2(n)) / {secrets.WINDOW} AS h
-    FROM counts GROUP BY m, is_hex, pos),
-high AS (
-    SELECT m FROM entropies GROUP BY m, is_hex
-    HAVING max(h) >= CASE WHEN is_hex THEN {secrets.HEX_LIMIT} ELSE {secrets.BASE64_LIMIT} END),
+    SELECT m, least, pos, log2({secrets.WINDOW}) - sum(n * log2(n)) / {secrets.WINDOW} AS h
+    FROM counts GROUP BY m, least, pos),
+high AS (SELECT m FROM entropies GROUP BY m, least HAVING max(h) >= least),
 spans AS (
     SELECT r, o, e::BIGINT AS e, (e - length(held))::BIGINT AS s, ['assign', 'access', 'hex', 'entropy'][o + 1] AS kind
     FROM placed

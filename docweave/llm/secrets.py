@@ -43,11 +43,10 @@ LIMITS = (
 HEX_LEAST, REST_LEAST = 2.82, 3.60      # 16; 64
 #: Parts that a run of words consists of; without any it is empty.
 _SHORT = "|".join("As At By Do Id If In Is It My No Of On Or To Up".split())
-PARTS = (f"(?<![A-Za-z0-9])(?:(?:[A-Z]?[a-z]+|[A-Z]+|[a-z]*(?:[A-Z][a-z]{{2,}}|{_SHORT}){{1,40}})[0-9]{{0,4}}|[0-9]{{1,8}})"
-         "(?![A-Za-z0-9])|[-_/=+]+")
-# The limits and the allow-list of the SQL: whatever they find is found here as well.
-HEX_LIMIT = 3.0
-BASE64_LIMIT = 3.9
+PART = f"(?:[A-Z]?[a-z]+|[A-Z]+|[a-z]*(?:[A-Z][a-z]{{2,}}|{_SHORT}){{1,40}})[0-9]{{0,4}}|[0-9]{{1,8}}"
+PARTS = f"(?<![A-Za-z0-9])(?:{PART})(?![A-Za-z0-9])|[-_/=+]+"
+DIGITS_INSIDE = "[0-9][^0-9]|[0-9]{5}"  # elsewhere than a few at the end
+BASE64_LIMIT = 3.9                      # of runs of words with such digits
 ALLOWED = (
     r"^[0-9]+$",                                              # numbers
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",  # UUIDs
@@ -88,7 +87,7 @@ def window_entropy(run: Column, alphabet: str, width: int = WINDOW) -> Column:
 def suspicious(run: Column) -> Column:
     """Whether a candidate's entropy reaches its class's limit and no allow-list pattern fits."""
     words = F.regexp_replace(run, PARTS, "") == ""
-    fits = words & ~run.rlike("[0-9][^0-9]|[0-9]{5}")  # digits at the end alone
+    fits = words & ~run.rlike(DIGITS_INSIDE)
     for pattern in (ALLOWED[0], ALLOWED[1], ALLOWED[3]):
         fits = fits | run.rlike(pattern)
     limit = F.when(words, BASE64_LIMIT)
@@ -144,11 +143,19 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
            mark: str = "<secret>") -> DataFrame:
     """The input's rows and columns with every span of the fixed shapes, and every candidate of high
-    entropy, replaced by a mark. Works text by text, without a shuffle."""
+    entropy, replaced by a mark. Works text by text, without a shuffle.
+
+    Assigned values go first, then candidates, each at its own place and as a whole, so a key inside a
+    longer one leaves nothing behind; a run that goes on from an assigned value is judged without it. Access
+    ids and hexadecimal runs are parts of candidates, and go last where those were none."""
     text = F.col(text_column)
     cut = F.regexp_replace(text, f"(?i:(password|passwd|secret|token|api_?key))([\"']?\\x20*[:=]\\x20*[\"']?)"
                                  f"[A-Za-z0-9+/_.=-]{{{ASSIGN_LEAST},}}", f"$1$2{mark}")
-    cut = F.regexp_replace(F.regexp_replace(cut, ACCESS, mark), HEX, mark)
-    candidates = F.filter(F.regexp_extract_all(cut, F.lit(CANDIDATE), F.lit(0)), suspicious)
-    clean = F.aggregate(F.array_distinct(candidates), cut, lambda t, c: F.replace(t, c, F.lit(mark)))
+    gaps, runs = F.split(cut, CANDIDATE, -1), F.regexp_extract_all(cut, F.lit(CANDIDATE), F.lit(0))
+    judged = F.transform(runs, lambda r: F.when(suspicious(r), F.lit(mark)).otherwise(r))
+    # a gap before each run and one at the end
+    cut = F.array_join(F.transform(F.arrays_zip(gaps.alias("gap"), judged.alias("run")),
+                                   lambda p: F.concat(F.coalesce(p["gap"], F.lit("")), F.coalesce(p["run"], F.lit("")))), "")
+    cut = F.regexp_replace(cut, HEX, mark)  # before access ids: both may hold the same digits
+    clean = F.regexp_replace(cut, f"{ACCESS}|AKIA[A-Z0-9]*(?={mark})", mark)
     return docs.withColumn(text_column, F.when(text.isNull(), text).otherwise(clean))
