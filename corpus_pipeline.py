@@ -16,7 +16,7 @@ from docweave.sources.storage import stored
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told: NULL texts, texts without a letter, and texts that
-    are near no language's profile (see language_id.LEAST_NEAR). Without whole profiles, letters are enough."""
+    are near no language's profile (see language_id.LEAST_NEAR). Without any profile, letters are enough."""
     profiles = language_id.stored_profiles(docs)
     names = [f"_c{i}" for i in range(len(docs.columns))]  # whatever the documents' columns are called
     inner = docs.toDF(*names)
