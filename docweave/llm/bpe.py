@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from docweave.llm.chunks import MEMO_ENTRIES, ChunkEncoder
 from docweave.llm.common import in_batches, slices, worker_cache
 
-MAX_STATES = 100_000
-MAX_JOINS = 200_000
+MAX_STATES = 300_000
+MAX_JOINS = 400_000
 MAX_PIECES = 60_000
 SLICE_BYTES = 3 << 20
 WINDOW = 4096
