@@ -44,7 +44,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids) of every document."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, tables=0.25)  # executors still hold earlier stages' heap
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, tables=0.15)  # executors still hold earlier stages' heap
 
 
 STAGES = [
