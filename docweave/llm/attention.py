@@ -146,47 +146,69 @@ def score(model: Model, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def sums_by(keys: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of each key below `size`."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    out[keys[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 def gradients(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
               wanted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss over the wanted positions and its gradients."""
+    """Mean loss over the wanted positions and its gradients. Positions are put in order of the group
+    to predict, so that each group is a slice, and gradients by class are sums over sorted keys."""
     context, q, k, v, share = attend(w, before)
-    flat, flat_before, flat_after = context.reshape(-1, HEAD), before.reshape(-1), after.reshape(-1)
-    use = (wanted.reshape(-1) / max(1, wanted.sum())).astype(np.float32)
-    one_hot = np.zeros((len(flat), CLASSES), np.float32)
-    one_hot[np.arange(len(flat)), flat_before] = 1
-    loss, g = 0.0, {"member": np.zeros_like(w["member"]), "direct": np.zeros_like(w["direct"])}
-
-    def step(logits: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Adds to the loss; gives its gradient by the logits."""
+    place = np.flatnonzero(wanted)
+    place = place[np.argsort((after.ravel()[place] // MEMBERS).astype(np.int8), kind="stable")]
+    flat, own, target = context.reshape(-1, HEAD)[place], before.ravel()[place], after.ravel()[place]
+    group = target // MEMBERS
+    borders = np.searchsorted(group, np.arange(GROUPS + 1))
+    slices = [(n, slice(i, j)) for n, (i, j) in enumerate(zip(borders, borders[1:])) if i < j]
+    scale = flat.dtype.type(1 / max(1, len(place)))
+    at = np.arange(len(place))
+    loss, g = 0.0, {"member": np.zeros_like(w["member"])}
+
+    def step(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Adds to the loss; turns logits into its gradient by them."""
         nonlocal loss
-        p = np.exp(logits - logits.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        at = np.arange(len(p))
-        loss -= float((np.log(p[at, target] + 1e-12) * weight).sum())
-        p[at, target] -= 1
-        return p * weight[:, None]
-
-    p = step(flat @ w["group"] + w["direct_group"][flat_before], flat_after // MEMBERS, use)
-    g["group"], g["direct_group"] = flat.T @ p, one_hot.T @ p
+        logits -= logits.max(axis=1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(axis=1, keepdims=True)
+        loss -= float(np.log(logits[at, target] + 1e-12).sum() * scale)
+        logits[at, target] -= 1
+        logits *= scale
+        return logits
+
+    p = step(flat @ w["group"] + w["direct_group"][own], group)
+    g["group"], g["direct_group"] = flat.T @ p, sums_by(own, p, CLASSES) if len(own) else np.zeros_like(w["direct_group"])
     d_flat = p @ w["group"].T
-    for n, at in enumerate(by_group(flat_after)):
-        if len(at):
-            p = step(flat[at] @ w["member"][n] + w["direct"][flat_before[at], n], flat_after[at] % MEMBERS, use[at])
-            g["member"][n], g["direct"][:, n] = flat[at].T @ p, one_hot[at].T @ p
-            d_flat[at] += p @ w["member"][n].T
-    d_context = d_flat.reshape(context.shape)
-    d_share = np.matmul(d_context, v.transpose(0, 2, 1))
-    d_scores = share * (d_share - (d_share * share).sum(axis=2, keepdims=True))
+    cell = own.astype(np.int16) * GROUPS + group.astype(np.int16)
+    logits = w["direct"].reshape(-1, MEMBERS)[cell]
+    for n, some in slices:
+        logits[some] += flat[some] @ w["member"][n]
+    p = step(logits, target % MEMBERS)
+    for n, some in slices:
+        g["member"][n] = flat[some].T @ p[some]
+        d_flat[some] += p[some] @ w["member"][n].T
+    g["direct"] = (sums_by(cell, p, CLASSES * GROUPS) if len(own) else np.zeros_like(w["direct"])).reshape(w["direct"].shape)
+    d_context = np.zeros_like(context)
+    d_context.reshape(-1, HEAD)[place] = d_flat
+    d_scores = np.matmul(d_context, v.transpose(0, 2, 1))
+    d_scores -= (d_context * context).sum(axis=2, keepdims=True)  # sum of d_share * share over the places looked at
+    d_scores *= share
     g["near"] = np.bincount(_BACK.ravel(), d_scores.sum(axis=0).ravel(), WINDOW).astype(np.float32)
-    by_class = lambda d: one_hot.T @ d.reshape(-1, HEAD)
-    g["value"] = by_class(np.matmul(share.transpose(0, 2, 1), d_context))
-    g["query"] = by_class(np.matmul(d_scores, k))
-    g["key"] = by_class(np.matmul(d_scores.transpose(0, 2, 1), q))
+    moved = np.concatenate((np.matmul(d_scores, k), np.matmul(d_scores.transpose(0, 2, 1), q),
+                            np.matmul(share.transpose(0, 2, 1), d_context)), axis=2)
+    by_class = sums_by(before.ravel().astype(np.int16), moved.reshape(-1, 3 * HEAD), CLASSES)
+    g["query"], g["key"], g["value"] = np.split(by_class, 3, axis=1)
     return loss, g
 
 
 def train(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray, wanted: np.ndarray,
-          batch: int = 64, least_steps: int = 300, rate: float = 0.02) -> dict[str, np.ndarray]:
+          batch: int = 256, least_steps: int = 150, rate: float = 0.02) -> dict[str, np.ndarray]:
     """Adam over minibatches of windows, in a fixed shuffled order, at least `least_steps`."""
     w = {n: x.copy() for n, x in w.items()}
     first = {n: np.zeros_like(x) for n, x in w.items()}

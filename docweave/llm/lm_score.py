@@ -32,9 +32,9 @@ from docweave.llm.token_files import LibraryEncoder
 from docweave.sources.storage import stored
 
 HEAVY = 20_000
-SHARD_WINDOWS = 20_000
+SHARD_WINDOWS = 40_000  # at least, so one pass is some 150 steps or more
 LINE_WINDOWS = 64
-ROUNDS = 2
+ROUNDS = 1
 SLICE_BYTES = 2 << 20
 MEMO_WORDS = 120_000
 
@@ -145,7 +145,7 @@ def _window_arrays(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def fit(lines: DataFrame, log_share: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights after some rounds of training on shards and averaging; `lines` is read anew each round."""
+    """Weights after `rounds` of training on shards and averaging; each round goes once over every line."""
     flat = attention.packed(attention.start_weights(log_share))
     lines = stored(lines, "lm_lines")
     total = lines.agg(F.sum(F.ceil((F.length("line") - 1) / attention.WINDOW))).first()[0]
