@@ -121,31 +121,39 @@ def log_probabilities(w: dict[str, np.ndarray], before: np.ndarray, after: np.nd
     return out
 
 
-def score(model: Model, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Natural log probability of each sequence of ids (none empty). Windows overlap, so that
-    a position sees at least WINDOW - STRIDE ids, and every id is scored in one window."""
-    counts = np.diff(starts)
-    classes = model.class_of[ids]
-    before = np.empty(len(ids), np.int16)
-    before[1:] = classes[:-1]
-    before[starts[:-1]] = 0
+def line_scores(w: dict[str, np.ndarray], flat: np.ndarray, first: np.ndarray, counts: np.ndarray,
+                later: np.ndarray) -> np.ndarray:
+    """Natural log probability of lines of classes. Line i predicts the `counts[i]` classes after place
+    `first[i]` of `flat`; the one at that place only comes before them. Windows overlap, so that a position sees at least
+    WINDOW - STRIDE places of its line, or its whole start, and every position is scored in one window.
+    With `later`, the line goes on from another one, which has scored its first WINDOW - STRIDE positions."""
+    seen = WINDOW - STRIDE
     windows = 1 + np.maximum(0, -(-(counts - WINDOW) // STRIDE))
+    windows[later & (counts <= seen)] = 0
     of = np.repeat(np.arange(len(counts)), windows)
     number = spans(np.zeros(len(counts), np.int64), windows)
-    first = starts[:-1][of] + number * STRIDE
-    fresh = np.where(number > 0, WINDOW - STRIDE, 0)
-    out = np.bincount(np.repeat(np.arange(len(counts)), counts), model.in_class[ids], len(counts))
-    place = np.arange(WINDOW)
+    start, stop = first[of] + number * STRIDE, (first + counts)[of]
+    fresh = np.where((number > 0) | later[of], seen, 0)
+    out, place = np.zeros(len(counts)), np.arange(WINDOW)
     for at in range(0, len(of), AT_ONCE):
         some = slice(at, at + AT_ONCE)
-        index = first[some, None] + place
-        wanted = (place >= fresh[some, None]) & (index < starts[1:][of[some], None])
-        index = np.minimum(index, len(ids) - 1)
-        found = log_probabilities(model.weights, before[index], classes[index], wanted)
+        index = start[some, None] + place
+        wanted = (place >= fresh[some, None]) & (index < stop[some, None])
+        index = np.minimum(index, len(flat) - 2)
+        found = log_probabilities(w, flat[index].astype(np.int16), flat[index + 1].astype(np.int16), wanted)
         out += np.bincount(np.repeat(of[some], wanted.sum(axis=1)), found, len(counts))
     return out
 
 
+def score(model: Model, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Natural log probability of each sequence of ids (none empty)."""
+    counts = np.diff(starts)
+    flat = np.insert(model.class_of[ids], starts[:-1], 0)
+    inside = np.bincount(np.repeat(np.arange(len(counts)), counts), model.in_class[ids], len(counts))
+    return inside + line_scores(model.weights, flat, starts[:-1] + np.arange(len(counts)), counts,
+                                np.zeros(len(counts), bool))
+
+
 def sums_by(keys: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows of each key below `size`."""
     order = np.argsort(keys, kind="stable")

@@ -9,7 +9,8 @@ The attention model reads the lower-cased words as subword ids of a public token
 with a space before, and an end. Its id counts come from the word counts. Every training text is
 cut into consecutive windows over all its ids; they are dealt to shards of bounded size,
 each shard trains from common weights, and weights are averaged by groups of shards, so work grows
-with the corpus while what reaches the driver stays a few model sizes.
+with the corpus while what reaches the driver stays a few model sizes. Texts are encoded once: the stored
+lines of classes serve training and scoring, and a long text is scored line by line, in any number of tasks.
 
 NULL and empty texts consist of the end alone. Rows keep NULL and repeated ids. If no text is for
 training, counts are 0 and the model is the untrained one.
@@ -33,7 +34,7 @@ from docweave.sources.storage import stored
 
 HEAVY = 20_000
 SHARD_WINDOWS = 40_000  # at least, so one pass is some 150 steps or more
-LINE_WINDOWS = 64
+LINE_WINDOWS = 66         # a line's positions are whole windows and whole strides
 ROUNDS = 1
 SLICE_BYTES = 2 << 20
 MEMO_WORDS = 120_000
@@ -92,42 +93,119 @@ def id_counts(counts: DataFrame, tokenizer: str, size: int) -> np.ndarray:
     return out
 
 
-def training_lines(docs: DataFrame, tokenizer: str, end_id: int, class_of: np.ndarray,
-                   text_column: str = "text") -> DataFrame:
-    """(number, line): the classes of every text's ids with the end before and after, one byte each, in
-    pieces of at most LINE_WINDOWS windows. A piece starts with the last class of the one before, so
-    its windows predict every id of the text once. No two pieces have the same number."""
-    assert attention.CLASSES <= 256
-    sent = docs.sparkSession.sparkContext.broadcast(class_of.astype(np.uint8))
+def _cut(ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Lines of texts whose classes lie one text after the other, the end before the first and after each:
+    text and number within the text of each line, its first place, the place after it, and the place after the tail
+    that only its scoring reads."""
     most = LINE_WINDOWS * attention.WINDOW
+    assert most % attention.STRIDE == 0
+    first = np.concatenate(([0], ends[:-1]))
+    lines = -(-(ends - first) // most)
+    text = np.repeat(np.arange(len(lines)), lines)
+    number = spans(np.zeros(len(lines), np.int64), lines)
+    start = first[text] + most * number
+    stop = np.minimum(start + most, ends[text]) + 1
+    return text, number, start, stop, np.minimum(start + most + attention.WINDOW - attention.STRIDE, ends[text]) + 1
+
+
+def encode(docs: DataFrame, training: str, tokenizer: str, end_id: int, class_of: np.ndarray, in_class: np.ndarray,
+           heavy: dict[str, int], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """All that later steps need of the texts, as rows of three kinds. For each text `key, id, training`, counts
+    and sums; for each other word of a slice of texts `word, keys`, with the texts it stands in; and
+    `line_key, line_training, number, piece, size, line`: the classes of the text's ids with the end before and after, one
+    byte each, in pieces. A piece starts with the last class of the one before, so that the first `size` bytes of all pieces
+    predict every id once; no two have the same number. The bytes after these are the next places, for windows that reach over."""
+    assert attention.CLASSES <= 256
+    sent = docs.sparkSession.sparkContext.broadcast((heavy, class_of.astype(np.uint8), in_class))
+    kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
-        classes, word_ids = sent.value, _word_ids(tokenizer)
-        number = TaskContext.get().partitionId() << 40
+        heavy, classes, in_class = sent.value
+        word_ids = _word_ids(tokenizer)
+        row, number = TaskContext.get().partitionId() << 40, TaskContext.get().partitionId() << 40
         for batch in batches:
+            shape = pa.schema({
+                "key": pa.int64(), "id": batch.schema.field(id_column).type, "training": pa.bool_(),
+                "n_tokens": pa.int64(), "n_heavy": pa.int64(), "heavy": pa.float64(), "inside": pa.float64(),
+                "word": pa.string(), "keys": pa.list_(pa.int64()), "line_key": pa.int64(), "line_training": pa.bool_(),
+                "number": pa.int64(), "piece": pa.int64(), "size": pa.int64(), "line": pa.binary()})
             for part in slices(batch, text_column, SLICE_BYTES):
                 found, starts = words(part[text_column], SPACED)
                 distinct, codes = encoded(found)
-                ids, begins = word_ids(distinct.to_pylist())
+                held = distinct.to_numpy(zero_copy_only=False).tolist()
+                sub, begins = word_ids(held)
                 lengths = np.diff(begins)[codes]
-                line = classes[ids[spans(begins[codes], lengths)]]
+                at = spans(begins[codes], lengths)
                 before = np.concatenate(([0], np.cumsum(lengths)))[starts]
                 # the end before the first text and after each: it is also the one before the next text
-                line = np.insert(line, before, classes[end_id])
+                line = np.insert(classes[sub][at], before, classes[end_id])
                 ends = before[1:] + np.arange(1, len(before))
-                first = np.concatenate(([0], ends[:-1]))
-                pieces = -(-(ends - first) // most)
-                text = np.repeat(np.arange(len(pieces)), pieces)
-                start = first[text] + most * spans(np.zeros(len(pieces), np.int64), pieces)
-                stop = np.minimum(start + most, ends[text]) + 1
+                share = np.concatenate(([0.0], np.cumsum(in_class[sub])))
+                share = (share[begins[1:]] - share[begins[:-1]])[codes]
+                # heavy words have their counts here, the others go out with their texts
+                c = np.array([heavy.get(w, 0) for w in held], np.int64)
+                text_of = owners(starts)
+                keys = row + np.arange(len(part), dtype=np.int64)
+                light = c[codes] == 0
+                docs_out = {
+                    "key": pa.array(keys), "id": part[id_column], "training": part[training],
+                    "n_tokens": pa.array(np.diff(starts) + 1),
+                    "n_heavy": pa.array(per_text(~light, starts)),
+                    "heavy": pa.array(np.bincount(text_of, np.log10(c + 1.0)[codes], len(part))),
+                    "inside": pa.array(np.bincount(text_of, share, len(part)) + in_class[end_id]),
+                }
+                order = np.argsort(codes[light], kind="stable")
+                code, own = codes[light][order], keys[text_of[light]][order]
+                first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(code)).astype(np.int32)), pa.array(own))
+                words_out = {"word": distinct.take(pa.array(code[first])), "keys": lists}
+                text, piece, start, stop, tail = _cut(ends)
                 data = line.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(number + np.arange(len(text), dtype=np.int64)),
-                     pa.array([data[i:j] for i, j in zip(start.tolist(), stop.tolist())], pa.binary())],
-                    names=["number", "line"])
-                number += len(text)
+                lines_out = {
+                    "line_key": pa.array(keys[text]), "line_training": part[training].take(pa.array(text)),
+                    "number": pa.array(number + np.arange(len(text), dtype=np.int64)), "piece": pa.array(piece),
+                    "size": pa.array(stop - start),
+                    "line": pa.array([data[i:j] for i, j in zip(start.tolist(), tail.tolist())], pa.binary())}
+                row, number = row + len(part), number + len(text)
+                for rows in (docs_out, words_out, lines_out):
+                    length = len(next(iter(rows.values())))
+                    yield pa.RecordBatch.from_arrays(
+                        [rows[f.name].cast(f.type) if f.name in rows else pa.nulls(length, f.type) for f in shape],
+                        schema=shape)
+
+    return in_batches(docs.select(id_column, text_column, training), run, (
+        f"key long, id {kind}, training boolean, n_tokens long, n_heavy long, heavy double, inside double, word string, "
+        "keys array<long>, line_key long, line_training boolean, number long, piece long, size long, line binary"))
+
+
+def lines_to_learn(parts: DataFrame) -> DataFrame:
+    """(number, line) of the training texts: windows over these lines predict every id once."""
+    return parts.where("line_training").select("number", F.expr("substring(line, 1, CAST(size AS INT))").alias("line"))
+
+
+def training_lines(docs: DataFrame, tokenizer: str, end_id: int, class_of: np.ndarray,
+                   text_column: str = "text") -> DataFrame:
+    """`lines_to_learn` of texts that are all for training."""
+    return lines_to_learn(encode(
+        docs.select(text_column, F.lit(0).alias("_id"), F.lit(True).alias("_training")), "_training", tokenizer, end_id,
+        class_of, np.zeros(len(class_of)), {}, "_id", text_column))
+
 
-    return in_batches(docs.select(text_column), run, "number long, line binary")
+def line_scores(parts: DataFrame, flat: np.ndarray) -> DataFrame:
+    """(key, lm): natural log probability of each text's classes."""
+    sent = parts.sparkSession.sparkContext.broadcast(flat)
+
+    def run(batches):
+        weights = attention.unpacked(sent.value)
+        for batch in batches:
+            data = b"".join(batch["line"].to_pylist())
+            sizes = np.asarray(pc.binary_length(batch["line"])).astype(np.int64)
+            found = attention.line_scores(weights, np.frombuffer(data, np.uint8), np.cumsum(sizes) - sizes, sizes - 1,
+                                          np.asarray(batch["piece"]) > 0)
+            yield pa.RecordBatch.from_arrays([batch["line_key"], pa.array(found)], names=["key", "lm"])
+
+    lines = parts.where("line IS NOT NULL").select("line_key", "piece", "line")
+    return in_batches(lines, run, "key long, lm double").groupBy("key").agg(F.sum("lm").alias("lm"))
 
 
 def _window_arrays(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,9 +223,9 @@ def _window_arrays(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def fit(lines: DataFrame, log_share: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights after `rounds` of training on shards and averaging; each round goes once over every line."""
+    """Weights after `rounds` of training on shards and averaging; each round goes once over every line.
+    `lines` is read several times, so it should come from a stored table."""
     flat = attention.packed(attention.start_weights(log_share))
-    lines = stored(lines, "lm_lines")
     total = lines.agg(F.sum(F.ceil((F.length("line") - 1) / attention.WINDOW))).first()[0]
     if not total:
         return flat
@@ -195,68 +273,18 @@ def score(docs: DataFrame, training: str, tokenizer: str, end_id: int, id_column
     ids = id_counts(counts, tokenizer, size)
     ids[end_id] += ends
     class_of, in_class, log_share = attention.vocabulary(ids, end_id)
-    flat = fit(training_lines(learned, tokenizer, end_id, class_of, text_column), log_share)
-    sent = spark.sparkContext.broadcast((heavy, class_of, in_class, flat))
-    kind = docs.schema[id_column].dataType.simpleString()
-
-    def run(batches):
-        heavy, class_of, in_class, flat = sent.value
-        model = attention.Model(class_of, in_class, attention.unpacked(flat))
-        word_ids = _word_ids(tokenizer)
-        task, row = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            shape = pa.schema({
-                "key": pa.int64(), "id": batch.schema.field(id_column).type, "training": pa.bool_(),
-                "n_tokens": pa.int64(), "n_heavy": pa.int64(), "heavy": pa.float64(), "lm": pa.float64(),
-                "word": pa.string(), "keys": pa.list_(pa.int64())})
-            for part in slices(batch, text_column, SLICE_BYTES):
-                found, starts = words(part[text_column], SPACED)
-                distinct, codes = encoded(found)
-                held = distinct.to_numpy(zero_copy_only=False).tolist()
-                sub, begins = word_ids(held)
-                # the model's ids: those of the words, then the end
-                lengths = np.diff(begins)[codes]
-                line = sub[spans(begins[codes], lengths)]
-                before = np.concatenate(([0], np.cumsum(lengths)))
-                ends = before[starts[1:]]
-                line = np.insert(line, ends, end_id).astype(np.int64)
-                scored = attention.score(model, line, np.concatenate(([0], ends + np.arange(1, len(part) + 1))))
-                # heavy words have their counts here, the others go out with their texts
-                c = np.array([heavy.get(w, 0) for w in held], np.int64)
-                text_of = owners(starts)
-                keys = (task << 40) + row + np.arange(len(part), dtype=np.int64)
-                light = c[codes] == 0
-                docs_out = {
-                    "key": pa.array(keys), "id": part[id_column], "training": part[training],
-                    "n_tokens": pa.array(np.diff(starts) + 1),
-                    "n_heavy": pa.array(per_text(~light, starts)),
-                    "heavy": pa.array(np.bincount(text_of, np.log10(c + 1.0)[codes], len(part))),
-                    "lm": pa.array(scored / math.log(10)),
-                }
-                order = np.argsort(codes[light], kind="stable")
-                code, own = codes[light][order], keys[text_of[light]][order]
-                first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(code)).astype(np.int32)), pa.array(own))
-                words_out = {"word": distinct.take(pa.array(code[first])), "keys": lists}
-                row += len(part)
-                for rows in (docs_out, words_out):
-                    length = len(next(iter(rows.values())))
-                    yield pa.RecordBatch.from_arrays(
-                        [rows[f.name].cast(f.type) if f.name in rows else pa.nulls(length, f.type) for f in shape],
-                        schema=shape)
-
-    fields = (f"key long, id {kind}, training boolean, n_tokens long, n_heavy long, heavy double, lm double, "
-              "word string, keys array<long>")
-    both = stored(in_batches(docs.select(id_column, text_column, training), run, fields), "lm_parts")
-    texts = both.where("key IS NOT NULL").drop("word", "keys")
-    met = both.where("word IS NOT NULL").select("word", "keys").join(
+    parts = stored(encode(docs, training, tokenizer, end_id, class_of, in_class, heavy, id_column, text_column), "lm_parts")
+    scored = line_scores(parts, fit(lines_to_learn(parts), log_share))
+    texts = parts.where("key IS NOT NULL").select("key", "id", "training", "n_tokens", "n_heavy", "heavy", "inside")
+    met = parts.where("word IS NOT NULL").select("word", "keys").join(
         counts.select("word", F.col("n").alias("c")), "word")  # a word without a count adds log10(1) = 0
     rare = (met.select(F.explode("keys").alias("key"), F.log10(F.col("c") + 1.0).alias("part"))
             .groupBy("key").agg(F.sum("part").alias("rare"), F.count("*").alias("n_rare")))
     end_part = math.log10(ends + 1)
     base = (F.col("heavy") + F.coalesce("rare", F.lit(0.0)) + end_part
             - F.col("n_tokens") * F.lit(math.log10(n + v + 1)))
-    return texts.join(rare, "key", "left").select(
+    return texts.join(rare, "key", "left").join(scored, "key").select(
         F.col("id").alias(id_column), (~F.col("training")).alias("held_out"), "n_tokens",
         (F.col("n_heavy") + F.coalesce("n_rare", F.lit(0)) + (1 if ends else 0)).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), F.col("lm").alias("score"))
+        F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"),
+        ((F.col("inside") + F.col("lm")) / math.log(10)).alias("score"))
