@@ -308,3 +308,88 @@ def test_training_lowers_the_loss():
     arrays = line[at], line[at + 1], np.ones(at.shape, bool)
     trained = attention.train(start, *arrays, least_steps=60)
     assert attention.gradients(trained, *arrays)[0] < 0.3 * attention.gradients(start, *arrays)[0]
+
+
+def plain_class_score(w, classes):
+    """Windows over one text's classes, position by position."""
+    total, done, start = 0.0, 0, 0
+    while done < len(classes):
+        stop = min(start + attention.WINDOW, len(classes))
+        before = [classes[i - 1] if i else 0 for i in range(start, stop)]
+        for at in range(done - start, stop - start):
+            looks = np.array([min(30, max(-30, float(w["query"][before[at]] @ w["key"][before[j]]))) + w["near"][at - j]
+                              for j in range(at + 1)])
+            share = np.exp(looks) / np.exp(looks).sum()
+            context = sum(s * w["value"][before[j]] for j, s in enumerate(share))
+            group, member = divmod(classes[start + at], attention.MEMBERS)
+            for logits, place in ((context @ w["group"] + w["direct_group"][before[at]], group),
+                                  (context @ w["member"][group] + w["direct"][before[at], group], member)):
+                total += logits[place] - math.log(np.exp(logits).sum())
+        done, start = stop, start + attention.STRIDE
+    return total
+
+
+def test_lm_lines_score_like_a_plain_pass_over_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "LINE_WINDOWS", 3)
+    rng = random.Random(11)
+    texts = [None, "", "a", *(" ".join(rng.choice(["alpha", "d,", "zzzz9"]) for _ in range(n)) for n in (8, 30, 33, 41, 60, 350))]
+    docs = spark.createDataFrame([(i, t, i % 2 == 0) for i, t in enumerate(texts)], "doc_id long, text string, training boolean")
+    library, end = Tokenizer.from_file(LIBRARY), 50256
+    class_of = (np.arange(library.get_vocab_size()) % attention.CLASSES).astype(np.int16)
+    class_of[end] = 0
+    inside = np.random.default_rng(1).normal(size=len(class_of))
+    _, _, log_share = attention.vocabulary(np.ones(400), 0)
+    weights = attention.start_weights(log_share)
+    weights["near"] = np.random.default_rng(2).normal(size=attention.WINDOW).astype(np.float32)
+    parts = lm_score.encode(docs, "training", LIBRARY, end, class_of, inside, {})
+    scored = {r.key: r.lm for r in lm_score.line_scores(parts, attention.packed(weights)).collect()}
+    rows = {r.id: r for r in parts.where("key IS NOT NULL").collect()}
+    assert len(rows) == len(scored) == len(texts)
+    for i, t in enumerate(texts):
+        ids = [x for word in (t or "").split() for x in library.encode(" " + word, add_special_tokens=False).ids] + [end]
+        assert abs(rows[i].inside - inside[ids].sum()) < 1e-6
+        assert abs(scored[rows[i].key] - plain_class_score(weights, class_of[ids].tolist())) < 1e-2, i
+
+
+def test_language_distances_equal_a_plain_count():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcde  ") for _ in range(n)) + "a" for n in (3, 20, 90, 400)]
+    length = 12
+
+    def ranking(text):
+        keys, _ = language_id.grams(pa.array([text]))
+        found, counts = language_id.counted(keys)
+        return [g for _, g in sorted((-c, g) for g, c in zip(found.tolist(), counts.tolist()))][:length]
+
+    profiles = {f"l{n}": ranking("".join(rng.choice("abcdef ") for _ in range(200)) + "a") for n in range(3)}
+    held = language_id.Profiles([{"lang": name, "gram": g, "rank": i + 1} for name, grams in profiles.items()
+                                 for i, g in enumerate(grams)], length)
+    keys, _ = language_id.grams(pa.array(texts))
+    sums, counted = held.distances(keys, len(texts))
+    for i, text in enumerate(texts):
+        own = ranking(text)
+        assert counted[i] == len(own)
+        for name, total in zip(held.langs, sums[i]):
+            profile = profiles[name]
+            assert total == sum(abs(profile.index(g) - r) if g in profile else length for r, g in enumerate(own))
+
+
+def test_held_out_languages_are_told(spark):
+    """Accuracy on texts that no profile has seen, over the whole small table."""
+    from docweave.llm import queries
+    folder = "/root/testdata/sf0.001"
+    lang = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    rows = queries.op3_language_id(spark, folder).join(lang, "doc_id").where(
+        "held_out AND lang IS NOT NULL AND lang_pred <> 'und'").collect()
+    assert len(rows) > 20
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.9 * len(rows)
+
+
+def test_held_out_toxic_texts_are_found(spark):
+    from docweave.llm import queries
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    rows = queries.op5_toxicity(spark, folder).join(labels, "doc_id").where("held_out AND toxic IS NOT NULL").collect()
+    toxic, clean = [r.predicted for r in rows if r.toxic], [r.predicted for r in rows if not r.toxic]
+    assert len(toxic) > 5 and sum(toxic) >= 0.8 * len(toxic)
+    assert sum(clean) <= 0.1 * len(clean)
