@@ -393,3 +393,40 @@ def test_held_out_toxic_texts_are_found(spark):
     toxic, clean = [r.predicted for r in rows if r.toxic], [r.predicted for r in rows if not r.toxic]
     assert len(toxic) > 5 and sum(toxic) >= 0.8 * len(toxic)
     assert sum(clean) <= 0.1 * len(clean)
+
+
+def test_posteriors_equal_em_over_single_rows(spark):
+    """The posterior of each row, against maximisation over rows instead of counted combinations of votes."""
+    from pyspark.sql import functions as F
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        good = rng.random() < 0.7
+        rows.append([i, *(0 if rng.random() < 0.25 else (1 if good else -1) * (1 if rng.random() < right else -1)
+                          for right in (0.95, 0.85, 0.6))])
+    docs = spark.createDataFrame(rows, "doc_id long, a int, b int, c int")
+    found = {r.doc_id: (r.posterior, r.good) for r in quality.judge(docs, {n: F.col(n) for n in "abc"}).collect()}
+
+    posterior = [0.1 if -1 in r[1:] else 0.9 if 1 in r[1:] else 0.5 for r in rows]
+    for _ in range(500):
+        share = (sum(posterior) + 1) / (len(rows) + 2)
+        right = {}
+        for rule in (1, 2, 3):
+            for kind in (0, 1):
+                weight = [p if kind else 1 - p for p in posterior]
+                ups = sum(w for w, r in zip(weight, rows) if r[rule] == 1)
+                right[rule, kind] = (ups + 1) / (sum(w for w, r in zip(weight, rows) if r[rule]) + 2)
+        after = []
+        for r in rows:
+            chance = [1 - share, share]
+            for rule in (1, 2, 3):
+                for kind in (0, 1):
+                    chance[kind] *= {1: right[rule, kind], -1: 1 - right[rule, kind], 0: 1}[r[rule]]
+            after.append(chance[1] / sum(chance))
+        moved, posterior = max(abs(x - y) for x, y in zip(after, posterior)), after
+        if moved < 1e-9:
+            break
+    assert len(found) == len(rows)
+    for r, p in zip(rows, posterior):
+        assert abs(found[r[0]][0] - p) < 1e-6
+        assert found[r[0]][1] == (found[r[0]][0] >= quality.GOOD_LIMIT)
