@@ -10,11 +10,15 @@ stage: a common word lengthens a task's stream, but its matches are not shuffled
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docweave.errors import InvalidInputError
+from docweave.functions.scores import BestScores, asked_of, groups
 from docweave.functions.text import Tokenizer, tokens
 from docweave.plans import sizing
 from docweave.plans.ranking import top_k
@@ -26,6 +30,8 @@ from docweave.sources.storage import stored
 K1, B = 1.2, 0.75
 SCALE = 10**12
 
+ROWS_AT_ONCE = 100_000  # (word, row) pairs that the kernel takes at a time
+
 
 def term_index(collection: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
     """The collection with `doc_len` and `terms`, an array of (token, tf) per row.
@@ -139,11 +145,33 @@ def _parts(rows: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def _best(parts: DataFrame, words: DataFrame, k: int) -> DataFrame:
-    """Top k per query of few query words. Partitioned by row, parts are summed per
-    (query, row) and cut to k per query in the same stage."""
-    scored = (parts.repartition(ID).join(sizing.broadcast_if_small(words), "token")
-              .groupBy("query_id", ID).agg(F.sum("part").alias("part")))
-    return _ranked(scored, k)
+    """Top k per query of few query words. Partitioned by row, parts are summed per (query, row) and cut to k per
+    query in the same stage: by the block kernel if the hits of all queries fit into a task, which then holds no
+    sums but those of the rows it is at."""
+    dealt = parts.repartition(ID)
+    if not sizing.fits(words, sizing.MAX_BROADCAST_ROWS):
+        return _ranked(_sums(dealt.join(words, "token")), k)
+    found = words.select("query_id", "token").toArrow()
+    asked = asked_of(found)
+    if len(asked.ids) * k > sizing.MAX_TASK_HITS:
+        return _ranked(_sums(dealt.join(F.broadcast(words), "token")), k)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = BestScores(asked, k)
+        for some in groups(batches, ID, ROWS_AT_ONCE):
+            at = pc.index_in(some["token"].combine_chunks(), asked.tokens)
+            some = some.filter(at.is_valid())
+            ids = some[ID].combine_chunks().dictionary_encode("encode")
+            best.add(ids.dictionary, ids.indices.to_numpy(), at.drop_null().to_numpy(), some["part"].to_numpy())
+        yield from best.result().to_batches()
+
+    schema = T.StructType([T.StructField("query_id", words.schema["query_id"].dataType), T.StructField(ID, T.StringType()),
+                           T.StructField("part", T.LongType())])
+    return _ranked(dealt.select(ID, "token", "part").sortWithinPartitions(ID).mapInArrow(scan, schema), k)
+
+
+def _sums(matches: DataFrame) -> DataFrame:
+    return matches.groupBy("query_id", ID).agg(F.sum("part").alias("part"))
 
 
 def _check_k(k: int) -> None:
