@@ -1,8 +1,15 @@
 """Texts are shuffled and stored no more often than the work needs."""
 
+import uuid
+
 import pytest
+from pyspark.sql import functions as F
 
+from docweave import create_collection
+from docweave.functions import filters as f
 from docweave.plans import sizing, testbed
+from docweave.sources import collection, versions
+from docweave.sources.versions import FOLDER
 
 
 def plan_of(frame):
@@ -41,3 +48,66 @@ def test_upsert_shuffles_each_side_once(spark, large, folder):
     assert (rows["4"]["document"], rows["4"]["label"], rows["4"]["quality"]) == ("text 2", 2, None)
     assert (rows["3"]["document"], rows["3"]["n_dims"], rows["59"]["n_dims"]) == ("text 3", 64, None)
     assert (rows["6"]["n_chars"], rows["58"]["document"], rows["8"]["lang"]) == (3, "text 29", "en")
+
+
+@pytest.fixture
+def shuffles(monkeypatch):
+    """Shuffles of each later write of rows into folders."""
+    seen, write = [], versions.write_rows
+
+    def counted(rows, *rest):
+        seen.append(plan_of(rows).count("Exchange ") + (FOLDER not in rows.columns))
+        write(rows, *rest)
+
+    monkeypatch.setattr(versions, "write_rows", counted)
+    return seen
+
+
+def held(spark, n=40):
+    rows = spark.range(n).select(
+        F.col("id").cast("string").alias("_id"), F.concat(F.lit("text "), "id").alias("document"),
+        F.array(F.lit(1.0), F.col("id")).cast("array<float>").alias("embedding"),
+        F.parse_json(F.to_json(F.struct((F.col("id") % 4).alias("n")))).alias("metadata"))
+    return create_collection(spark, f"s_{uuid.uuid4().hex[:10]}", 2, "l2", rows)
+
+
+def test_a_collection_is_made_without_a_copy(spark, monkeypatch):
+    monkeypatch.setattr(collection, "stored", lambda *given: pytest.fail("rows were stored twice"))
+    assert held(spark).count() == 40
+
+
+def test_large_batches_meet_stored_rows_in_one_shuffle(spark, large, shuffles):
+    c = held(spark)
+    del shuffles[:]
+    changes = spark.createDataFrame([("3", None, "{}"), ("5", "new", None), ("x", None, None), ("y", "y", "null")],
+                                    "_id string, document string, metadata string")
+    c.update(changes.withColumn("embedding", F.lit(None).cast("array<double>")))
+    assert c.count() == 40
+    c.upsert(changes)
+    assert shuffles == [1, 1]
+    assert max(len(list(paths)) for paths in c.version().rows.values()) <= 2
+    rows = {r["_id"]: r for r in c.rows().withColumn("metadata", F.to_json("metadata")).collect()}
+    assert len(rows) == 42
+    assert (rows["3"]["document"], rows["3"]["metadata"], rows["3"]["embedding"]) == ("text 3", "{}", [1.0, 3.0])
+    assert (rows["5"]["document"], rows["5"]["metadata"]) == ("new", '{"n":1}')
+    assert (rows["x"]["document"], rows["x"]["metadata"], rows["x"]["embedding"]) == ("", "null", None)
+    assert (rows["y"]["document"], rows["6"]["document"]) == ("y", "text 6")
+
+
+def test_deletes_write_rows_where_they_lie(spark, shuffles):
+    c = held(spark)
+    del shuffles[:]
+    c.delete(where=f.eq("n", 1))
+    c.delete(ids=["0", "4"])
+    assert shuffles == [0, 0]
+    c.delete(ids=spark.createDataFrame([("8",), ("12",)], "_id string"))
+    assert sorted(int(r[0]) for r in c.rows().select("_id").collect()) == [
+        i for i in range(40) if i % 4 != 1 and i not in (0, 4, 8, 12)]
+
+
+def test_deletes_by_many_ids_keep_files_few(spark, large):
+    c = held(spark)
+    c.delete(ids=spark.createDataFrame([("8",), ("12",)], "_id string"))
+    assert c.count() == 38
+    files = c.rows().select("_metadata.file_path").distinct().count()
+    assert files <= len(c.version().rows)
