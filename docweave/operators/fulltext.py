@@ -13,6 +13,7 @@ import math
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -34,24 +35,38 @@ ROWS_AT_ONCE = 100_000  # (word, row) pairs that the kernel takes at a time
 
 
 def term_index(collection: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
-    """The collection with `doc_len` and `terms`, an array of (token, tf) per row.
+    """The collection with `doc_len` and `terms`, an array of (token, tf) per row, sorted by token.
 
     Can be written once and given to every search; columns a search filters by must
-    be in it. Lambdas here use only their own arguments: one that looked at another
-    column would compute that column anew for each element, should Catalyst inline it."""
-    words, size = F.col("_words"), F.array_size("_words")
-    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(words, 1, F.greatest(size - 1, F.lit(0))))
-    first = F.zip_with(words, before, lambda w, b: w.isNotNull() & ~w.eqNullSafe(b))
-    starts = F.filter(F.transform(first, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
-    ends = F.concat(F.slice("_starts", 2, F.array_size("_starts")), F.array(size))
-    counts = F.zip_with("_starts", ends, lambda s, e: (e - s).cast("bigint"))
-    terms = F.zip_with(F.array_distinct("_words"), counts,
-                       lambda w, n: F.struct(w.alias("token"), n.alias("tf")))
-    return (collection.withColumn("_words", F.sort_array(tokenizer(F.col(DOCUMENT))))
-            .withColumn("doc_len", size.cast("bigint"))
-            .withColumn("_starts", starts)
-            .withColumn("terms", F.filter(terms, lambda t: t["token"].isNotNull()))
-            .drop("_words", "_starts"))
+    be in it. Words are counted as arrays: only they go to the counting function."""
+    words = F.arrow_udf(counted_words, "array<struct<token: string, tf: bigint>>")
+    return (collection.withColumn("_words", tokenizer(F.col(DOCUMENT)))
+            .withColumn("doc_len", F.array_size("_words").cast("bigint"))
+            .withColumn("terms", words("_words"))
+            .drop("_words"))
+
+
+def counted_words(rows: pa.Array) -> pa.Array:
+    """For each list of words its distinct words, sorted, with their counts; null for a null list. Missing words
+    are not counted."""
+    lists = rows.filter(rows.is_valid())
+    size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    row = np.repeat(np.arange(len(lists)), size)[flat.is_valid().to_numpy(zero_copy_only=False)]
+    codes = flat.drop_null().dictionary_encode()
+    order = pc.sort_indices(codes.dictionary).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    n = max(1, len(order))
+    pairs, tf = np.unique(row * n + place[codes.indices.to_numpy()], return_counts=True)
+    terms = pa.StructArray.from_arrays(
+        [codes.dictionary.take(pa.array(order[pairs % n])).cast(pa.string()), pa.array(tf.astype(np.int64))],
+        names=["token", "tf"])
+    held = np.zeros(len(rows), np.int64)
+    valid = rows.is_valid().to_numpy(zero_copy_only=False)
+    held[valid] = np.bincount(pairs // n, minlength=len(lists))[:len(lists)]
+    offsets = np.concatenate(([0], np.cumsum(held))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), terms, mask=pa.array(~valid))
 
 
 def postings(index: DataFrame) -> DataFrame:
@@ -93,18 +108,32 @@ def bm25(index: DataFrame, queries: DataFrame, k: int, where: Column | None = No
 
 def bm25_one(index: DataFrame, text: str, k: int, where: Column | None = None,
              tokenizer: Tokenizer = tokens) -> DataFrame:
-    """`bm25` for one text, with query_id 0.
+    """`bm25` for one text, with query_id 0. `index` is a `term_index`, or just the collection.
 
-    The words of one text fit into one array value, so each row is scored where it is
-    read and nothing but the best k per task is shuffled."""
+    The texts or terms are read once, for what they hold of the asked words; word statistics and scores come from
+    that, a stored table of few words a row. The words of one text fit into one array value, so each row is
+    scored where it is read and nothing but the best k per task is shuffled."""
     _check_k(k)
-    words = index.sparkSession.range(1).select(
-        F.explode(F.array_distinct(tokenizer(F.lit(text)))).alias("token"))
-    weights = word_weights(index, words, small=True)
+    spark = index.sparkSession
+    asked = spark.range(1).select(F.array_distinct(tokenizer(F.lit(text))).alias("words")).first()["words"]
+    asked = [w for w in asked if w is not None]
+    keep = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    if "terms" in index.columns:
+        held = index.select(ID, keep.alias("_keep"), "doc_len", F.filter(
+            "terms", lambda t: t["token"].isin(asked)).alias("terms"))
+    else:
+        held = index.select(ID, keep.alias("_keep"), tokenizer(F.col(DOCUMENT)).alias("_words"))
+        held = held.select(ID, "_keep", F.array_size("_words").cast("bigint").alias("doc_len"),
+                           F.filter("_words", lambda w: w.isin(asked)).alias("_words"))
+    held = stored(held, "asked_words")
+    if "_words" in held.columns:
+        count = F.arrow_udf(counted_words, "array<struct<token: string, tf: bigint>>")
+        held = stored(held.withColumn("terms", count("_words")).drop("_words"), "asked_terms")
+    words = spark.createDataFrame([(w,) for w in asked], "token string")
+    weights = word_weights(held, words, small=True)
     weights = weights.agg(F.array_agg(F.struct("token", "idf", "mean_len"))).scalar()
 
-    rows = index if where is None else index.where(where)
-    rows = rows.select(ID, "doc_len", "terms", weights.alias("_weights"))
+    rows = held.where("_keep").select(ID, "doc_len", "terms", weights.alias("_weights"))
 
     def add(total, word):
         place = F.array_position(F.col("terms.token"), word["token"]).cast("int")

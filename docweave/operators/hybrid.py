@@ -115,9 +115,10 @@ def _ranked_texts(collection: DataFrame, branch: TextBranch, texts: DataFrame |
             allowed = None if keep is None else collection.where(keep).select(ID)
             return blockwords.bm25(index, texts, k, allowed)
         index = None  # postings of other words would find nothing
+    if isinstance(texts, str):
+        return bm25_one(collection if index is None else index, texts, k, where=keep, tokenizer=tokenizer)
     index = term_index(collection, tokenizer) if index is None else index
-    search = bm25_one if isinstance(texts, str) else bm25
-    return search(index, texts, k, where=keep, tokenizer=tokenizer)
+    return bm25(index, texts, k, where=keep, tokenizer=tokenizer)
 
 
 def knn_branch(collection: DataFrame, branch: KnnBranch, distance: str, k: int | None = None,

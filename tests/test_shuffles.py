@@ -2,11 +2,13 @@
 
 import uuid
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from docweave import create_collection
+from docweave import Contains, create_collection
 from docweave.functions import filters as f
+from docweave.operators import fulltext, hybrid
 from docweave.plans import sizing, testbed
 from docweave.sources import collection, versions
 from docweave.sources.versions import FOLDER
@@ -111,3 +113,27 @@ def test_deletes_by_many_ids_keep_files_few(spark, large):
     assert c.count() == 38
     files = c.rows().select("_metadata.file_path").distinct().count()
     assert files <= len(c.version().rows)
+
+
+def test_words_are_counted_as_arrays():
+    lists = [["b", "a", "b"], None, [], ["a", None, "é", "a"], None]
+    got = fulltext.counted_words(pa.array([["cut"], *lists], pa.list_(pa.string())).slice(1)).to_pylist()
+    assert got == [[{"token": "a", "tf": 1}, {"token": "b", "tf": 2}], None, [],
+                   [{"token": "a", "tf": 2}, {"token": "é", "tf": 1}], None]
+    assert fulltext.counted_words(pa.array([], pa.list_(pa.string()))).to_pylist() == []
+
+
+def test_one_text_needs_no_term_index(spark, rows, monkeypatch):
+    """Texts are read once, for the asked words; the ranking is that from a term index."""
+    base = rows(*[(f"r{i:02d}", None if i == 7 else " ".join(["cat", "dog", "dog", "eel"][:i % 5]) + " x" * (i % 3),
+                   None, f'{{"n": {i % 4}}}') for i in range(40)])
+    branch = hybrid.TextBranch(f.gte("n", 1), Contains("dog cat none"))
+    for text in ("dog cat none", "none", ""):
+        for where in (None, f.gte("n", 1)):
+            made = fulltext.bm25_one(fulltext.term_index(base), text, 6, where).orderBy("rank").collect()
+            assert fulltext.bm25_one(base, text, 6, where).orderBy("rank").collect() == made
+    monkeypatch.setattr(hybrid, "term_index", lambda *given: pytest.fail("all words were counted"))
+    hits = hybrid.text_branch(base, branch, 6).orderBy("rank").collect()
+    found = fulltext.bm25(fulltext.term_index(base), spark.sql("SELECT 0 AS query_id, 'dog cat none' AS text"), 6,
+                          f.gte("n", 1)).orderBy("rank").collect()
+    assert len(hits) == 6 and hits == found
