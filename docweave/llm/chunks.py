@@ -1,9 +1,10 @@
-"""Encode whole texts through a table of their distinct space-separated chunks.
+"""Encode whole texts through a table of their distinct pieces.
 
-The split pattern of the byte-level vocabularies starts a new match at every single space
-between two non-space characters, whatever stands around. So a text may be cut there, each
-distinct chunk (with its leading space) encoded once, and the results gathered by numpy. A
-text where some space is not of that kind is one chunk by itself and is not remembered."""
+The split pattern of the byte-level vocabularies surely starts a new match at some places,
+whatever stands around: at a space after another character, after a letter that no letter
+follows, and after a lone line end. So a text may be cut there, each distinct piece (with its
+leading space) encoded once, and the results gathered by numpy. Places that would need more of
+the text to decide are not cut, so a piece may be long."""
 
 from __future__ import annotations
 
@@ -13,11 +14,66 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from docweave.llm.common import encoded, per_text, raw, spans
+from docweave.llm.common import encoded, raw, spans, strings
 
 MEMO_ENTRIES = 400_000
+LONGEST = 64  # bytes of pieces that are remembered
+#: Space characters beyond ASCII, as UTF-8 bytes in one number.
+SPACES2 = np.array([0xC285, 0xC2A0])
+SPACES3 = np.array([0xE19A80, 0xE1A08E, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
 #: First bytes of UTF-8 space characters beyond ASCII.
 SPACE_LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
+_SPACE = np.array([b == 32 or 9 <= b <= 13 or 28 <= b <= 31 for b in range(256)])
+_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+_SIGN = np.array([b < 128 and not chr(b).isalpha() and b != 32 for b in range(256)])
+#: First bytes of two-byte characters that are letters: Latin (but the two of _NO_LETTER) and Cyrillic.
+_LETTER_LEAD = np.array([0xC3 <= b <= 0xC9 or 0xD0 <= b <= 0xD1 for b in range(256)])
+_NO_LETTER = np.array([0xC397, 0xC3B7])
+
+
+def _joint(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The `width` bytes from each place on, as one number."""
+    out = np.zeros(len(at), np.int64)
+    for k in range(width):
+        out = out << 8 | data[np.clip(at + k, 0, len(data) - 1)]
+    return out
+
+
+def space_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before each place (beyond 0) is a space."""
+    last = data[at - 1]
+    out = _SPACE[last]
+    if (beyond := np.flatnonzero(last >= 128)).size:
+        some = at[beyond]
+        out[beyond] = np.isin(_joint(data, some - 2, 2), SPACES2) | np.isin(_joint(data, some - 3, 3), SPACES3)
+    return out
+
+
+def space_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that starts at each place is a space."""
+    first = data[at]
+    out = _SPACE[first]
+    if (beyond := np.flatnonzero(first >= 0xC2)).size:
+        some = at[beyond]
+        out[beyond] = np.isin(_joint(data, some, 2), SPACES2) | np.isin(_joint(data, some, 3), SPACES3)
+    return out
+
+
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces start: at each text that is not empty, and inside texts."""
+    mark = np.zeros(len(data), bool)
+    at = np.flatnonzero(data[1:] == 32) + 1
+    mark[at[~space_before(data, at)]] = True
+    at = np.flatnonzero(_SIGN[data[1:]]) + 1
+    letter, lead = _LETTER[data[at - 1]], _LETTER_LEAD[data[at - 2]] & (data[at - 1] >= 128) & (at >= 2)
+    lead[lead] = ~np.isin(_joint(data, at[lead] - 2, 2), _NO_LETTER)
+    mark[at[letter | lead]] = True
+    at = np.flatnonzero(data[:-1] == 10) + 1
+    at = at[at >= 2]
+    lone = (data[at - 2] < 128) & ~_SPACE[data[at - 2]]
+    mark[at[lone & ~space_at(data, at)]] = True
+    mark[starts[:-1][starts[:-1] < len(data)]] = True
+    return np.flatnonzero(mark)
 
 
 def parted_oddly(chunks: pa.Array, held: list[str]) -> np.ndarray:
@@ -34,88 +90,93 @@ def parted_oddly(chunks: pa.Array, held: list[str]) -> np.ndarray:
 
 
 class _Table:
-    """Chunks seen and their ids, packed: a number for each chunk, and all ids in one array."""
+    """Pieces seen and their ids, packed."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.names = pa.array([], pa.string())
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         self.uses = np.zeros(0, np.int32)
 
-    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        first = len(self.known)
-        self.known.update(zip(chunks, range(first, first + len(chunks))))
+    def find(self, pieces: pa.Array) -> np.ndarray:
+        """Number of each piece, or -1."""
+        return np.asarray(pc.fill_null(pc.index_in(pieces, value_set=self.names), -1)).astype(np.int64)
+
+    def add(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.names = pa.concat_arrays([self.names, pieces])
         self.ids = np.concatenate((self.ids, ids))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-        self.uses = np.concatenate((self.uses, np.zeros(len(chunks), np.int32)))
+        self.uses = np.concatenate((self.uses, np.zeros(len(pieces), np.int32)))
 
     def shrink(self, n: int) -> None:
-        """Keep the n chunks that most batches had, and count anew."""
+        """Keep the n pieces that most batches had, and count anew."""
         kept = np.sort(np.argsort(-self.uses, kind="stable")[:n])
         sizes = np.diff(self.starts)[kept]
-        names = list(self.known)
-        self.known = {names[i]: at for at, i in enumerate(kept.tolist())}
+        self.names = self.names.take(pa.array(kept))
         self.ids = self.ids[spans(self.starts[kept], sizes)]
         self.starts = np.concatenate(([0], np.cumsum(sizes)))
         self.uses = np.zeros(len(kept), np.int32)
 
 
 class ChunkEncoder:
-    """`encode(texts, chunks)` gives the ids of a list of texts one after the other and the number of each;
-    `chunks` tells that all begin with a space and neither go on nor end with one.
+    """`encode(texts, joint)` gives the ids of a list of texts one after the other and the number of each. `joint` tells
+    how texts may be joined to be encoded as one: " ", as they are, for each begins with a space and neither
+    goes on nor ends with one; "\\n", with that between them, for none begins or ends with a space; "", not at all.
 
-    Tables map chunks seen in this worker to ids, inside a text (with a space before) and at its
-    start. When one is full, the less used half goes; tables bound memory and never change a result."""
+    A table maps pieces seen in this worker to ids. When it is full, the less used half goes; it bounds memory
+    and never changes a result."""
 
-    def __init__(self, encode: Callable[[list[str], bool], tuple[np.ndarray, np.ndarray]], entries: int | None = None):
+    def __init__(self, encode: Callable[[list[str], str], tuple[np.ndarray, np.ndarray]], entries: int | None = None):
         self.encode = encode
         self.entries = entries or MEMO_ENTRIES
-        self.tables = {" ": _Table(), "": _Table()}
-
-    def ids(self, chunks: list[str], lead: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of a table, where each chunk's ids start in it, and how many they are; chunks have `lead` before them."""
-        table = self.tables[lead]
-        if len(table.known) > self.entries:
+        self.table = _Table()
+
+    def _new(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the pieces, with long ones last; in that order all ids and the number of each; and how many are short."""
+        data, starts = raw(pieces)
+        sizes = np.diff(starts)
+        full = np.flatnonzero(sizes > 0)
+        kind = np.zeros(len(pieces), np.int8)  # 0: by itself, 1: with a space before, 2: bare
+        first, last = starts[:-1][full], starts[1:][full]
+        ends = ~space_before(data, last)
+        led = (data[first] == 32) & (sizes[full] > 1)
+        led[led] = ~space_at(data, first[led] + 1)
+        kind[full[ends & led]] = 1
+        kind[full[ends & ~space_at(data, first)]] = 2
+        long = sizes > LONGEST
+        kind[long] = 0
+        order, ids, counts = [], [], []
+        for some, joint in ((kind == 1, " "), (kind == 2, "\n"), ((kind == 0) & ~long, ""), (long, "")):
+            at = np.flatnonzero(some)
+            if len(at):
+                found, n = self.encode(pieces.take(pa.array(at)).to_pylist(), joint)
+                order, ids, counts = order + [at], ids + [found], counts + [n]
+        return np.concatenate(order), np.concatenate(ids), np.concatenate(counts), int((~long).sum())
+
+    def ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An array of ids, where the ids of each of the pieces, all distinct, start in it, and how many they are."""
+        table = self.table
+        if len(table.names) > self.entries:
             table.shrink(self.entries // 2)
-        new = [c for c in chunks if c not in table.known]
-        if new:
-            table.add(new, *self.encode([lead + c for c in new] if lead else new, bool(lead)))
-        at = np.fromiter(map(table.known.__getitem__, chunks), np.int64, len(chunks))
-        table.uses[at] += 1
-        return table.ids, table.starts[at], np.diff(table.starts)[at]
+        at = table.find(pieces)
+        new, more, extra = np.flatnonzero(at < 0), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(new):
+            order, ids, counts, short = self._new(pieces.take(pa.array(new)))
+            at[new[order]] = len(table.names) + np.arange(len(new))
+            n = int(counts[:short].sum())
+            table.add(pieces.take(pa.array(new[order[:short]])), ids[:n], counts[:short])
+            more, extra = ids[n:], counts[short:]
+        table.uses[at[at < len(table.names)]] += 1
+        begins = np.concatenate((table.starts, table.starts[-1] + np.cumsum(extra)))
+        return np.concatenate((table.ids, more)) if len(more) else table.ids, begins[at], np.diff(begins)[at]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids start."""
-        texts = pc.fill_null(texts, "")
-        if not len(texts):
-            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        parts = pc.split_pattern(texts, " ")
-        starts = np.asarray(parts.offsets).astype(np.int64)
-        distinct, codes = encoded(parts.values)
-        known = distinct.to_numpy(zero_copy_only=False)
-        plain = per_text(parted_oddly(distinct, known)[codes], starts) == 0
-        leads = np.zeros(len(codes), bool)
-        leads[starts[:-1]] = True
-        used = np.repeat(plain, np.diff(starts))
-        # slots of results: distinct inner chunks, then first chunks, then whole odd texts
-        taken = np.zeros(len(known), bool)
-        taken[codes[used & ~leads]] = True
-        inner = np.flatnonzero(taken)
-        first, at_first = np.unique(codes[starts[:-1][plain]], return_inverse=True)
-        whole = texts.filter(pa.array(~plain)).to_pylist()
-        ids, sizes = self.encode(whole, False) if whole else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        parts = [self.ids(known[inner].tolist(), " "), self.ids(known[first].tolist(), ""),
-                 (ids, np.cumsum(sizes) - sizes, sizes)]
-        shift = np.cumsum([0, *(len(p[0]) for p in parts)])
-        begins = np.concatenate([p[1] + s for p, s in zip(parts, shift)])
-        lengths = np.concatenate([p[2] for p in parts])
-        held_ids = np.concatenate([p[0] for p in parts])
-        slot = np.cumsum(taken) - 1
-        entry = slot[codes]
-        entry[starts[:-1][plain]] = len(inner) + at_first
-        entry[starts[:-1][~plain]] = len(inner) + len(first) + np.arange(int((~plain).sum()))
-        entry = entry[used | leads]
-        each = lengths[entry]
-        ids = held_ids[spans(begins[entry], each)]
+        data, starts = raw(texts)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(starts), np.int64)
+        at = cuts(data, starts)
+        distinct, codes = encoded(strings(data, np.append(at, len(data))))
+        held, begins, lengths = self.ids(distinct)
+        each = lengths[codes]
         before = np.concatenate(([0], np.cumsum(each)))
-        held = np.where(plain, np.diff(starts), 1)
-        return ids, before[np.concatenate(([0], np.cumsum(held)))]
+        return held[spans(begins[codes], each)], before[np.searchsorted(at, starts)]

@@ -46,17 +46,9 @@ class WordIds:
     def __init__(self, path: str):
         self.encoder = ChunkEncoder(LibraryEncoder(path), MEMO_WORDS)
 
-    def __call__(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and where each word's start."""
-        # words with a space character beyond ASCII at an end are encoded by themselves
-        odd = np.fromiter((w[:1].isspace() or w[-1:].isspace() for w in distinct), bool, len(distinct))
-        held, first, counts = self.encoder.ids([w for w, o in zip(distinct, odd) if not o], " ")
-        begins, lengths = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        begins[~odd], lengths[~odd] = first, counts
-        if odd.any():
-            more, sizes = self.encoder.encode([" " + w for w, o in zip(distinct, odd) if o], False)
-            begins[odd], lengths[odd] = len(held) + np.cumsum(sizes) - sizes, sizes
-            held = np.concatenate((held, more))
+        held, begins, lengths = self.encoder.ids(pc.binary_join_element_wise("", distinct, " "))
         return held[spans(begins, lengths)], np.concatenate(([0], np.cumsum(lengths)))
 
 
@@ -80,7 +72,7 @@ def id_counts(counts: DataFrame, tokenizer: str, size: int) -> np.ndarray:
     """How often each subword id occurs in the counted words."""
     def run(batches):
         for batch in batches:
-            ids, starts = _word_ids(tokenizer)(batch["word"].to_pylist())
+            ids, starts = _word_ids(tokenizer)(batch["word"])
             weights = np.repeat(np.asarray(batch["n"]), np.diff(starts))
             sums = np.bincount(ids, weights, size)
             seen = np.flatnonzero(sums)
@@ -116,11 +108,13 @@ def encode(docs: DataFrame, training: str, tokenizer: str, end_id: int, class_of
     byte each, in pieces. A piece starts with the last class of the one before, so that the first `size` bytes of all pieces
     predict every id once; no two have the same number. The bytes after these are the next places, for windows that reach over."""
     assert attention.CLASSES <= 256
-    sent = docs.sparkSession.sparkContext.broadcast((heavy, class_of.astype(np.uint8), in_class))
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (list(heavy), np.array([0, *heavy.values()], np.int64), class_of.astype(np.uint8), in_class))
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
-        heavy, classes, in_class = sent.value
+        names, heavy, classes, in_class = sent.value
+        names = pa.array(names, pa.string())
         word_ids = _word_ids(tokenizer)
         row, number = TaskContext.get().partitionId() << 40, TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -132,8 +126,7 @@ def encode(docs: DataFrame, training: str, tokenizer: str, end_id: int, class_of
             for part in slices(batch, text_column, SLICE_BYTES):
                 found, starts = words(part[text_column], SPACED)
                 distinct, codes = encoded(found)
-                held = distinct.to_numpy(zero_copy_only=False).tolist()
-                sub, begins = word_ids(held)
+                sub, begins = word_ids(distinct)
                 lengths = np.diff(begins)[codes]
                 at = spans(begins[codes], lengths)
                 before = np.concatenate(([0], np.cumsum(lengths)))[starts]
@@ -143,7 +136,7 @@ def encode(docs: DataFrame, training: str, tokenizer: str, end_id: int, class_of
                 share = np.concatenate(([0.0], np.cumsum(in_class[sub])))
                 share = (share[begins[1:]] - share[begins[:-1]])[codes]
                 # heavy words have their counts here, the others go out with their texts
-                c = np.array([heavy.get(w, 0) for w in held], np.int64)
+                c = heavy[np.asarray(pc.fill_null(pc.index_in(distinct, value_set=names), -1)) + 1]
                 text_of = owners(starts)
                 keys = row + np.arange(len(part), dtype=np.int64)
                 light = c[codes] == 0

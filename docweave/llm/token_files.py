@@ -19,6 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
@@ -35,8 +36,8 @@ MEMO_ENTRIES = 400_000
 
 
 class LibraryEncoder:
-    """Encodes lists of texts with a tokenizers file. Runs of chunks that each begin with a
-    space are encoded as one text, because calls cost more than the merges, and the ids are
+    """Encodes lists of texts with a tokenizers file. Runs of texts that may be joined (see ChunkEncoder)
+    are encoded as one text, because calls cost more than the merges, and the ids are
     cut again by the tokens' lengths in bytes."""
 
     def __init__(self, path: str):
@@ -46,15 +47,18 @@ class LibraryEncoder:
         # in byte-level vocabularies one character stands for one byte
         self.length = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
 
-    def __call__(self, texts: list[str], chunks: bool) -> tuple[np.ndarray, np.ndarray]:
-        run = JOINED_CHUNKS if chunks else 1
-        joined = ["".join(texts[i:i + run]) for i in range(0, len(texts), run)]
+    def __call__(self, texts: list[str], joint: str) -> tuple[np.ndarray, np.ndarray]:
+        run, between = JOINED_CHUNKS if joint else 1, joint.strip(" ")
+        joined = [between.join(texts[i:i + run]) + between for i in range(0, len(texts), run)]
         found = [self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in joined]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        if chunks:  # cut where the chunks' bytes end
-            ends = np.cumsum(np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)))
-            sizes = np.diff(np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1, prepend=0)
+        if joint:  # cut where the texts' bytes end
+            ends = np.cumsum(np.asarray(pc.binary_length(pa.array(texts, pa.string()))) + len(between), dtype=np.int64)
+            stops = np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1
+            sizes = np.diff(stops, prepend=0)
+            if between:  # the token of each line end goes
+                ids, sizes = np.delete(ids, stops - 1), sizes - 1
         return ids, sizes
 
 

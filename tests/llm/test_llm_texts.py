@@ -101,6 +101,32 @@ def test_chunk_memo_never_changes_ids(monkeypatch, reference):
         assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [reference.encode_ordinary(t or "") for t in texts]
 
 
+def test_signs_and_line_ends_part_words_from_pieces(reference):
+    library, asked = token_files.LibraryEncoder(LIBRARY), []
+    encoder = chunks.ChunkEncoder(lambda texts, joint: (asked.extend(texts), library(texts, joint))[1])
+    texts = ["word, word.\nword word's élan, élan ", "word  word!\n\nword\n élan\u00a0 word", "×, \u3000word\u2028 x", "  ", None,
+             "a" * 100 + " word"]
+    for _ in range(2):
+        ids, starts = encoder(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [reference.encode_ordinary(t or "") for t in texts]
+    # words are encoded once, whatever signs follow them; only long pieces are encoded anew
+    assert Counter(asked)[" word"] == 1 and " word's" not in asked and Counter(asked)["a" * 100] == 2
+    names = encoder.table.names.to_pylist()
+    assert {" word", "word", ",", ".\n", "'s", " élan"} <= set(names) and len(names) == len(set(names))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cuts_never_change_ids(reference, seed):
+    rng = random.Random(seed)
+    signs = [*" \n\t\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u3000\u200b", *"  \n\nabsÉé×÷ßыŋʼ中1½²,.'’_\u0301\u0375\u0482😀", "'s", "'re", "word", "<|endoftext|>"]
+    texts = ["".join(rng.choices(signs, k=rng.choice([1, 2, 3, 9, 40]))) for _ in range(1500)]
+    encoder = chunks.ChunkEncoder(token_files.LibraryEncoder(LIBRARY), 500)
+    for at in range(0, len(texts), 300):
+        part = texts[at:at + 300]
+        ids, starts = encoder(pa.array(part))
+        assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [reference.encode_ordinary(t) for t in part]
+
+
 def test_token_files(spark, odd, nothing):
     library = Tokenizer.from_file(LIBRARY)
     location = new_location(spark, "test_tokens")
