@@ -7,6 +7,7 @@ counts. The class before enters directly, and one attention head looks back over
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,8 +20,9 @@ SINGLE = 174              # ids with a class of their own
 HEAD = 8
 WINDOW = 32
 STRIDE = 24               # each later window scores its last STRIDE positions
-AT_ONCE = 512             # windows scored together
-_CAUSAL = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
+AT_ONCE = 192             # windows scored together
+MOST = 80                 # logits beyond it, either way, count as it
+_CAUSAL = np.tri(WINDOW, dtype=np.float32)
 _BACK = np.maximum(0, np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :])
 
 SHAPES = {"query": (CLASSES, HEAD), "key": (CLASSES, HEAD), "value": (CLASSES, HEAD), "near": (WINDOW,),
@@ -75,49 +77,65 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def attend(w: dict[str, np.ndarray], before: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Attention over windows of classes (windows x WINDOW): context vectors, and what the
-    backward pass needs."""
-    q, k, v = w["query"][before], w["key"][before], w["value"][before]
-    scores = np.matmul(q, k.transpose(0, 2, 1))
-    np.clip(scores, -30, 30, out=scores)
-    scores += w["near"][_BACK] + _CAUSAL
-    np.exp(scores, out=scores)
-    scores /= scores.sum(axis=2, keepdims=True)
-    return np.matmul(scores, v), q, k, v, scores
+def pair_weights(w: dict[str, np.ndarray]) -> np.ndarray:
+    """Unscaled attention of each class to each class: queries and keys know only the class, so what two
+    places give each other is read from a table."""
+    return np.exp(np.clip(w["query"] @ w["key"].T, -30, 30))
 
 
-def by_group(classes: np.ndarray) -> list[np.ndarray]:
-    """Positions of the classes of each group."""
-    group = (classes // MEMBERS).astype(np.int8)
-    return np.split(np.argsort(group, kind="stable"), np.cumsum(np.bincount(group, minlength=GROUPS))[:-1])
+def attend(w: dict[str, np.ndarray], before: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
+    """Attention over windows of classes (windows x WINDOW), from the places `first` on: context vectors, and what
+    the backward pass needs: weights before they are divided, what each was divided by, values, and cells of the table."""
+    cells = (before * CLASSES)[:, first:, None] + before[:, None, :]
+    scores = pair_weights(w).ravel().take(cells)
+    scores *= (np.exp(w["near"])[_BACK] * _CAUSAL)[first:].astype(scores.dtype)
+    values = np.column_stack((w["value"], np.ones(CLASSES, w["value"].dtype)))[before]
+    sums = np.matmul(scores, values)  # the last column sums the weights
+    return sums[:, :, :HEAD] / sums[:, :, HEAD:], scores, sums[:, :, HEAD:], values[:, :, :HEAD], cells
 
 
-def picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log softmax of each row at one place."""
-    top = logits.max(axis=1)
-    logits -= top[:, None]
-    target = logits[np.arange(len(logits)), at]
-    return target - np.log(np.exp(logits, out=logits).sum(axis=1))
+def by_group(after: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of the classes by group, and the slice of each group in it."""
+    order = np.argsort((after // MEMBERS).astype(np.int8), kind="stable")
+    borders = np.concatenate(([0], np.cumsum(np.bincount(after // MEMBERS, minlength=GROUPS)))).tolist()
+    return order, [(n, slice(i, j)) for n, (i, j) in enumerate(zip(borders, borders[1:])) if i < j]
+
 
+def group_logits(w: dict[str, np.ndarray], context: np.ndarray, before: np.ndarray) -> np.ndarray:
+    out = context @ w["group"]
+    out += w["direct_group"].take(before, axis=0)
+    return np.clip(out, -MOST, MOST, out=out)
 
-def context_of(w: dict[str, np.ndarray], before: np.ndarray) -> np.ndarray:
-    """The context vectors alone: weights are summed first and the short vectors divided."""
-    scores = np.matmul(w["query"][before], w["key"][before].transpose(0, 2, 1))
-    np.clip(scores, -30, 30, out=scores)
-    scores += w["near"][_BACK] + _CAUSAL
-    np.exp(scores, out=scores)
-    return np.matmul(scores, w["value"][before]) / scores.sum(axis=2, keepdims=True)
+
+def member_logits(w: dict[str, np.ndarray], context: np.ndarray, cell: np.ndarray,
+                  groups: list[tuple[int, slice]]) -> np.ndarray:
+    """Of positions in order of the group; a cell is the class before and the group."""
+    out = w["direct"].reshape(-1, MEMBERS).take(cell, axis=0)
+    for n, some in groups:
+        out[some] += context[some] @ w["member"][n]
+    return np.clip(out, -MOST, MOST, out=out)
+
+
+def picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of each row at one place."""
+    target = logits.ravel()[np.arange(len(logits)) * logits.shape[1] + at]
+    return target - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype))
 
 
 def log_probabilities(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
-                      wanted: np.ndarray) -> np.ndarray:
-    """Natural log probability of the classes `after` at the wanted positions."""
-    context, before, after = context_of(w, before)[wanted], before[wanted], after[wanted]
-    out = picked(context @ w["group"] + w["direct_group"][before], after // MEMBERS)
-    for g, at in enumerate(by_group(after)):
-        if len(at):
-            out[at] += picked(context[at] @ w["member"][g] + w["direct"][before[at], g], after[at] % MEMBERS)
+                      wanted: np.ndarray, first: int = 0) -> np.ndarray:
+    """Natural log probability of the classes `after` at the wanted positions, all at `first` or later in their window."""
+    context = attend(w, before, first)[0].reshape(-1, HEAD)
+    place = np.flatnonzero(wanted[:, first:])
+    before, after = before[:, first:].ravel(), after[:, first:].ravel()
+    order, groups = by_group(after[place])
+    place = place[order]
+    context, own, target = context.take(place, axis=0), before[place], after[place]
+    group = target // MEMBERS
+    found = picked(group_logits(w, context, own), group)
+    found += picked(member_logits(w, context, own * GROUPS + group, groups), target % MEMBERS)
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
@@ -135,13 +153,15 @@ def line_scores(w: dict[str, np.ndarray], flat: np.ndarray, first: np.ndarray, c
     start, stop = first[of] + number * STRIDE, (first + counts)[of]
     fresh = np.where((number > 0) | later[of], seen, 0)
     out, place = np.zeros(len(counts)), np.arange(WINDOW)
-    for at in range(0, len(of), AT_ONCE):
-        some = slice(at, at + AT_ONCE)
-        index = start[some, None] + place
-        wanted = (place >= fresh[some, None]) & (index < stop[some, None])
-        index = np.minimum(index, len(flat) - 2)
-        found = log_probabilities(w, flat[index].astype(np.int16), flat[index + 1].astype(np.int16), wanted)
-        out += np.bincount(np.repeat(of[some], wanted.sum(axis=1)), found, len(counts))
+    for begin in (0, seen):  # windows that score all their positions, and the others
+        windows = np.flatnonzero(fresh == begin)
+        for at in range(0, len(windows), AT_ONCE):
+            some = windows[at:at + AT_ONCE]
+            index = start[some, None] + place
+            wanted = (place >= begin) & (index < stop[some, None])
+            index = np.minimum(index, len(flat) - 2)
+            found = log_probabilities(w, flat[index].astype(np.intp), flat[index + 1].astype(np.intp), wanted, begin)
+            out += np.bincount(np.repeat(of[some], wanted.sum(axis=1)), found, len(counts))
     return out
 
 
@@ -156,25 +176,23 @@ def score(model: Model, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def sums_by(keys: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows of each key below `size`."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    out = np.zeros((size, rows.shape[1]), rows.dtype)
-    out[keys[first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+    width = rows.shape[1]
+    cells = (keys.astype(np.intp) * width)[:, None] + np.arange(width)
+    return np.bincount(cells.ravel(), rows.ravel(), size * width).reshape(size, width).astype(rows.dtype)
 
 
 def gradients(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
               wanted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the wanted positions and its gradients. Positions are put in order of the group
-    to predict, so that each group is a slice, and gradients by class are sums over sorted keys."""
-    context, q, k, v, share = attend(w, before)
+    to predict, so that each group is a slice, and gradients by class are sums over keys."""
+    before, after = before.astype(np.intp), after.astype(np.intp)
+    context, share, divisor, v, cells = attend(w, before)
+    share /= divisor
     place = np.flatnonzero(wanted)
-    place = place[np.argsort((after.ravel()[place] // MEMBERS).astype(np.int8), kind="stable")]
-    flat, own, target = context.reshape(-1, HEAD)[place], before.ravel()[place], after.ravel()[place]
+    order, slices = by_group(after.ravel()[place])
+    place = place[order]
+    flat, own, target = context.reshape(-1, HEAD).take(place, axis=0), before.ravel()[place], after.ravel()[place]
     group = target // MEMBERS
-    borders = np.searchsorted(group, np.arange(GROUPS + 1))
-    slices = [(n, slice(i, j)) for n, (i, j) in enumerate(zip(borders, borders[1:])) if i < j]
     scale = flat.dtype.type(1 / max(1, len(place)))
     at = np.arange(len(place))
     loss, g = 0.0, {"member": np.zeros_like(w["member"])}
@@ -182,45 +200,42 @@ def gradients(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
     def step(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Adds to the loss; turns logits into its gradient by them."""
         nonlocal loss
-        logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        loss -= float(np.log(logits[at, target] + 1e-12).sum() * scale)
-        logits[at, target] -= 1
-        logits *= scale
+        sums = logits @ np.ones(logits.shape[1], logits.dtype)
+        cell = at * logits.shape[1] + target
+        held = logits.reshape(-1)
+        loss -= float(np.log(held[cell] / sums + 1e-12).sum() * scale)
+        logits *= (scale / sums)[:, None]
+        held[cell] -= scale
         return logits
 
-    p = step(flat @ w["group"] + w["direct_group"][own], group)
-    g["group"], g["direct_group"] = flat.T @ p, sums_by(own, p, CLASSES) if len(own) else np.zeros_like(w["direct_group"])
+    p = step(group_logits(w, flat, own), group)
+    g["group"], g["direct_group"] = flat.T @ p, sums_by(own, p, CLASSES)
     d_flat = p @ w["group"].T
-    cell = own.astype(np.int16) * GROUPS + group.astype(np.int16)
-    logits = w["direct"].reshape(-1, MEMBERS)[cell]
-    for n, some in slices:
-        logits[some] += flat[some] @ w["member"][n]
-    p = step(logits, target % MEMBERS)
+    cell = own * GROUPS + group
+    p = step(member_logits(w, flat, cell, slices), target % MEMBERS)
     for n, some in slices:
         g["member"][n] = flat[some].T @ p[some]
         d_flat[some] += p[some] @ w["member"][n].T
-    g["direct"] = (sums_by(cell, p, CLASSES * GROUPS) if len(own) else np.zeros_like(w["direct"])).reshape(w["direct"].shape)
+    g["direct"] = sums_by(cell, p, CLASSES * GROUPS).reshape(w["direct"].shape)
     d_context = np.zeros_like(context)
     d_context.reshape(-1, HEAD)[place] = d_flat
-    d_scores = np.matmul(d_context, v.transpose(0, 2, 1))
-    d_scores -= (d_context * context).sum(axis=2, keepdims=True)  # sum of d_share * share over the places looked at
+    # a further column takes away the sum of d_share * share over the places looked at
+    d_scores = np.matmul(np.concatenate((d_context, -(d_context * context).sum(axis=2, keepdims=True)), axis=2),
+                         np.concatenate((v, np.ones_like(v[:, :, :1])), axis=2).transpose(0, 2, 1))
     d_scores *= share
     g["near"] = np.bincount(_BACK.ravel(), d_scores.sum(axis=0).ravel(), WINDOW).astype(np.float32)
-    moved = np.concatenate((np.matmul(d_scores, k), np.matmul(d_scores.transpose(0, 2, 1), q),
-                            np.matmul(share.transpose(0, 2, 1), d_context)), axis=2)
-    by_class = sums_by(before.ravel().astype(np.int16), moved.reshape(-1, 3 * HEAD), CLASSES)
-    g["query"], g["key"], g["value"] = np.split(by_class, 3, axis=1)
+    pairs = np.bincount(cells.ravel(), d_scores.ravel(), CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(flat.dtype)
+    g["query"], g["key"] = pairs @ w["key"], pairs.T @ w["query"]
+    g["value"] = sums_by(before.ravel(), np.matmul(share.transpose(0, 2, 1), d_context).reshape(-1, HEAD), CLASSES)
     return loss, g
 
 
 def train(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray, wanted: np.ndarray,
           batch: int = 256, least_steps: int = 150, rate: float = 0.02) -> dict[str, np.ndarray]:
     """Adam over minibatches of windows, in a fixed shuffled order, at least `least_steps`."""
-    w = {n: x.copy() for n, x in w.items()}
-    first = {n: np.zeros_like(x) for n, x in w.items()}
-    second = {n: np.zeros_like(x) for n, x in w.items()}
+    flat = np.concatenate([w[n].ravel() for n in SHAPES])
+    w, first, second = unpacked(flat), np.zeros_like(flat), np.zeros_like(flat)  # w: views of flat
     rng, step = np.random.default_rng(1), 0
     total = max(least_steps, -(-len(before) // batch))
     while step < total:
@@ -228,12 +243,14 @@ def train(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray, wante
         for at in range(0, len(order), batch):
             some = order[at:at + batch]
             _, g = gradients(w, before[some], after[some], wanted[some])
+            g = np.concatenate([g[n].ravel() for n in SHAPES])
             step += 1
-            pace = rate * (1 - 0.9 * step / total) * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)
-            for n in w:
-                first[n] = 0.9 * first[n] + 0.1 * g[n]
-                second[n] = 0.99 * second[n] + 0.01 * g[n] ** 2
-                w[n] -= (pace * first[n] / (np.sqrt(second[n]) + 1e-6)).astype(np.float32)
+            pace = rate * (1 - 0.9 * step / total) * math.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)
+            first *= 0.9
+            first += 0.1 * g
+            second *= 0.99
+            second += 0.01 * g ** 2
+            flat -= pace * first / (np.sqrt(second) + 1e-6)
             if step >= total:
                 break
     return w

@@ -32,12 +32,12 @@ from docweave.llm.common import SPACED, encoded, in_batches, owners, per_text, s
 from docweave.llm.token_files import LibraryEncoder
 from docweave.sources.storage import stored
 
-HEAVY = 20_000
+HEAVY = 100_000
 SHARD_WINDOWS = 40_000  # at least, so one pass is some 150 steps or more
 LINE_WINDOWS = 66         # a line's positions are whole windows and whole strides
 ROUNDS = 1
-SLICE_BYTES = 2 << 20
-MEMO_WORDS = 120_000
+SLICE_BYTES = 4 << 20
+MEMO_WORDS = 300_000
 
 
 class WordIds:
@@ -48,8 +48,7 @@ class WordIds:
 
     def __call__(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and where each word's start."""
-        held, begins, lengths = self.encoder.ids(pc.binary_join_element_wise("", distinct, " "))
-        return held[spans(begins, lengths)], np.concatenate(([0], np.cumsum(lengths)))
+        return self.encoder(pc.binary_join_element_wise("", distinct, " "))
 
 
 def _word_ids(path: str) -> WordIds:

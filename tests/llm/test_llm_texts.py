@@ -456,3 +456,33 @@ def test_posteriors_equal_em_over_single_rows(spark):
     for r, p in zip(rows, posterior):
         assert abs(found[r[0]][0] - p) < 1e-6
         assert found[r[0]][1] == (found[r[0]][0] >= quality.GOOD_LIMIT)
+
+
+def test_words_are_encoded_once_whatever_signs_follow(reference):
+    found = ["word", "word,", "word.%%", "\u00a0word", "élan", "élan,", "word"[::-1] * 30]
+    word_ids = lm_score.WordIds(LIBRARY)
+    ids, starts = word_ids(pa.array(found))
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [reference.encode_ordinary(" " + w) for w in found]
+    assert {" word", ",", ".%%", " élan"} <= set(word_ids.encoder.table.names.to_pylist())
+
+
+def test_attention_by_table_equals_attention_by_vectors():
+    rng = np.random.default_rng(4)
+    w = {n: rng.normal(size=s) for n, s in attention.SHAPES.items()}
+    before = rng.integers(0, attention.CLASSES, (5, attention.WINDOW))
+    back = np.arange(attention.WINDOW)[:, None] - np.arange(attention.WINDOW)
+    scores = np.clip(w["query"][before] @ w["key"][before].transpose(0, 2, 1), -30, 30) + np.where(back >= 0, w["near"][back], -np.inf)
+    share = np.exp(scores) / np.exp(scores).sum(axis=2, keepdims=True)
+    for first in (0, attention.WINDOW - attention.STRIDE):
+        assert np.allclose(attention.attend(w, before, first)[0], (share @ w["value"][before])[:, first:])
+
+
+def test_extreme_logits_stay_finite():
+    w = attention.start_weights(np.log(np.full(attention.CLASSES, 1 / attention.CLASSES)))
+    w["direct"][:], w["direct_group"][:] = -500, 500
+    before, after = np.random.default_rng(1).integers(0, attention.CLASSES, (2, 3, attention.WINDOW))
+    wanted = np.ones(before.shape, bool)
+    loss, g = attention.gradients(w, before, after, wanted)
+    found = attention.log_probabilities(w, before, after, wanted)
+    assert np.allclose(found, -np.log(attention.CLASSES), atol=1e-4) and np.isclose(loss, np.log(attention.CLASSES))
+    assert all(np.isfinite(x).all() for x in g.values())
