@@ -20,7 +20,8 @@ SINGLE = 174              # ids with a class of their own
 HEAD = 8
 WINDOW = 32
 STRIDE = 24               # each later window scores its last STRIDE positions
-AT_ONCE = 192             # windows scored together
+AT_ONCE = 256             # windows scored together
+BLOCK = 128               # windows whose attention is computed together
 MOST = 80                 # logits beyond it, either way, count as it
 _CAUSAL = np.tri(WINDOW, dtype=np.float32)
 _BACK = np.maximum(0, np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :])
@@ -77,43 +78,91 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def pair_weights(w: dict[str, np.ndarray]) -> np.ndarray:
-    """Unscaled attention of each class to each class: queries and keys know only the class, so what two
-    places give each other is read from a table."""
-    return np.exp(np.clip(w["query"] @ w["key"].T, -30, 30))
+def _across(table: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Rows of the table for windows of classes, as the columns of one matrix for each window."""
+    return table.T.take(classes, axis=1).transpose(1, 0, 2)
 
 
-def attend(w: dict[str, np.ndarray], before: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
-    """Attention over windows of classes (windows x WINDOW), from the places `first` on: context vectors, and what
-    the backward pass needs: weights before they are divided, what each was divided by, values, and cells of the table."""
-    cells = (before * CLASSES)[:, first:, None] + before[:, None, :]
-    scores = pair_weights(w).ravel().take(cells)
-    scores *= (np.exp(w["near"])[_BACK] * _CAUSAL)[first:].astype(scores.dtype)
-    values = np.column_stack((w["value"], np.ones(CLASSES, w["value"].dtype)))[before]
-    sums = np.matmul(scores, values)  # the last column sums the weights
-    return sums[:, :, :HEAD] / sums[:, :, HEAD:], scores, sums[:, :, HEAD:], values[:, :, :HEAD], cells
+def _longest(rows: np.ndarray) -> float:
+    return math.sqrt(float((rows.astype(float) ** 2).sum(axis=-1).max()))
 
 
-def by_group(after: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-    """An order of the classes by group, and the slice of each group in it."""
-    order = np.argsort((after // MEMBERS).astype(np.int8), kind="stable")
-    borders = np.concatenate(([0], np.cumsum(np.bincount(after // MEMBERS, minlength=GROUPS)))).tolist()
+def _limited(x: np.ndarray, most: float, bound: float) -> np.ndarray:
+    """x within -most and most; `bound` is one that x surely keeps, so that often nothing is to be done."""
+    return x if bound < most else np.clip(x, -most, most, out=x)
+
+
+@dataclass
+class Tables:
+    """What a step or block reads of the weights: value vectors with a 1 that sums weights, what distance adds to the
+    logarithm of a weight, and bounds that the products and logits surely keep."""
+
+    value: np.ndarray
+    near: np.ndarray
+    bound: float
+    most_group: float
+    most_member: float
+
+
+def tables(w: dict[str, np.ndarray]) -> Tables:
+    kind = w["query"].dtype
+    # a context is a mean of values, so no longer than the longest
+    most = [1.001 * (float(np.abs(w[direct]).max()) + _longest(w["value"]) * _longest(columns))
+            for direct, columns in (("direct_group", w["group"].T), ("direct", w["member"].transpose(0, 2, 1)))]
+    return Tables(np.column_stack((w["value"], np.ones(CLASSES, kind))),
+                  np.where(_CAUSAL > 0, w["near"][_BACK], -np.inf).astype(kind),
+                  1.001 * _longest(w["query"]) * _longest(w["key"]), *most)
+
+
+def attend(w: dict[str, np.ndarray], before: np.ndarray, first: int = 0, stop: int = WINDOW,
+           held: Tables | None = None) -> tuple[np.ndarray, ...]:
+    """Attention over windows of classes (windows x WINDOW) for the places from `first` to `stop`: context vectors, and
+    what the backward pass needs: weights before they are divided, and what each was divided by."""
+    held, seen = held or tables(w), before[:, :stop]
+    scores = np.matmul(w["query"].take(before[:, first:stop], axis=0), _across(w["key"], seen))
+    _limited(scores, 30, held.bound)
+    scores += held.near[first:stop, :stop]
+    np.exp(scores, out=scores)
+    sums = np.matmul(scores, held.value.take(seen, axis=0))
+    return sums[:, :, :HEAD] / sums[:, :, HEAD:], scores, sums[:, :, HEAD:]
+
+
+def blocks(n: int, first: int = 0) -> list[tuple[slice, int, int]]:
+    """Windows and the places of them, from `first` on, whose attention is computed together: few enough for a core's
+    cache, and the places of the first half look at fewer."""
+    half = (first + WINDOW) // 2
+    return [(slice(i, i + BLOCK), *part) for i in range(0, n, BLOCK) for part in ((first, half), (half, WINDOW))]
+
+
+def contexts(w: dict[str, np.ndarray], held: Tables, before: np.ndarray, first: int = 0) -> np.ndarray:
+    """Context vectors of all places from `first` on."""
+    out = np.empty((len(before), WINDOW - first, HEAD), w["query"].dtype)
+    for some, start, stop in blocks(len(before), first):
+        out[some, start - first:stop - first] = attend(w, before[some], start, stop, held)[0]
+    return out
+
+
+def by_group(before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of places by group and then by the class before, and the slice of each group in it."""
+    group = after // MEMBERS
+    order = np.argsort((group * CLASSES + before).astype(np.int16), kind="stable")
+    borders = np.concatenate(([0], np.cumsum(np.bincount(group, minlength=GROUPS)))).tolist()
     return order, [(n, slice(i, j)) for n, (i, j) in enumerate(zip(borders, borders[1:])) if i < j]
 
 
-def group_logits(w: dict[str, np.ndarray], context: np.ndarray, before: np.ndarray) -> np.ndarray:
+def group_logits(w: dict[str, np.ndarray], held: Tables, context: np.ndarray, before: np.ndarray) -> np.ndarray:
     out = context @ w["group"]
     out += w["direct_group"].take(before, axis=0)
-    return np.clip(out, -MOST, MOST, out=out)
+    return _limited(out, MOST, held.most_group)
 
 
-def member_logits(w: dict[str, np.ndarray], context: np.ndarray, cell: np.ndarray,
+def member_logits(w: dict[str, np.ndarray], held: Tables, context: np.ndarray, cell: np.ndarray,
                   groups: list[tuple[int, slice]]) -> np.ndarray:
     """Of positions in order of the group; a cell is the class before and the group."""
     out = w["direct"].reshape(-1, MEMBERS).take(cell, axis=0)
     for n, some in groups:
         out[some] += context[some] @ w["member"][n]
-    return np.clip(out, -MOST, MOST, out=out)
+    return _limited(out, MOST, held.most_member)
 
 
 def picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -122,18 +171,19 @@ def picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return target - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype))
 
 
-def log_probabilities(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
-                      wanted: np.ndarray, first: int = 0) -> np.ndarray:
+def log_probabilities(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray, wanted: np.ndarray,
+                      first: int = 0, held: Tables | None = None) -> np.ndarray:
     """Natural log probability of the classes `after` at the wanted positions, all at `first` or later in their window."""
-    context = attend(w, before, first)[0].reshape(-1, HEAD)
+    held = held or tables(w)
+    context = contexts(w, held, before, first).reshape(-1, HEAD)
     place = np.flatnonzero(wanted[:, first:])
     before, after = before[:, first:].ravel(), after[:, first:].ravel()
-    order, groups = by_group(after[place])
+    order, groups = by_group(before[place], after[place])
     place = place[order]
     context, own, target = context.take(place, axis=0), before[place], after[place]
     group = target // MEMBERS
-    found = picked(group_logits(w, context, own), group)
-    found += picked(member_logits(w, context, own * GROUPS + group, groups), target % MEMBERS)
+    found = picked(group_logits(w, held, context, own), group)
+    found += picked(member_logits(w, held, context, own * GROUPS + group, groups), target % MEMBERS)
     out = np.empty_like(found)
     out[order] = found
     return out
@@ -152,7 +202,7 @@ def line_scores(w: dict[str, np.ndarray], flat: np.ndarray, first: np.ndarray, c
     number = spans(np.zeros(len(counts), np.int64), windows)
     start, stop = first[of] + number * STRIDE, (first + counts)[of]
     fresh = np.where((number > 0) | later[of], seen, 0)
-    out, place = np.zeros(len(counts)), np.arange(WINDOW)
+    out, place, held = np.zeros(len(counts)), np.arange(WINDOW), tables(w)
     for begin in (0, seen):  # windows that score all their positions, and the others
         windows = np.flatnonzero(fresh == begin)
         for at in range(0, len(windows), AT_ONCE):
@@ -160,7 +210,7 @@ def line_scores(w: dict[str, np.ndarray], flat: np.ndarray, first: np.ndarray, c
             index = start[some, None] + place
             wanted = (place >= begin) & (index < stop[some, None])
             index = np.minimum(index, len(flat) - 2)
-            found = log_probabilities(w, flat[index].astype(np.intp), flat[index + 1].astype(np.intp), wanted, begin)
+            found = log_probabilities(w, flat[index].astype(np.intp), flat[index + 1].astype(np.intp), wanted, begin, held)
             out += np.bincount(np.repeat(of[some], wanted.sum(axis=1)), found, len(counts))
     return out
 
@@ -174,22 +224,32 @@ def score(model: Model, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
                                 np.zeros(len(counts), bool))
 
 
+def by_class(classes: np.ndarray) -> np.ndarray:
+    return np.argsort(classes.astype(np.uint8), kind="stable")
+
+
 def sums_by(keys: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows of each key below `size`."""
-    width = rows.shape[1]
-    cells = (keys.astype(np.intp) * width)[:, None] + np.arange(width)
-    return np.bincount(cells.ravel(), rows.ravel(), size * width).reshape(size, width).astype(rows.dtype)
+    """Sums of the rows of each key below `size`; keys must ascend."""
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    if len(keys):
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        out[keys[first]] = np.add.reduceat(rows, first, axis=0)
+    return out
 
 
 def gradients(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
               wanted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the wanted positions and its gradients. Positions are put in order of the group
-    to predict, so that each group is a slice, and gradients by class are sums over keys."""
+    to predict and the class before, so that each group is a slice, and gradients by class are sums over runs of
+    equal keys. Attention goes by blocks of windows that stay in a core's cache."""
     before, after = before.astype(np.intp), after.astype(np.intp)
-    context, share, divisor, v, cells = attend(w, before)
-    share /= divisor
+    held, parts = tables(w), blocks(len(before))
+    kept, context = [], np.empty((*before.shape, HEAD), w["query"].dtype)
+    for some, first, stop in parts:
+        context[some, first:stop], *rest = attend(w, before[some], first, stop, held)
+        kept.append(rest)
     place = np.flatnonzero(wanted)
-    order, slices = by_group(after.ravel()[place])
+    order, slices = by_group(before.ravel()[place], after.ravel()[place])
     place = place[order]
     flat, own, target = context.reshape(-1, HEAD).take(place, axis=0), before.ravel()[place], after.ravel()[place]
     group = target // MEMBERS
@@ -203,31 +263,41 @@ def gradients(w: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray,
         np.exp(logits, out=logits)
         sums = logits @ np.ones(logits.shape[1], logits.dtype)
         cell = at * logits.shape[1] + target
-        held = logits.reshape(-1)
-        loss -= float(np.log(held[cell] / sums + 1e-12).sum() * scale)
+        line = logits.reshape(-1)
+        loss -= float(np.log(line[cell] / sums + 1e-12).sum() * scale)
         logits *= (scale / sums)[:, None]
-        held[cell] -= scale
+        line[cell] -= scale
         return logits
 
-    p = step(group_logits(w, flat, own), group)
-    g["group"], g["direct_group"] = flat.T @ p, sums_by(own, p, CLASSES)
+    p = step(group_logits(w, held, flat, own), group)
+    g["group"] = flat.T @ p
+    order = by_class(own)
+    g["direct_group"] = sums_by(own[order], p.take(order, axis=0), CLASSES)
     d_flat = p @ w["group"].T
-    cell = own * GROUPS + group
-    p = step(member_logits(w, flat, cell, slices), target % MEMBERS)
+    p = step(member_logits(w, held, flat, own * GROUPS + group, slices), target % MEMBERS)
     for n, some in slices:
         g["member"][n] = flat[some].T @ p[some]
         d_flat[some] += p[some] @ w["member"][n].T
-    g["direct"] = sums_by(cell, p, CLASSES * GROUPS).reshape(w["direct"].shape)
+    g["direct"] = sums_by(group * CLASSES + own, p, GROUPS * CLASSES).reshape(GROUPS, CLASSES, MEMBERS).transpose(1, 0, 2)
     d_context = np.zeros_like(context)
     d_context.reshape(-1, HEAD)[place] = d_flat
-    # a further column takes away the sum of d_share * share over the places looked at
-    d_scores = np.matmul(np.concatenate((d_context, -(d_context * context).sum(axis=2, keepdims=True)), axis=2),
-                         np.concatenate((v, np.ones_like(v[:, :, :1])), axis=2).transpose(0, 2, 1))
-    d_scores *= share
-    g["near"] = np.bincount(_BACK.ravel(), d_scores.sum(axis=0).ravel(), WINDOW).astype(np.float32)
-    pairs = np.bincount(cells.ravel(), d_scores.ravel(), CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(flat.dtype)
-    g["query"], g["key"] = pairs @ w["key"], pairs.T @ w["query"]
-    g["value"] = sums_by(before.ravel(), np.matmul(share.transpose(0, 2, 1), d_context).reshape(-1, HEAD), CLASSES)
+    # what is taken away: the sum of d_share * share over the places looked at
+    away = ((d_context * context).reshape(-1, HEAD) @ np.ones(HEAD, flat.dtype)).reshape(before.shape)
+    by_place, near = np.zeros((*before.shape, 3 * HEAD), flat.dtype), np.zeros((WINDOW, WINDOW), flat.dtype)
+    for (some, first, stop), (scores, divisor) in zip(parts, kept):
+        c, d = before[some], d_context[some, first:stop] / divisor
+        d_scores = np.matmul(d, _across(w["value"], c[:, :stop]))
+        d_scores -= away[some, first:stop, None] / divisor
+        d_scores *= scores
+        near[first:stop, :stop] += d_scores.sum(axis=0)
+        np.matmul(d_scores, w["key"].take(c[:, :stop], axis=0), out=by_place[some, first:stop, :HEAD])
+        by_place[some, :stop, HEAD:2 * HEAD] += np.matmul(
+            d_scores.transpose(0, 2, 1), w["query"].take(c[:, first:stop], axis=0))
+        by_place[some, :stop, 2 * HEAD:] += np.matmul(scores.transpose(0, 2, 1), d)
+    g["near"] = np.bincount(_BACK.ravel(), near.ravel(), WINDOW).astype(flat.dtype)
+    order = by_class(before.ravel())
+    sums = sums_by(before.ravel()[order], by_place.reshape(-1, 3 * HEAD).take(order, axis=0), CLASSES)
+    g["query"], g["key"], g["value"] = np.split(sums, 3, axis=1)
     return loss, g
 
 

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm import attention
 from docweave.llm.chunks import ChunkEncoder
-from docweave.llm.common import SPACED, encoded, in_batches, owners, per_text, slices, spans, words, worker_cache
+from docweave.llm.common import (
+    SPACED, encoded, in_batches, joined, owners, per_text, slices, spans, words, worker_cache)
 from docweave.llm.token_files import LibraryEncoder
 from docweave.sources.storage import stored
 
@@ -37,6 +38,7 @@ SHARD_WINDOWS = 40_000  # at least, so one pass is some 150 steps or more
 LINE_WINDOWS = 66         # a line's positions are whole windows and whole strides
 ROUNDS = 1
 SLICE_BYTES = 4 << 20
+JOINED_BYTES = 1 << 19
 MEMO_WORDS = 300_000
 
 
@@ -70,7 +72,7 @@ def word_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
 def id_counts(counts: DataFrame, tokenizer: str, size: int) -> np.ndarray:
     """How often each subword id occurs in the counted words."""
     def run(batches):
-        for batch in batches:
+        for batch in joined(batches, "word", JOINED_BYTES):  # each call looks through all remembered words
             ids, starts = _word_ids(tokenizer)(batch["word"])
             weights = np.repeat(np.asarray(batch["n"]), np.diff(starts))
             sums = np.bincount(ids, weights, size)

@@ -486,3 +486,50 @@ def test_extreme_logits_stay_finite():
     found = attention.log_probabilities(w, before, after, wanted)
     assert np.allclose(found, -np.log(attention.CLASSES), atol=1e-4) and np.isclose(loss, np.log(attention.CLASSES))
     assert all(np.isfinite(x).all() for x in g.values())
+
+
+def test_attention_by_parts_equals_whole_windows():
+    rng = np.random.default_rng(8)
+    w = {n: rng.normal(size=s) for n, s in attention.SHAPES.items()}
+    before = rng.integers(0, attention.CLASSES, (attention.BLOCK + 3, attention.WINDOW))
+    whole = attention.attend(w, before)[0]
+    for first in (0, attention.WINDOW - attention.STRIDE):
+        parts = attention.blocks(len(before), first)
+        seen = Counter((i, p) for some, a, b in parts for i in range(len(before))[some] for p in range(a, b))
+        assert seen == Counter((i, p) for i in range(len(before)) for p in range(first, attention.WINDOW))
+        assert any(attention.attend(w, before[some], a, b)[1].shape[2] < attention.WINDOW for some, a, b in parts)
+        assert np.allclose(attention.contexts(w, attention.tables(w), before, first), whole[:, first:])
+
+
+def test_bounds_hold_and_extreme_products_are_limited():
+    rng = np.random.default_rng(9)
+    before, after = rng.integers(0, attention.CLASSES, (2, 4, attention.WINDOW))
+    for size in (0.1, 1, 30):
+        w = {n: (size * rng.normal(size=s)).astype(np.float32) for n, s in attention.SHAPES.items()}
+        w["near"][:] = 0
+        held = attention.tables(w)
+        assert np.abs(w["query"] @ w["key"].T).max() <= held.bound
+        context = attention.contexts(w, held, before).reshape(-1, attention.HEAD)
+        own, group = before.ravel(), after.ravel() // attention.MEMBERS
+        assert np.abs(context @ w["group"] + w["direct_group"][own]).max() <= held.most_group
+        assert np.abs(np.einsum("nh,nhm->nm", context, w["member"][group]) + w["direct"][own, group]).max() <= held.most_member
+        assert np.isfinite(attention.log_probabilities(w, before, after, np.ones(before.shape, bool))).all()
+
+
+def test_sums_by_ascending_keys():
+    rng = np.random.default_rng(10)
+    for n in (0, 1, 500):
+        keys, rows = np.sort(rng.integers(0, 50, n)), rng.normal(size=(n, 3))
+        plain = np.zeros((50, 3))
+        np.add.at(plain, keys, rows)
+        assert np.allclose(attention.sums_by(keys, rows, 50), plain)
+
+
+def test_small_batches_of_words_are_joined_before_they_are_looked_up():
+    from docweave.llm.common import joined
+    batches = [pa.RecordBatch.from_pydict({"word": [f"w{i}", None], "n": [i, 1]}) for i in range(10)]
+    batches.insert(3, batches[0].slice(0, 0))
+    found = list(joined(iter(batches), "word", 6))
+    assert [len(b) for b in found] == [6, 6, 6, 2]
+    assert pa.concat_batches(found).to_pylist() == pa.concat_batches(batches).to_pylist()
+    assert list(joined(iter([]), "word", 6)) == []
